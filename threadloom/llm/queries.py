@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .exact_dedup import exact_groups
+from .huffman import read_ids, write_ids
+from .packing import pack
 from .sharding import uniform_shards
+from .simhash import near_duplicates
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +18,15 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op4_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return read_ids(*write_ids(docs)).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -24,7 +36,12 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op6_sharding, op10_exact_dedup)}
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates(docs).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op3_packing, op4_huffman, op6_sharding, op8_simhash, op10_exact_dedup)}
 
 ORACLE_SQL = {
     "op10_exact_dedup": """
