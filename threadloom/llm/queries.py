@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from . import langid, toxicity
+from .common import table, training_fold
 from .exact_dedup import exact_groups
 from .huffman import read_ids, write_ids
 from .packing import pack
@@ -18,6 +19,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(training_fold("doc_id"))
+    model = toxicity.train(docs.filter(training_fold("doc_id")), labels)
+    return toxicity.score(docs, model).select("doc_id", (~training_fold("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -36,12 +44,18 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(langid.training_spans(docs.filter(training_fold("doc_id")), "text", "lang", "doc_id"))
+    return langid.identify(docs, model).select("doc_id", (~training_fold("doc_id")).alias("held_out"), "lang_pred", "score", "n_switches")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates(docs).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op3_packing, op4_huffman, op6_sharding, op8_simhash, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_packing, op4_huffman, op6_sharding, op7_language, op8_simhash, op10_exact_dedup)}
 
 ORACLE_SQL = {
     "op10_exact_dedup": """
