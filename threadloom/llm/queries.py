@@ -7,13 +7,24 @@ from pyspark.sql import functions as F
 
 from . import langid, toxicity
 from .common import table, training_fold
+from .decontam import leaks
 from .exact_dedup import exact_groups
 from .huffman import read_ids, write_ids
+from .line_dedup import deduplicate_lines
 from .packing import pack
 from .sharding import uniform_shards
 from .simhash import near_duplicates
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    best = F.get("matches", F.lit(0))
+    return leaks(docs, table(spark, sf_dir, "benchmark")).select(
+        "doc_id", (F.size("matches") > 0).alias("contaminated"), F.size("matches").cast("long").alias("n_items"),
+        best["item_id"].alias("item_id"), best["start"].alias("start_word"), best["n_words"].alias("n_words"), best["similarity"].alias("similarity"),
+    )
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_groups(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -35,6 +46,12 @@ def op4_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ids(*write_ids(docs)).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256).alias("kept_sha256")
+    return deduplicate_lines(docs).select("doc_id", "n_lines", "n_removed", kept)
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -55,7 +72,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(docs).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_packing, op4_huffman, op6_sharding, op7_language, op8_simhash, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_packing, op4_huffman, op5_line_dedup, op6_sharding, op7_language, op8_simhash, op9_decontamination, op10_exact_dedup)}
 
 ORACLE_SQL = {
     "op10_exact_dedup": """

@@ -14,9 +14,9 @@ class LetterWords:
     place in it (with the end appended). A null text has no words.
     """
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, between: str = r"[^\p{L}]+"):
         lower = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
-        split = pc.split_pattern(pc.utf8_trim(pc.replace_substring_regex(lower, r"[^\p{L}]+", " "), " "), " ")
+        split = pc.split_pattern(pc.utf8_trim(pc.replace_substring_regex(lower, between, " "), " "), " ")
         offsets = split.offsets.to_numpy().astype(np.int64)
         coded = pc.dictionary_encode(split.flatten())
         words = coded.dictionary.combine_chunks() if isinstance(coded, pa.ChunkedArray) else coded.dictionary
