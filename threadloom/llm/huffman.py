@@ -153,7 +153,7 @@ def global_counts(docs: DataFrame, path: str, end_id: int) -> np.ndarray:
         words = encoder(path)
         counts = np.zeros(max(words.tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1), np.int64)
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", 8 << 20):
                 words.tally(part.column("text"), end_id, counts)
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(counts[used], pa.int64())], ["id", "n"])
@@ -178,7 +178,7 @@ def write_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     def encode(batches):
         words = encoder(path)
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", 8 << 20):
                 ids, n = words.encode(part.column("text"), end_id)
                 rows = encode_documents(ids, n, lengths, codes)
                 doc_ids = part.column("doc_id")

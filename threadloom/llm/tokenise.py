@@ -9,6 +9,8 @@ row, unusual white space, special tokens) go to the tokenizer whole.
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -19,9 +21,9 @@ PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p
 #: Texts that are encoded whole: a space before other white space, or white space beyond tab, newline and space.
 UNSURE = r" \s|[\x00-\x08\x0b-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200f}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
 #: Chunks are cut into pieces here only if all their characters lie below this.
-PLAIN = 0x250
-#: Entries of the cache of chunks in each Python worker.
-CACHE_ENTRIES = 300_000
+PLAIN = "\u0250"
+#: What each Python worker remembers: chunks (30 bytes each) and pieces of chunks (150).
+STORE_ENTRIES, PIECE_ENTRIES = 2_500_000, 200_000
 
 _loaded: dict[str, "WordEncoder"] = {}
 
@@ -45,8 +47,73 @@ def _byte_characters() -> dict[int, int]:
     return {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in prints)}
 
 
+class ChunkStore:
+    """Ids of chunks met so far, by a 96-bit hash, in sorted arrays: some 30 bytes for each."""
+
+    def __init__(self, dtype: np.dtype, limit: int):
+        self.limit, self.pool, self.used = limit, np.zeros(1 << 16, dtype), 0
+        self.key, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+        self.start, self.length, self.hits = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint8)
+
+    def find(self, key: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """Each key's place, or -1."""
+        if not len(self.key):
+            return np.full(len(key), -1)
+        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        return np.where((self.key[at] == key) & (self.check[at] == check), at, -1)
+
+    def add(self, key: np.ndarray, check: np.ndarray, ids: list[bytes]) -> None:
+        new = np.frombuffer(b"".join(ids), self.pool.dtype)
+        length = np.fromiter(map(len, ids), np.int64, len(ids)) // self.pool.dtype.itemsize
+        if self.used + len(new) > len(self.pool):
+            self.pool = np.concatenate((self.pool[: self.used], np.zeros(self.used + 2 * len(new), self.pool.dtype)))
+        self.pool[self.used : self.used + len(new)] = new
+        start = self.used + np.cumsum(length) - length
+        self.used += len(new)
+        key = np.concatenate((self.key, key))
+        order = np.argsort(key, kind="stable")
+        self.key = key[order]
+        self.check = np.concatenate((self.check, check))[order]
+        self.start = np.concatenate((self.start, start))[order]
+        self.length = np.concatenate((self.length, length.astype(np.int32)))[order]
+        self.hits = np.concatenate((self.hits, np.zeros(len(ids), np.uint8)))[order]
+
+    def forget(self) -> None:
+        """Keep the chunks that came again, if they are not too many themselves."""
+        keep = self.hits > 0
+        if keep.sum() > self.limit // 2:
+            keep[:] = False
+        length = self.length[keep].astype(np.int64)
+        self.pool = self.pool[_spans(self.start[keep], length)]
+        self.used, self.start = len(self.pool), np.cumsum(length) - length
+        self.key, self.check, self.length, self.hits = self.key[keep], self.check[keep], self.length[keep], np.zeros(int(keep.sum()), np.uint8)
+
+
+def _spans(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """All places of the spans, one after the other."""
+    ends = np.cumsum(length)
+    return np.repeat(start - (ends - length), length) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
+def _hash(chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """96 bits of hash for each string, none of them empty."""
+    ends = np.cumsum(pc.binary_length(chunks).to_numpy(zero_copy_only=False).astype(np.int64))
+    starts = np.concatenate(([0], ends[:-1]))
+    offset = np.frombuffer(chunks.buffers()[1], np.int32, 1, 4 * chunks.offset)[0]
+    octets = np.frombuffer(chunks.buffers()[2], np.uint8, int(ends[-1]), offset).astype(np.uint64) + np.uint64(1)
+    place = (np.arange(len(octets)) - np.repeat(starts, ends - starts)).astype(np.uint64) + np.uint64(1)
+    place = (place ^ (place << np.uint64(23))) * np.uint64(0x9E3779B97F4A7C15)
+    out = []
+    for salt in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
+        weight = place * np.uint64(salt)
+        weight ^= weight >> np.uint64(29)
+        h = np.add.reduceat(octets * (weight | np.uint64(1)), starts) * np.uint64(salt)
+        out.append(h ^ (h >> np.uint64(32)))
+    return out[0], (out[1] >> np.uint64(32)).astype(np.uint32)
+
+
 class WordEncoder:
-    def __init__(self, path: str, cache_entries: int = CACHE_ENTRIES):
+    def __init__(self, path: str, store_entries: int = STORE_ENTRIES, piece_entries: int = PIECE_ENTRIES):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -54,72 +121,84 @@ class WordEncoder:
         self.characters = _byte_characters()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = np.dtype(np.uint16 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.uint32)
-        self.cache: dict[str, bytes] = {}
-        self.cache_entries = cache_entries
+        self.store = ChunkStore(self.dtype, store_entries)
+        self.pieces: dict[str, bytes] = {}
+        self.piece_entries = piece_entries
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            if len(self.pieces) >= self.piece_entries:
+                self.pieces.clear()
+            tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(self.characters))
+            ids = self.pieces[piece] = array(self.dtype.char, [t.id for t in tokens]).tobytes()
+        return ids
+
     def _chunk(self, chunk: str) -> bytes:
-        if not chunk.isascii() and max(map(ord, chunk)) >= PLAIN:
+        if not chunk.isascii() and max(chunk) >= PLAIN:
             return self._whole(chunk)
-        pieces = [chunk] if chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()) else PIECES.findall(chunk)
-        ids: list[int] = []
-        for piece in pieces:
-            ids += [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.characters))]
-        return np.array(ids, self.dtype).tobytes()
-
-    def _look_up(self, chunks: list[str]) -> list[bytes]:
-        cache, out = self.cache, []
-        if len(cache) > self.cache_entries:
-            cache.clear()
-        for chunk in chunks:
-            ids = cache.get(chunk)
-            if ids is None:
-                ids = cache[chunk] = self._chunk(chunk) if chunk else b""
-            out.append(ids)
-        return out
-
-    def entries(self, texts: pa.Array, end_id: int | None) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """Distinct entries' ids, the entry of each chunk in text order, and each text's first chunk."""
+        if chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()):
+            return self._piece(chunk)
+        return b"".join([self._piece(x) for x in PIECES.findall(chunk)])
+
+    def _places(self, chunks: pa.Array) -> np.ndarray:
+        """Where the store has each chunk; new ones are encoded and stored first."""
+        if len(self.store.key) > self.store.limit:
+            self.store.forget()
+        key, check = _hash(chunks)
+        at = self.store.find(key, check)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            _, first = np.unique(key[new], return_index=True)
+            first = new[first]
+            self.store.add(key[first], check[first], [self._chunk(x) for x in chunks.take(pa.array(first)).to_pylist()])
+            at = self.store.find(key, check)
+        self.store.hits[at] |= np.uint8(1)
+        return at
+
+    def entries(self, texts: pa.Array, end_id: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """A pool of ids, each entry's start and length there, the entry of each chunk in text order, each text's first chunk."""
         texts = pc.fill_null(texts, "")
         unsure = pc.match_substring_regex(texts, UNSURE)
         for token in self.special:
             unsure = pc.or_(unsure, pc.match_substring(texts, token))
         whole = np.flatnonzero(unsure.to_numpy(zero_copy_only=False))
         split = pc.split_pattern(pc.if_else(unsure, "", texts), " ")
-        starts = split.offsets.to_numpy().astype(np.int64)
-        coded = pc.dictionary_encode(split.flatten())
-        at, firsts = coded.indices.to_numpy().astype(np.int64), starts[:-1] - starts[0]
-        entries = self._look_up([" " + x for x in coded.dictionary.to_pylist()])
+        offsets = split.offsets.to_numpy().astype(np.int64)
+        coded, firsts = pc.dictionary_encode(split.flatten()), offsets[:-1] - offsets[0]
         first = pc.dictionary_encode(pc.list_element(split, 0)) if len(split) else coded.slice(0, 0)
-        at[firsts] = len(entries) + first.indices.to_numpy()
-        entries += self._look_up(first.dictionary.to_pylist())
-        for row in whole.tolist():
-            at[firsts[row]] = len(entries)
-            entries.append(self._whole(texts[row].as_py()))
+        n = len(coded.dictionary)
+        at = coded.indices.to_numpy().astype(np.int64)
+        at[firsts] = n + first.indices.to_numpy()
+        empty = np.flatnonzero(pc.equal(first.dictionary, "").to_numpy(zero_copy_only=False))
+        chunks = pa.concat_arrays([pc.binary_join_element_wise("", coded.dictionary, " "), pc.if_else(pc.equal(first.dictionary, ""), " ", first.dictionary)])
+        start, length = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
+        if len(chunks):
+            place = self._places(chunks)
+            start, length = self.store.start[place], self.store.length[place].astype(np.int64)
+            length[n + empty] = 0
+        extra = [self._whole(texts[row].as_py()) for row in whole.tolist()]
+        at[firsts[whole]] = len(chunks) + np.arange(len(whole))
         if end_id is not None:
-            at = np.insert(at, np.append(firsts[1:], len(at)) if len(firsts) else [], len(entries))
+            at = np.insert(at, np.append(firsts[1:], len(at)) if len(firsts) else [], len(chunks) + len(extra))
             firsts = firsts + np.arange(len(firsts))
-            entries.append(np.array([end_id], self.dtype).tobytes())
-        return entries, at, firsts
+            extra.append(np.array([end_id], self.dtype).tobytes())
+        more = np.fromiter(map(len, extra), np.int64, len(extra)) // self.dtype.itemsize
+        pool = np.concatenate((self.store.pool[: self.store.used], np.frombuffer(b"".join(extra), self.dtype)))
+        return pool, np.append(start, self.store.used + np.cumsum(more) - more), np.append(length, more), at, firsts
 
     def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids in text order, and the number of each text's ids. Null counts as empty."""
-        entries, at, firsts = self.entries(texts, end_id)
-        lengths = np.fromiter(map(len, entries), np.int64, len(entries)) // self.dtype.itemsize
-        pool = np.frombuffer(b"".join(entries), self.dtype)
-        sizes = lengths[at]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        shift = (np.cumsum(lengths) - lengths)[at] - (ends - sizes)
-        ids = pool[np.repeat(shift, sizes) + np.arange(total)]
+        pool, start, length, at, firsts = self.entries(texts, end_id)
+        sizes = length[at]
         counts = np.add.reduceat(sizes, firsts) if len(firsts) else np.zeros(0, np.int64)
-        return ids, counts
+        return pool[_spans(start[at], sizes)], counts
 
     def tally(self, texts: pa.Array, end_id: int | None, counts: np.ndarray) -> None:
         """Add the number of times that each id occurs to ``counts``."""
-        entries, at, _ = self.entries(texts, end_id)
-        times = np.bincount(at, minlength=len(entries))
-        lengths = np.fromiter(map(len, entries), np.int64, len(entries)) // self.dtype.itemsize
-        counts += np.bincount(np.frombuffer(b"".join(entries), self.dtype), np.repeat(times, lengths), minlength=len(counts)).astype(np.int64)
+        pool, start, length, at, _ = self.entries(texts, end_id)
+        times = np.bincount(at, minlength=len(start))
+        counts += np.bincount(pool[_spans(start, length)], np.repeat(times, length), minlength=len(counts)).astype(np.int64)
