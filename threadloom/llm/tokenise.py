@@ -16,6 +16,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
+from .words import mix
+
 #: The pre-tokenizer pattern of byte-level BPE.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Texts that are encoded whole: a space before other white space, or white space beyond tab, newline and space.
@@ -102,13 +104,9 @@ def _hash(chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     offset = np.frombuffer(chunks.buffers()[1], np.int32, 1, 4 * chunks.offset)[0]
     octets = np.frombuffer(chunks.buffers()[2], np.uint8, int(ends[-1]), offset).astype(np.uint64) + np.uint64(1)
     place = (np.arange(len(octets)) - np.repeat(starts, ends - starts)).astype(np.uint64) + np.uint64(1)
-    place = (place ^ (place << np.uint64(23))) * np.uint64(0x9E3779B97F4A7C15)
     out = []
-    for salt in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
-        weight = place * np.uint64(salt)
-        weight ^= weight >> np.uint64(29)
-        h = np.add.reduceat(octets * (weight | np.uint64(1)), starts) * np.uint64(salt)
-        out.append(h ^ (h >> np.uint64(32)))
+    for salt in (1, 2):
+        out.append(mix(np.add.reduceat(octets * (mix(place, salt) | np.uint64(1)), starts), salt))
     return out[0], (out[1] >> np.uint64(32)).astype(np.uint32)
 
 

@@ -70,4 +70,5 @@ _FACTOR = np.uint64(1099511628211)
 
 def mix(h: np.ndarray, salt: int) -> np.ndarray:
     h = (h ^ np.uint64(salt * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0x94D049BB133111EB)
     return h ^ (h >> np.uint64(31))
