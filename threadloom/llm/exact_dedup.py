@@ -86,11 +86,12 @@ def repeat_filter(hashes: DataFrame, bits: int) -> np.ndarray:
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with keep_id, group_size, kept and text_sha256.
+    """``docs`` with keep_id, group_size, kept and text_sha256 (input columns of these names give way).
 
     ``max_bits`` bounds the filter that is sent to every executor (128 MB for each of two
     hash functions by default); past it more rows take the exact path.
     """
+    docs = docs.drop("keep_id", "group_size", "kept", "text_sha256")
     spark = docs.sparkSession
     names = {n: fresh(docs.columns, n) for n in ("h", "maybe")}
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -119,6 +120,6 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, one for each text, with the columns of ``docs``."""
-    kept = exact_groups(docs, id_col, text_col).filter("kept")
+    kept = exact_groups(docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "text").filter("kept")
     many = kept.filter("group_size > 1").dropDuplicates(["text_sha256"])
-    return kept.filter("group_size = 1").unionByName(many).select(docs.columns)
+    return kept.filter("group_size = 1").unionByName(many).select("row.*")

@@ -249,3 +249,23 @@ def identify(docs: DataFrame, model: ChainModel | None, id_col: str = "doc_id",
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return narrow.mapInArrow(run, schema)
+
+
+def identified(docs: DataFrame, model: ChainModel | None, min_share: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose language is told with at least ``min_share`` of the words, all columns unchanged."""
+
+    def run(batches):
+        for batch in batches:
+            for part in text_slices(batch, text_col):
+                words = LetterWords(part.column(text_col))
+                n, good = np.diff(words.first), np.zeros(part.num_rows, bool)
+                has = np.flatnonzero(n)
+                if model is not None and len(has):
+                    first = np.zeros(len(words.at), bool)
+                    first[words.first[has]] = True
+                    marg = marginals(emissions(words, model.weights)[words.at], model.trans, first)
+                    share = np.add.reduceat(marg, words.first[has], axis=0) / n[has, None]
+                    good[has] = share.max(axis=1) >= min_share
+                yield part.filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)

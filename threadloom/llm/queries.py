@@ -14,6 +14,7 @@ from .line_dedup import deduplicate_lines
 from .packing import pack
 from .sharding import uniform_shards
 from .simhash import near_duplicates
+from .substring_dedup import kept_texts, repeated_spans, whole_digests
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +38,15 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", (~training_fold("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = kept_texts(docs, repeated_spans(docs))
+    lost = kept.select("doc_id", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")).dropDuplicates()
+    return whole_digests(docs).join(lost, "doc_id", "left").select(
+        "doc_id", "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("kept_sha256", "sha256").alias("kept_sha256")
+    )
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -72,9 +82,23 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(docs).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_packing, op4_huffman, op5_line_dedup, op6_sharding, op7_language, op8_simhash, op9_decontamination, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_substring_dedup, op3_packing, op4_huffman, op5_line_dedup, op6_sharding, op7_language, op8_simhash, op9_decontamination, op10_exact_dedup)}
 
 ORACLE_SQL = {
+    "op2_substring_dedup": r"""
+        WITH d AS MATERIALIZED (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
+        n AS MATERIALIZED (SELECT doc_id, w, len(w) AS n FROM d),
+        win AS MATERIALIZED (SELECT doc_id, s, md5_number(array_to_string(w[s : s + 49], ' ')) AS h
+                FROM (SELECT doc_id, w, unnest(range(1, n - 48)) AS s FROM n WHERE n >= 50)),
+        first AS (SELECT h, min(doc_id) AS low FROM win GROUP BY h HAVING min(doc_id) < max(doc_id)),
+        hit AS (SELECT win.doc_id, s FROM win JOIN first ON win.h = first.h WHERE first.low < win.doc_id),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS p FROM hit),
+        lost AS (SELECT doc_id, list(p) AS ps, count(*) AS n_removed FROM gone GROUP BY doc_id),
+        stay AS (SELECT n.doc_id, string_agg(w[p], ' ' ORDER BY p) AS kept
+                 FROM (SELECT n.doc_id, w, unnest(range(1, n + 1)) AS p FROM n) n LEFT JOIN gone USING (doc_id, p) WHERE gone.p IS NULL GROUP BY n.doc_id)
+        SELECT n.doc_id, n.n AS n_words, coalesce(lost.n_removed, 0) AS n_removed, sha256(coalesce(stay.kept, '')) AS kept_sha256
+        FROM n LEFT JOIN lost USING (doc_id) LEFT JOIN stay USING (doc_id)
+    """,
     "op10_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256

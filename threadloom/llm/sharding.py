@@ -74,7 +74,8 @@ def even(total: int, parts: int) -> list[int]:
 
 
 def uniform_shards(docs: DataFrame, n_shards: int, seed: int = 20240501, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with shard (0 to ``n_shards`` - 1) and slot (gapless from 0 in its shard)."""
+    """``docs`` with shard (0 to ``n_shards`` - 1) and slot (gapless from 0 in its shard); input columns of these names give way."""
+    docs = docs.drop("shard", "slot")
     spark = docs.sparkSession
     c = {n: fresh(docs.columns, n) for n in ("part", "first", "second", "rank", "block")}
     ident = F.coalesce(F.col(id_col).cast("string"), F.lit("\0"))

@@ -72,3 +72,25 @@ def mix(h: np.ndarray, salt: int) -> np.ndarray:
     h = (h ^ np.uint64(salt * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0x94D049BB133111EB)
     return h ^ (h >> np.uint64(31))
+
+
+class PlainWords:
+    """Words of texts unchanged, as 64-bit hashes in text order; white space is ASCII."""
+
+    def __init__(self, texts: pa.Array):
+        split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+        offsets = split.offsets.to_numpy().astype(np.int64)
+        coded = pc.dictionary_encode(split.flatten())
+        words, at = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+        sizes = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+        kept = sizes[at] > 0 if len(at) else np.zeros(0, bool)
+        self.first = np.concatenate(([0], np.cumsum(kept)))[offsets - offsets[0]] if len(at) else np.zeros(len(texts) + 1, np.int64)
+        if not kept.any():
+            self.hashes = np.zeros(0, np.uint64)
+            return
+        ends = np.cumsum(sizes)
+        octets = np.frombuffer(words.buffers()[2], np.uint8, int(ends[-1])).astype(np.uint64) + np.uint64(1)
+        place = np.arange(len(octets)) - np.repeat(ends - sizes, sizes)
+        value = octets * (mix(place.astype(np.uint64), 7) | np.uint64(1))
+        running = np.concatenate((np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)))
+        self.hashes = mix(running[ends] - running[ends - sizes], 8)[at[kept]]
