@@ -86,7 +86,7 @@ QUERIES = {f.__name__: f for f in (op1_toxicity, op2_substring_dedup, op3_packin
 
 ORACLE_SQL = {
     "op2_substring_dedup": r"""
-        WITH d AS MATERIALIZED (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
+        WITH d AS MATERIALIZED (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
         n AS MATERIALIZED (SELECT doc_id, w, len(w) AS n FROM d),
         win AS MATERIALIZED (SELECT doc_id, s, md5_number(array_to_string(w[s : s + 49], ' ')) AS h
                 FROM (SELECT doc_id, w, unnest(range(1, n - 48)) AS s FROM n WHERE n >= 50)),
