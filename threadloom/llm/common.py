@@ -32,14 +32,14 @@ def workspace(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of it.
 
     Cuts the lineage; the files outlive any executor.
     """
     spark = df.sparkSession
     path = f"{workspace(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -98,7 +98,9 @@ def encode_documents(ids: np.ndarray, counts: np.ndarray, lengths: np.ndarray, c
     at = inside + np.repeat(base * 8, counts)
     value = codes[ids].astype(np.uint64) << (np.uint64(32) - size.astype(np.uint64) - (at & 7).astype(np.uint64))
     byte, total = at >> 3, int(octets.sum()) + 4
-    bits = sum(np.bincount(byte + k, ((value >> np.uint64(24 - 8 * k)) & np.uint64(255)).astype(np.float64), total) for k in range(4))
+    bits = np.zeros(total)
+    for k in range(4):
+        bits += np.bincount(byte + k, ((value >> np.uint64(24 - 8 * k)) & np.uint64(255)).astype(np.float32), total)
     bits = bits.astype(np.uint8).tobytes()
     return [
         (inside[f : f + n : CHECKPOINT].astype("<u4").tobytes(), bits[b : b + o])
@@ -146,19 +148,42 @@ def read_block(payload: bytes, table: tuple[np.ndarray, np.ndarray, int]) -> tup
     return doc_ids, counts, out
 
 
-def global_counts(docs: DataFrame, path: str, end_id: int) -> np.ndarray:
-    """How often each id occurs in all documents; the vocabulary bounds what reaches the driver."""
+def token_ids(docs: DataFrame, path: str, end_id: int) -> DataFrame:
+    """(doc_id, n, ids) per row: every text's ids and the end id, as little-endian integers of the vocabulary's width."""
 
     def run(batches):
         words = encoder(path)
-        counts = np.zeros(max(words.tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1), np.int64)
         for batch in batches:
-            for part in text_slices(batch, "text", 8 << 20):
-                words.tally(part.column("text"), end_id, counts)
+            for part in text_slices(batch, "text", 2 << 20):
+                ids, n = words.encode(part.column("text"), end_id)
+                ends = np.cumsum(n) * words.dtype.itemsize
+                offsets = pa.py_buffer(np.concatenate(([0], ends)).astype(np.int32))
+                packed = pa.Array.from_buffers(pa.binary(), len(n), [None, offsets, pa.py_buffer(ids.tobytes())])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), packed], ["doc_id", "n", "ids"])
+
+    return docs.mapInArrow(run, "doc_id long, n long, ids binary")
+
+
+def _ids_of(column: pa.Array, dtype: np.dtype) -> np.ndarray:
+    """All ids of a column of packed ids."""
+    low, high = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset)[[0, -1]]
+    return np.frombuffer(column.buffers()[2] or b"", dtype, int(high - low) // dtype.itemsize, int(low))
+
+
+def global_counts(tokens: DataFrame, dtype: np.dtype) -> np.ndarray:
+    """How often each id occurs in all documents; the vocabulary bounds what reaches the driver."""
+
+    def run(batches):
+        counts = np.zeros(1, np.int64)
+        for batch in batches:
+            for part in text_slices(batch, "ids"):
+                more = np.bincount(_ids_of(part.column(0), dtype), minlength=len(counts))
+                more[: len(counts)] += counts
+                counts = more
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(counts[used], pa.int64())], ["id", "n"])
 
-    rows = docs.select("text").mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    rows = tokens.select("ids").mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(int(rows.id.max()) + 1 if len(rows) else 1, np.int64)
     counts[rows.id.to_numpy()] = rows.n.to_numpy()
     return counts
@@ -168,18 +193,22 @@ def write_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     """Encode every text and write header and blocks; returns scans of both."""
     spark, path = docs.sparkSession, tokenizer or default_tokenizer()
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    counts = global_counts(narrow, path, end_id)
+    words = encoder(path)
+    if end_id >= 1 << (8 * words.dtype.itemsize):
+        raise ValueError(f"the end id {end_id} is beyond the vocabulary's integers")
+    dtype = words.dtype
+    tokens = materialise(token_ids(narrow, path, end_id), "huffman-tokens", "zstd")
+    counts = global_counts(tokens, dtype)
     lengths = code_lengths(counts)
     codes = canonical_codes(lengths)
     header = materialise(spark.createDataFrame([(bytearray(lengths.tobytes()),)], "code_lengths binary"), "huffman-header")
     n_parts = int(np.clip(counts.sum() // IDS_PER_PART, 1, MAX_PARTS))
-    bounds = np.unique(narrow.approxQuantile("doc_id", [i / n_parts for i in range(1, n_parts)], 0.1 / n_parts)) if n_parts > 1 else np.zeros(0)
+    bounds = np.unique(tokens.approxQuantile("doc_id", [i / n_parts for i in range(1, n_parts)], 0.1 / n_parts)) if n_parts > 1 else np.zeros(0)
 
     def encode(batches):
-        words = encoder(path)
         for batch in batches:
-            for part in text_slices(batch, "text", 8 << 20):
-                ids, n = words.encode(part.column("text"), end_id)
+            for part in text_slices(batch, "ids", 1 << 20):
+                n, ids = part.column("n").to_numpy(), _ids_of(part.column("ids"), dtype)
                 rows = encode_documents(ids, n, lengths, codes)
                 doc_ids = part.column("doc_id")
                 of = np.searchsorted(bounds, doc_ids.fill_null(-(1 << 63)).to_numpy(), side="right")
@@ -208,7 +237,7 @@ def write_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
         if held:
             yield flush()
 
-    encoded = narrow.mapInArrow(encode, "part int, doc_id long, n long, marks binary, bits binary")
+    encoded = tokens.mapInArrow(encode, "part int, doc_id long, n long, marks binary, bits binary")
     ordered = encoded.repartition(max(partitions_for(spark), min(n_parts, 512)), "part").sortWithinPartitions("part", "doc_id")
     return header, materialise(ordered.mapInArrow(blocks, BLOCKS), "huffman-blocks")
 

@@ -75,7 +75,7 @@ def pack(
         words, partition = encoder(path), TaskContext.get().partitionId()
         group, windows = partition // merge_group, OpenWindows(length, open_windows, partition << 40)
         for batch in batches:
-            for part in text_slices(batch, "text", 8 << 20):
+            for part in text_slices(batch, "text", 2 << 20):
                 ids, counts = words.encode(part.column(1), end_id)
                 ids, rows, full = ids.astype("<u4"), [], []
                 raw, at = memoryview(ids).cast("B"), 0

@@ -25,7 +25,7 @@ UNSURE = r" \s|[\x00-\x08\x0b-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200f}\x{2028}\
 #: Chunks are cut into pieces here only if all their characters lie below this.
 PLAIN = "\u0250"
 #: What each Python worker remembers: chunks (30 bytes each) and pieces of chunks (150).
-STORE_ENTRIES, PIECE_ENTRIES = 2_500_000, 200_000
+STORE_ENTRIES, PIECE_ENTRIES = 1_500_000, 100_000
 
 _loaded: dict[str, "WordEncoder"] = {}
 
@@ -131,8 +131,13 @@ class WordEncoder:
         if ids is None:
             if len(self.pieces) >= self.piece_entries:
                 self.pieces.clear()
-            tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(self.characters))
-            ids = self.pieces[piece] = array(self.dtype.char, [t.id for t in tokens]).tobytes()
+            if piece.isascii() and piece[1:].isalpha():  # these characters stand for themselves
+                written = "\u0120" + piece[1:] if piece[0] == " " else piece if piece.isalpha() else None
+            else:
+                written = None
+            if written is None:
+                written = piece.encode().decode("latin-1").translate(self.characters)
+            ids = self.pieces[piece] = array(self.dtype.char, [t.id for t in self.model.tokenize(written)]).tobytes()
         return ids
 
     def _chunk(self, chunk: str) -> bytes:
@@ -194,9 +199,3 @@ class WordEncoder:
         sizes = length[at]
         counts = np.add.reduceat(sizes, firsts) if len(firsts) else np.zeros(0, np.int64)
         return pool[_spans(start[at], sizes)], counts
-
-    def tally(self, texts: pa.Array, end_id: int | None, counts: np.ndarray) -> None:
-        """Add the number of times that each id occurs to ``counts``."""
-        pool, start, length, at, _ = self.entries(texts, end_id)
-        times = np.bincount(at, minlength=len(start))
-        counts += np.bincount(pool[_spans(start, length)], np.repeat(times, length), minlength=len(counts)).astype(np.int64)
