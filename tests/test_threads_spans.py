@@ -52,7 +52,7 @@ def test_find_spans(entity, text, expected):
 def test_span_selection(spark):
     row = spark.sql("SELECT from_json('[{\"start\":0,\"end\":4},{\"start\":3,\"end\":9},{\"start\":9,\"end\":12},{\"start\":0,\"end\":3}]', 'array<struct<start:int,end:int>>') AS s")
     longest, left = row.select(spans.longest_first(F.col("s")), spans.leftmost_longest(F.col("s"))).first()
-    assert [(s.start, s.end) for s in longest] == [(3, 9), (9, 12), (0, 3)]
+    assert [(s.start, s.end) for s in longest] == [(3, 9), (0, 3), (9, 12)]
     assert [(s.start, s.end) for s in left] == [(0, 4), (9, 12)]
 
 
@@ -122,3 +122,25 @@ def test_incremental_ingest(spark, tmp_path):
         (tmp_path / "in" / f"{i}.json").write_text('{"subreddit":"books","created_utc":1700000000}\n{"subreddit":"x","created_utc":1}\n')
         ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp"), ["books"]).awaitTermination()
     assert spark.read.json(str(tmp_path / "out")).count() == 2
+
+
+def test_result_choice_and_mentions(spark):
+    span = "array<struct<text:string,start:int,end:int,labels:array<string>>>"
+    rows = spark.createDataFrame(
+        [
+            (1, "t", [(True, [("x", 0, 1, ["BOOK"])]), (None, [("a", 0, 1, ["BOOK", "WRITER"]), ("b", 2, 3, ["NOTE"])])], [([("p", 0, 1, ["BOOK"])],)], []),
+            (2, "t", [], [([("p", 0, 1, ["BOOK"])],)], [([("d", 0, 1, ["WRITER"])],)]), (3, "t", [], [], []),
+        ],
+        f"task_id long, thread_id string, annotations array<struct<was_cancelled:boolean,result:{span}>>, predictions array<struct<result:{span}>>, drafts array<struct<result:{span}>>",
+    )
+    source, _ = labels.chosen_result(F.col("annotations"), F.col("predictions"))
+    assert [r[0] for r in rows.orderBy("task_id").select(source).collect()] == ["annotation", "prediction", "none"]
+    assert sorted((r.task_id, r.label, r.text) for r in labels.mentions(rows).collect()) == [(1, "BOOK", "a"), (2, "WRITER", "d")]
+    assert rows.filter(labels.is_reviewed(F.col("annotations"))).count() == 1
+
+
+def test_csv_needs_its_columns(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('surface,notes\n"x ""y""\nz",n\n')
+    assert files.csv(spark, str(tmp_path / "a.csv"), "surface string, notes string", ("surface",)).first().surface == 'x "y"\nz'
+    with pytest.raises(ValueError):
+        files.csv(spark, str(tmp_path / "a.csv"), "surface string", ("ol_key",))

@@ -150,9 +150,9 @@ def json_list(x: Column) -> Column:
 
 
 def author_keys(payload: Column) -> Column:
-    """Keys of the authors given as objects."""
-    parsed = F.from_json(F.get_json_object(payload, "$.authors"), "array<struct<author:struct<key:string>>>")
-    return F.coalesce(F.filter(F.transform(parsed, lambda a: a["author"]["key"]), lambda k: k.isNotNull()), F.array().cast("array<string>"))
+    """Keys of the authors given as objects; entries of any other shape are ignored."""
+    found = F.regexp_extract_all(F.get_json_object(payload, "$.authors"), F.lit(r'"author"\s*:\s*\{[^{}]*"key"\s*:\s*"([^"]+)"'), F.lit(1))
+    return F.coalesce(found, F.array().cast("array<string>"))
 
 
 def reply_entities(reply: Column) -> Column:

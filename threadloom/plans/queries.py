@@ -417,6 +417,57 @@ def token_candidates(spark, d):
     return catalog.token_candidates(ad.surfaces(spark, d).withColumn("norm", tx.norm_title("surface")), index)
 
 
+def _dump(spark: SparkSession, d: str) -> DataFrame:
+    """Work records as a catalog dump has them: several revisions of a key, two shapes of description."""
+    return ad.table(spark, d, "part").selectExpr(
+        "concat('/works/OL', p_partkey % 500, 'W') AS key", "p_partkey AS _pos",
+        "concat('{\"title\":\"', p_name, '\",\"authors\":[{\"author\":{\"key\":\"', p_brand, '\"}},{\"author\":\"x\"}],\"description\":', CASE WHEN p_partkey % 2 = 0 THEN '{\"value\":\"long\"}' ELSE '\"short\"' END, '}') AS payload",
+    )
+
+
+@query("""SELECT '/works/OL' || (p_partkey % 500) || 'W' AS ol_key, arg_max(p_name, p_partkey) AS title, arg_max(p_brand, p_partkey) AS author,
+    CASE WHEN max(p_partkey) % 2 = 0 THEN 'long' ELSE 'short' END AS description FROM part GROUP BY p_partkey % 500""")
+def catalog_import(spark, d):
+    works = catalog.works_table(_dump(spark, d))
+    return works.select("ol_key", "title", F.array_join("author_keys", "|").alias("author"), "description")
+
+
+@query("SELECT DISTINCT '/works/OL' || (p_partkey % 500) || 'W' AS work_key, p_brand AS author_key FROM part")
+def catalog_junction(spark, d):
+    return catalog.work_authors(_dump(spark, d))
+
+
+@query("SELECT lower(p_name) AS title_lower, '/works/' || min(p_partkey) AS ol_key FROM part WHERE length(p_name) >= 10 AND contains(trim(p_name), ' ') GROUP BY lower(p_name)")
+def title_dictionary(spark, d):
+    return catalog.title_dictionary(ad.works(spark, d), 10).select("title_lower", "ol_key")
+
+
+@query("SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'submission' WHEN 1 THEN 'comment' WHEN 2 THEN 'submission' END AS kind FROM events")
+def record_kinds(spark, d):
+    keys = "CASE event_id % 4 WHEN 0 THEN '{\"title\":null}' WHEN 1 THEN '{\"body\":\"title\"}' WHEN 2 THEN '{\"body\":1,\"title\":2}' ELSE '{\"id\":\"title\"}' END"
+    return ad.table(spark, d, "events").select("event_id", threads.record_kind(F.expr(keys)).alias("kind"))
+
+
+@query("SELECT event_id, event_id % 5 < 3 AS flag, CASE WHEN event_id % 2 = 0 THEN CAST(event_id AS DOUBLE) / 100 END AS score FROM events")
+def flag_and_number_parsing(spark, d):
+    rows = ad.table(spark, d, "events").selectExpr("event_id", "CASE event_id % 5 WHEN 0 THEN ' True ' WHEN 1 THEN '1' WHEN 2 THEN 'YES' WHEN 3 THEN 'no' ELSE '' END AS f", "CASE WHEN event_id % 2 = 0 THEN concat(' ', event_id) ELSE 'n/a' END AS n")
+    return rows.select("event_id", tx.as_flag(F.col("f")).alias("flag"), (tx.as_number(F.col("n")) / 100).alias("score"))
+
+
+@query("SELECT strftime(o_orderdate, '%Y-%m') AS ym, count(*) AS n FROM orders WHERE strftime(o_orderdate, '%Y-%m') BETWEEN '1995-03' AND '1996-02' GROUP BY ym")
+def month_selection(spark, d):
+    from ..sources.files import months
+
+    rows = ad.table(spark, d, "orders").select(months(F.concat(F.lit("/dumps/RC_"), F.date_format("o_orderdate", "yyyy-MM"), F.lit(".zst"))).alias("ym"))
+    return rows.filter(F.col("ym").between("1995-03", "1996-02")).groupBy("ym").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT p_partkey, p_brand AS text FROM part WHERE p_size % 3 = 0")
+def reply_entities(spark, d):
+    reply = F.expr("concat('```json\n[{\"text\":\" ', p_brand, ' \",\"label\":\"', CASE WHEN p_size % 3 = 0 THEN 'book' ELSE 'film' END, '\"}]\n```')")
+    return ad.table(spark, d, "part").select("p_partkey", F.explode(tx.reply_entities(reply)).alias("e")).select("p_partkey", "e.text")
+
+
 # Resolution
 
 

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 def monthly(rows: DataFrame, path: str, value: str = "value") -> None:
     """Accepted raw lines as compressed text by month; months without rows make no files."""
-    rows.select(F.col(value).alias("value"), "ym").write.mode("overwrite").partitionBy("ym").option("compression", "zstd").text(path)
+    rows.select(F.col(value).alias("value"), "ym").write.mode("overwrite").partitionBy("ym").option("compression", "gzip").text(path)
 
 
 def merge_months(spark: SparkSession, path: str, out: str) -> None:
     """Monthly files as one ordered, recompressed set."""
-    spark.read.text(path).repartitionByRange("ym").sortWithinPartitions("ym").select("value").write.mode("overwrite").option("compression", "zstd").text(out)
+    spark.read.text(path).repartitionByRange("ym").sortWithinPartitions("ym").select("value").write.mode("overwrite").option("compression", "gzip").text(out)
 
 
 def file_summary(rows: DataFrame) -> DataFrame:
