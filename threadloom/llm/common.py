@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -35,11 +36,14 @@ def workspace(spark: SparkSession) -> str:
 def materialise(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of it.
 
-    Cuts the lineage; the files outlive any executor.
+    Cuts the lineage; the files outlive any executor. Shuffles that only led to them are
+    no longer needed, and a collection on the driver lets Spark delete their files now.
     """
     spark = df.sparkSession
     path = f"{workspace(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path, compression=compression)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -5,8 +5,8 @@ in it with the least hash, the same wherever the window appears. Anchors found i
 one document say where windows may recur; only those windows are hashed and counted, with the
 least doc_id that holds each. In that first document, runs of recurring windows are the
 confirmed passages. Passages are dealt to shards by their document; a shard's anchor phrases
-are compiled into one Aho-Corasick automaton with pyahocorasick, and every document that has
-one of the shard's anchors streams through it. Each hit is widened word by word against the
+are compiled into one Aho-Corasick automaton with pyahocorasick, and of every document that has
+some of the shard's anchors the stretches around them stream through it. Each hit is widened word by word against the
 passage's own words, so hash collisions cannot remove anything: matches of 50 words or more
 with a passage of a smaller doc_id are covered.
 
@@ -34,8 +34,8 @@ from .words import PlainWords, mix
 
 WINDOW, PHRASE = 50, 8
 _IN_WINDOW = WINDOW - PHRASE + 1
-#: Characters of passages in one shard, and documents in one part of a shard.
-SHARD_CHARS, DOCS_PER_PART = 1 << 20, 256
+#: Characters of passages in one shard, and documents whose stretches meet it at once.
+SHARD_CHARS, DOCS_PER_PART = 4 << 20, 4096
 MAX_SHARDS = 1 << 14
 #: Bits of the id filter ahead of joins with texts, for each id, and at most.
 BITS_PER_ID, MAX_BITS = 16, 1 << 27
@@ -176,6 +176,32 @@ def _passages(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, passage string, hs array<long>")
 
 
+def _stretches(rows: DataFrame) -> DataFrame:
+    """(shard, doc_id, start, text): the words around a document's anchors, for each shard that has them.
+
+    A stretch holds every window whose anchor the shard has, so the rest of the text need not travel.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for part in text_slices(batch, "text"):
+                windows, out = Windows(part.column("text")), []
+                ids, routes = part.column("doc_id").to_pylist(), part.column("routes").to_pylist()
+                for i, text in enumerate(part.column("text").to_pylist()):
+                    a, n = int(windows.first[i]), int(windows.first[i + 1] - windows.first[i])
+                    least, words = windows.least[a : max(a, a + n - WINDOW + 1)].view(np.int64), text.encode("utf-8", "surrogatepass").split()
+                    for route in routes[i]:
+                        starts = np.flatnonzero(np.isin(least, np.array(route["hs"], np.int64)))
+                        for run_ in np.split(starts, np.flatnonzero(np.diff(starts) > WINDOW) + 1):
+                            if len(run_):
+                                low, high = int(run_[0]), int(run_[-1]) + WINDOW
+                                out.append((route["shard"], ids[i], low, b" ".join(words[low:high]).decode("utf-8", "surrogatepass")))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.int64(), pa.string()))], ["shard", "doc_id", "start", "text"])
+
+    return rows.mapInArrow(run, "shard int, doc_id long, start long, text string")
+
+
 class Shard:
     """An automaton over the anchor phrases of passages."""
 
@@ -246,18 +272,19 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     chars = passages.agg(F.coalesce(F.sum(F.length("passage")), F.lit(0))).first()[0]
     shard = F.pmod(F.xxhash64("doc_id"), F.lit(int(np.clip(-(-chars // SHARD_CHARS), 1, MAX_SHARDS)))).cast("int")
     seeds = passages.select(shard.alias("shard"), F.explode("hs").alias("h")).distinct()
-    routes = materialise(hits.join(seeds, "h").select("doc_id", "shard").distinct(), "phrases-routes")
-    parts = routes.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / DOCS_PER_PART).cast("int").alias("parts"))
-    dealt = routes.join(F.broadcast(parts), "shard")  # MAX_SHARDS rows
-    dealt = dealt.select("doc_id", "shard", F.pmod(F.xxhash64("doc_id", "shard"), F.col("parts")).cast("int").alias("part"))
-    texts = _known(rows, routes.select("doc_id").distinct()).join(dealt, "doc_id")
+    routes = materialise(hits.join(seeds, "h").select("doc_id", "shard", "h").distinct(), "phrases-routes")
+    parts = routes.select("doc_id", "shard").distinct().groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / DOCS_PER_PART).cast("int").alias("parts"))
+    parts = materialise(parts, "phrases-parts")
+    wanted = routes.groupBy("doc_id", "shard").agg(F.collect_list("h").alias("hs")).groupBy("doc_id").agg(F.collect_list(F.struct("shard", "hs")).alias("routes"))
+    texts = _stretches(_known(rows, routes.select("doc_id").distinct()).join(wanted, "doc_id")).join(F.broadcast(parts), "shard")  # MAX_SHARDS rows
+    texts = texts.withColumn("part", F.pmod(F.xxhash64("doc_id", "shard"), F.col("parts")).cast("int")).drop("parts")
     copies = passages.select("doc_id", "passage", shard.alias("shard")).join(F.broadcast(parts), "shard")
     copies = copies.select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "doc_id", "passage")
 
     def locate(own: pd.DataFrame, other: pd.DataFrame) -> Iterator[pd.DataFrame] | pd.DataFrame:
         automaton = Shard(list(own[["doc_id", "passage"]].itertuples(index=False, name=None)))
-        found = [(d, s) for d, t in zip(other["doc_id"].tolist(), other["text"].tolist()) if (s := automaton.covered(d, t))]
-        return pd.DataFrame({"doc_id": pd.Series([x[0] for x in found], dtype="int64"), "spans": [[{"a": a, "b": b} for a, b in x[1]] for x in found]})
+        found = [(d, n, s) for d, n, t in zip(other["doc_id"].tolist(), other["start"].tolist(), other["text"].tolist()) if (s := automaton.covered(d, t))]
+        return pd.DataFrame({"doc_id": pd.Series([x[0] for x in found], dtype="int64"), "spans": [[{"a": n + a, "b": n + b} for a, b in s] for _, n, s in found]})
 
     spans = copies.groupBy("shard", "part").cogroup(texts.groupBy("shard", "part")).applyInPandas(locate, "doc_id long, spans array<struct<a:bigint,b:bigint>>")
     spans = materialise(spans, "phrases-spans")
