@@ -6,8 +6,8 @@ one document say where windows may recur; only those windows are hashed and coun
 least doc_id that holds each. In that first document, runs of recurring windows are the
 confirmed passages. Passages are dealt to shards by their document; a shard's anchor phrases
 are compiled into one Aho-Corasick automaton with pyahocorasick, and of every document that has
-some of the shard's anchors the stretches around them stream through it. Each hit is widened word by word against the
-passage's own words, so hash collisions cannot remove anything: matches of 50 words or more
+some of the shard's anchors the stretches around them stream through it. The windows around each hit say which
+passage may lie there, and it is compared word by word, so hash collisions remove nothing: matches of 50 words or more
 with a passage of a smaller doc_id are covered.
 
 A shard that many documents need is dealt out again in bounded parts, each with the shard's
@@ -220,6 +220,11 @@ class Shard:
             self.automaton.add_word(phrase, where)
         if places:
             self.automaton.make_automaton()
+        inside = np.flatnonzero(windows.inside)
+        order = np.argsort(windows.hashes()[inside], kind="stable")
+        self.keys = windows.hashes()[inside][order]
+        self.owner = windows.doc[inside][order]
+        self.offset = inside[order] - windows.first[self.owner]
         self.codes: dict[bytes, int] = {}
         self.coded = [np.array([self.codes.setdefault(w, len(self.codes)) for w in words], np.int64) for words in self.words]
 
@@ -229,15 +234,24 @@ class Shard:
             return []
         words = text.encode("utf-8", "surrogatepass").split()
         joined = " " + b" ".join(words).decode("utf-8", "surrogatepass") + " "
-        tries: set[tuple[int, int]] = set()
+        located = np.zeros(len(words) + 1, np.int64)
         starts = None
-        for end, where in self.automaton.iter(joined):
+        for end, _ in self.automaton.iter(joined):
             if starts is None:  # place of the space before each word
-                gaps = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32) == 32
-                starts = np.flatnonzero(gaps)
-                known = np.array([self.codes.get(w, -1) for w in words], np.int64)
-            last = int(np.searchsorted(starts, end)) - PHRASE
-            tries.update((i, last - at) for i, at in where if self.ids[i] < doc_id)
+                starts = np.flatnonzero(np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32) == 32)
+            located[int(np.searchsorted(starts, end)) - PHRASE + 1] = 1
+        if starts is None or len(words) < WINDOW:
+            return []
+        # of the windows with a located phrase, those that a passage has say where it may lie
+        hashes, before = Windows(pa.array([text], pa.string())).hashes(), np.cumsum(located)
+        first = np.arange(len(hashes))
+        first = first[before[first + _IN_WINDOW] > before[first]]
+        at = np.minimum(np.searchsorted(self.keys, hashes[first]), len(self.keys) - 1)
+        same = self.keys[at] == hashes[first]
+        first, at = first[same], at[same]
+        pairs = np.unique(np.stack([self.owner[at], first - self.offset[at]], axis=1), axis=0).tolist() if len(at) else []
+        tries = [(i, shift) for i, shift in pairs if self.ids[i] < doc_id]
+        known = np.array([self.codes.get(w, -1) for w in words], np.int64) if tries else None
         spans = []
         for i, shift in tries:
             own = self.coded[i]
