@@ -331,6 +331,27 @@ def test_line_dedup(spark):
     assert line_dedup.deduplicate_lines(frame(spark, [])).count() == 0
 
 
+def test_line_dedup_edits_grow_with_the_line(spark):
+    rng = random.Random(9)
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (12, 25, 39, 59, 166, 166, 400)]
+    word = base[4][:50] + "zzzzz" + base[4][55:]
+    spread = list(base[5])
+    for at in range(9, 166, 10):  # 16 edits, no ten characters in a row without one
+        spread[at] = "z"
+    past = list(base[6])
+    for at in range(0, 400, 9):  # 45 edits where 40 are allowed
+        past[at] = "z"
+    lines = base + [word, "".join(spread), "".join(past)] + [mutate(rng, rng.choice(base), rng.randint(0, 45), "xyz") for _ in range(25)]
+    root = list(range(len(lines)))
+    for i, a in enumerate(lines):
+        for j in range(i):
+            if root[i] != root[j] and near(a, lines[j]):
+                root = [root[j] if r == root[i] else r for r in root]
+    want = {i: line if i == root.index(root[i]) else "" for i, line in enumerate(lines)}
+    got = {r.doc_id: r.text for r in line_dedup.deduplicate_lines(frame(spark, lines)).collect()}
+    assert got == want and want[7] == want[8] == "" and want[9]
+
+
 def test_large_key_groups():
     rng = random.Random(8)
     lines = sorted({mutate(rng, "the quick brown fox jumps over it", rng.randint(0, 3), "xyz") for _ in range(80)})
