@@ -372,6 +372,31 @@ def test_large_key_groups():
             assert not near(a, lines[j]) or find(i) == find(j)
 
 
+# 8, as the pipeline uses it
+
+
+def test_near_copy_stage_finds_scattered_edits(spark):
+    import corpus_pipeline
+
+    rng, texts = random.Random(3), []
+    for _ in range(12):
+        words = [f"w{rng.randint(0, 500)}" for _ in range(200)]
+        texts.append(" ".join(words))
+        for edits in (1, 2, 4, 6):
+            copy = list(words)
+            for _ in range(edits):
+                copy[rng.randrange(200)] = f"z{rng.randint(0, 500)}"
+            texts.append(" ".join(copy))
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    fingers, root = [simhash.fingerprint(t) for t in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if root[i] != root[j] and (len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) or (fingers[i] ^ fingers[j]).bit_count() <= 3):
+                root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
+    got = corpus_pipeline.near_copy_stage(spark, frame(spark, texts), SF)
+    assert {r.doc_id for r in got.collect()} == set(root) and len(set(root)) < 25
+
+
 # 9
 
 

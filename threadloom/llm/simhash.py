@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import fresh, materialise, partitions_for
 from .components import connected_components
+from .line_dedup import _bounds, _groups
 
 RADIUS = 3
 SHINGLE = 3
@@ -195,3 +196,74 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     keep = near_duplicates(docs, id_col, text_col).filter("doc_id = component_id").select(F.col("doc_id").alias(fresh(docs.columns, "keep"))).distinct()
     name = keep.columns[0]
     return docs.join(keep, docs[id_col] == keep[name], "left_semi").dropDuplicates([id_col])
+
+
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """Distinct hashes of the text's word shingles, sorted; a shorter text is one shingle."""
+    words = word_sequence(text)
+    hashes = {xxhash.xxh64_intdigest(b" ".join(words[i : i + shingle]), SEED) for i in range(max(1, len(words) - shingle + 1))} if words else set()
+    return np.sort(np.array(list(hashes), np.uint64).view(np.int64))
+
+
+def _alike(batches, similarity: float):
+    """Links of each group of (grp, doc_id, shingles), as stars of parts that hang together."""
+    for grp, ident, shingles in _groups(batches, 3):
+        out = []
+        for a, b in _bounds(grp):
+            size, left = np.array([len(x) for x in shingles[a:b]]), np.arange(b - a)
+            while len(left) > 1:
+                root, frontier, left = left[0], [left[0]], left[1:]
+                while frontier and len(left):
+                    one = frontier.pop()
+                    fits = np.minimum(size[left], size[one]) >= similarity * np.maximum(size[left], size[one])
+                    common = np.array([len(np.intersect1d(shingles[a + one], shingles[a + i], assume_unique=True)) for i in left[fits]], np.int64)
+                    fits[fits] = common >= similarity * (size[left[fits]] + size[one] - common)
+                    out += [(ident[a + root], ident[a + i]) for i in left[fits]]
+                    frontier += left[fits].tolist()
+                    left = left[~fits]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
+
+
+def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """Links (a, b) that join all texts whose shingle sets have this Jaccard similarity.
+
+    Of two such sets, the least hashes of each, one more than it may lack, have one in common:
+    no pair is missed. Equal sets are one node; hashes under which the same nodes meet are one group.
+    """
+    n = partitions_for(docs.sparkSession)
+
+    def sets(batches):
+        for batch in batches:
+            found = [shingle_set(x.as_py(), shingle) for x in batch.column(1)]
+            same = np.array([xxhash.xxh64_intdigest(x.tobytes()) for x in found], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same), pa.array([x.tolist() for x in found], pa.list_(pa.int64()))], ["doc_id", "same", "shingles"])
+
+    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    made = materialise(narrow.mapInArrow(sets, "doc_id long, same long, shingles array<long>").filter("size(shingles) > 0"), "jaccard-sets")
+    reps = made.groupBy("same").agg(F.min("doc_id").alias("rep"))
+    equal = made.select("doc_id", "same").join(reps, "same").filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+    nodes = made.join(reps.select("same", F.col("rep").alias("doc_id")), ["same", "doc_id"], "left_semi").dropDuplicates(["same"])
+
+    def prefixes(batches):
+        for batch in batches:
+            for doc, x in zip(batch.column(0).to_pylist(), batch.column(1)):
+                x = x.as_py()
+                least = x[: len(x) - int(np.ceil(similarity * len(x) - 1e-9)) + 1]
+                yield pa.RecordBatch.from_arrays([pa.array(least, pa.int64()), pa.array([doc] * len(least), pa.int64())], ["key", "doc_id"])
+
+    keys = nodes.select("doc_id", "shingles").mapInArrow(prefixes, "key long, doc_id long")
+    groups = keys.groupBy("key").agg(F.array_sort(F.collect_set("doc_id")).alias("docs")).filter("size(docs) > 1").select("docs").distinct()
+    members = materialise(groups.select(F.xxhash64("docs").alias("grp"), F.explode("docs").alias("doc_id")), "jaccard-groups")
+    rows = members.join(nodes.select("doc_id", "shingles"), "doc_id").select("grp", "doc_id", "shingles")
+    found = rows.repartition(n, "grp").sortWithinPartitions("grp", "doc_id").mapInArrow(lambda batches: _alike(batches, similarity), "a long, b long")
+    return equal.unionByName(found).distinct()
+
+
+def one_of_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows that stay if fingerprints within the radius and shingle sets of this similarity both link."""
+    prints = near_duplicates(docs, id_col, text_col).filter("doc_id <> component_id").select(F.col("component_id").alias("a"), F.col("doc_id").alias("b"))
+    links = materialise(prints.unionByName(jaccard_links(docs, id_col, text_col, shingle, similarity)), "near-links")
+    name = fresh(docs.columns, "gone")
+    gone = connected_components(links, "near-cc").filter("node <> root").select(F.col("node").alias(name))
+    return docs.join(gone, docs[id_col] == gone[name], "left_anti").dropDuplicates([id_col])
