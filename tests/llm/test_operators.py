@@ -434,6 +434,25 @@ def test_decontamination(spark, documents):
     assert decontam.leaks(frame(spark, texts[:2]), bench_df.limit(0)).filter("size(matches) > 0").count() == 0
 
 
+def leaks_at_the_end(shingles, trials=150):
+    """Texts that end with an item whose first words are changed down to a similarity of 0.8, and how many are found."""
+    rng, found = random.Random(shingles), 0
+    words = shingles + 4
+    spared = int(np.floor(shingles * (1 - 0.8) / (1 + 0.8)))
+    for _ in range(trials):
+        item = [f"i{rng.randint(0, 9999)}" for _ in range(words)]
+        text = [f"t{rng.randint(0, 9999)}" for _ in range(101)] + ["zz"] * spared + item[spared:]
+        index = decontam.LeakIndex([(1, " ".join(item))])
+        found += bool(index.find(pa.array([" ".join(text)]))[0])
+    return found, trials
+
+
+@pytest.mark.parametrize("shingles", [33, 50])
+def test_leaks_at_the_end_of_a_text(shingles):
+    found, trials = leaks_at_the_end(shingles)
+    assert found >= 0.97 * trials  # fingerprints' noise is left
+
+
 def test_hamming_blocks_guarantee_the_radius():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 1 << 63, 20).astype(np.uint64)

@@ -1,7 +1,8 @@
 """Benchmark decontamination by SimHash of item-sized windows.
 
 Words are lower-case runs of letters and digits. Windows as long as a benchmark item (sizes
-on a fine geometric grid) slide over every text in steps of a small part of their size, and
+on a fine geometric grid) slide over every text in steps of a small part of their size, windows
+of the items' exact sizes take every place at a text's end that the grid leaves out, and all
 get a 64-bit SimHash over their five-word shingles from running bit sums. Four 16-bit blocks
 index the items of each size: of two fingerprints within the radius, one block lies within a
 quarter of it, and every such neighbour of an item's block is in the table, so no fingerprint
@@ -204,6 +205,8 @@ class LeakIndex:
         whole = np.flatnonzero((low == first[doc]) & (high == first[doc + 1]) & (n < self.reach))
         prints = _prints(np.add.reduceat(bits, at[whole], axis=0, dtype=np.int64) if len(whole) == len(at) else np.stack([bits[a : a + k].sum(axis=0, dtype=np.int64) for a, k in zip(at[whole], n[whole])]), n[whole]) if len(whole) else np.zeros(0, np.uint64)
         sizes = np.array([len(x) for x in self.shingles])
+        last, upto = np.flatnonzero(high == first[doc + 1]), np.zeros((len(bits) + 1, 64), np.int32)
+        np.cumsum(bits, axis=0, dtype=np.int32, out=upto[1:])
         found: dict[tuple[int, int], set[int]] = {}
         for c in self.classes:
             where, item = c.within(sums.prints(c.size, c.stride))
@@ -215,6 +218,13 @@ class LeakIndex:
             short = np.flatnonzero((n[whole] < c.size) & (n[whole] >= int(0.9 * self.similarity * c.size)))
             w, i = c.within(prints[short])
             of, start, item = np.append(of, doc[whole[short[w]]]), np.append(start, low[whole[short[w]]]), np.append(item, i)
+            for size in np.unique(sizes[c.items]).tolist():  # the items' exact sizes at the last places of a text, where the grid has none
+                back = np.arange(c.stride + max(0, c.size - size))[None]
+                place = (n[last, None] - size - back).ravel()
+                own, place = np.repeat(last, back.size)[place >= 0], place[place >= 0]
+                w, i = c.within(np.packbits(2 * (upto[at[own] + place + size] - upto[at[own] + place]) > size, axis=1).view(">u8").ravel().astype(np.uint64))
+                w, i = w[sizes[i] == size], i[sizes[i] == size]
+                of, start, item = np.append(of, doc[own[w]]), np.append(start, low[own[w]] + place[w]), np.append(item, i)
             need = sizes[item]
             likely = known[np.minimum(first[of + 1], start + need + c.stride)] - known[np.maximum(first[of], start - c.stride)] >= self.similarity * need
             for d, i, s in zip(of[likely].tolist(), item[likely].tolist(), start[likely].tolist()):
