@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import SETTINGS as S
 from ..functions.similarity import canonical_score, dice, fuzzy_score
+from .catalog import search
 
 RESOLUTION = ["surface", "method", "ol_key", "canonical_title", "author_name", "confidence", "ambiguous", "notes"]
 
@@ -100,6 +101,24 @@ def canonical_resolutions(candidates: DataFrame, threshold: float = S.canonical_
     return scored.withColumn("place", place).filter("place = 1").select("surface", F.col("title").alias("canonical_title"), F.col("ol_key").alias("work_key"), method.alias("method"), F.bround("score", 1).alias("score"))
 
 
+def canonical_stage(surfaces: DataFrame, candidates: DataFrame, index: DataFrame, works: DataFrame, limit: int = 20) -> DataFrame:
+    """Every surface once: exact, fuzzy, then the best of the full-text search's hits; otherwise unresolved with the hint.
+
+    ``surfaces`` has surface and norm, ``index`` the postings of the works' titles by ol_key.
+    """
+    first = surfaces.select("surface", "norm").dropDuplicates(["surface"]).join(canonical_resolutions(candidates), "surface", "left")
+    terms = F.array_distinct(F.filter(F.split("norm", " "), lambda w: w != ""))
+    open_ = first.filter("coalesce(method, 'unresolved') = 'unresolved'").select(F.col("surface").alias("query"), "norm", terms.alias("terms"))
+    hits = search(index, "ol_key", open_, limit).join(open_.select("query", "norm"), "query").join(works.select("ol_key", "title", "norm_title"), "ol_key")
+    hits = hits.withColumn("found", canonical_score(F.col("norm"), F.col("norm_title"))).filter(F.col("found") >= S.canonical_search)
+    hits = hits.groupBy(F.col("query").alias("surface")).agg(F.min_by(F.struct("title", "ol_key", "found"), F.struct(-F.col("found"), F.col("place"))).alias("fts"))
+    fts, hit = F.col("fts").isNotNull(), F.col("fts")
+    return first.join(hits, "surface", "left").select(
+        "surface", F.when(fts, hit["title"]).otherwise(F.coalesce("canonical_title", F.lit(""))).alias("canonical_title"), F.when(fts, hit["ol_key"]).otherwise(F.coalesce("work_key", F.lit(""))).alias("work_key"),
+        F.when(fts, "fts").otherwise(F.coalesce("method", F.lit("unresolved"))).alias("method"), F.when(fts, F.bround(hit["found"], 1)).otherwise(F.coalesce("score", F.lit(0.0))).alias("score"),
+    )
+
+
 def priority_merge(*sources: DataFrame) -> DataFrame:
     """One entry per surface: resolved, then score, then source order, then first seen.
 

@@ -535,7 +535,9 @@ def fuzzy_resolution(spark, d):
 
 @query()
 def canonical_resolution(spark, d):
-    return resolve.canonical_resolutions(_fuzzy_candidates(spark, d))
+    works, surfaces = ad.works(spark, d).withColumn("norm_title", tx.norm_title("title")), ad.surfaces(spark, d).withColumn("norm", tx.norm_title("surface"))
+    index = catalog.postings(works, "ol_key", F.filter(F.split("norm_title", " "), lambda w: w != ""))
+    return resolve.canonical_stage(surfaces, _fuzzy_candidates(spark, d), index, works)
 
 
 @query("""WITH a AS (SELECT p_name AS surface, p_brand AS title, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE '/works/' || p_partkey END AS ol_key, (p_partkey % 17) / 20.0 AS score, p_partkey % 3 AS prio, p_partkey AS pos FROM part),
