@@ -65,3 +65,30 @@ ABBREVIATIONS = (
     ("yrs", "years"), ("yr", "year"), ("vol", "volume"), ("st", "saint"), ("dr", "doctor"),
     ("mr", "mister"), ("no", "number"), ("pt", "part"), ("ch", "chapter"),
 )
+#: Normalised surfaces and the titles that they stand for.
+ALIASES = {
+    "1,000 plateaus": "A Thousand Plateaus",
+    "1000 plateaus": "A Thousand Plateaus",
+    "1,000 years of non-linear history": "A Thousand Years of Nonlinear History",
+    "1000 years of nonlinear history": "A Thousand Years of Nonlinear History",
+    "1,001 nights": "One Thousand and One Nights",
+    "1001 nights": "One Thousand and One Nights",
+    "arabian nights": "One Thousand and One Nights",
+    "100 years in solitude": "One Hundred Years of Solitude",
+    "100 years of solitude": "One Hundred Years of Solitude",
+    "100 yrs of solitude": "One Hundred Years of Solitude",
+    "100 yrs": "One Hundred Years of Solitude",
+    "100 years of loneliness": "One Hundred Years of Solitude",
+    "100 years of course": "One Hundred Years of Solitude",
+    "1000 cranes": "Thousand Cranes",
+    "10 of december": "Tenth of December",
+    "10 days that shook the world": "Ten Days That Shook the World",
+    "100 days of sodom": "The 120 Days of Sodom",
+    "120 days of sodom": "The 120 Days of Sodom",
+    "100 years war on palestine": "The Hundred Years' War on Palestine",
+    "100 artists manifestos": "100 Artists' Manifestos",
+    "1001 books to read before you die": "1001 Books You Must Read Before You Die",
+    "1001 before you die": "1001 Books You Must Read Before You Die",
+    "1001 books": "1001 Books You Must Read Before You Die",
+    "10 myths about israel": "Ten Myths About Israel",
+}

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..config import ALIASES
 from ..config import SETTINGS as S
 from ..functions.similarity import canonical_score, dice, fuzzy_score
-from .catalog import search
+from ..functions.text import is_scripture, norm_title, spell_numbers
+from .catalog import search, token_candidates, token_index
 
 RESOLUTION = ["surface", "method", "ol_key", "canonical_title", "author_name", "confidence", "ambiguous", "notes"]
 
@@ -93,6 +95,35 @@ def fuzzy_resolutions(candidates: DataFrame, threshold: float = S.fuzzy_threshol
     )
 
 
+def fuzzy_candidates(surfaces: DataFrame, works: DataFrame) -> DataFrame:
+    """Candidates of each surface as written and with its numbers spelled; the latter is what gets scored."""
+    spelled = surfaces.select("surface", "norm", norm_title(spell_numbers(F.col("surface"))).alias("spelled"))
+    index = token_index(works)
+    pairs = token_candidates(spelled, index).unionByName(token_candidates(spelled.filter("norm <> spelled"), index, "spelled")).distinct()
+    return pairs.join(spelled, "surface").join(works, "ol_key").select("surface", F.col("spelled").alias("norm"), "ol_key", "title", "norm_title")
+
+
+def alias_table(spark) -> DataFrame:
+    rows = spark.createDataFrame(list(ALIASES.items()), "surface string, canonical string")
+    return rows.groupBy(norm_title("surface").alias("norm")).agg(F.min("canonical").alias("canonical"))
+
+
+def fuzzy_stage(surfaces: DataFrame, candidates: DataFrame, aliases: DataFrame, works: DataFrame, threshold: float = S.fuzzy_threshold) -> DataFrame:
+    """Every surface once: scripture fails, then an alias wins, then the best fuzzy score; others fail with the reason.
+
+    ``surfaces`` has surface and norm, ``aliases`` norm and canonical, ``works`` ol_key and norm_title.
+    """
+    text = F.lit(None).cast("string")
+    own = surfaces.select("surface", "norm").dropDuplicates(["surface"]).withColumn("scripture", is_scripture(F.col("surface"))).join(aliases, "norm", "left")
+    keys = works.groupBy(F.col("norm_title").alias("alias_norm")).agg(F.min("ol_key").alias("alias_key"))
+    known = own.filter("not scripture AND canonical IS NOT NULL").withColumn("alias_norm", norm_title("canonical")).join(keys, "alias_norm", "left")
+    known = known.select("surface", F.lit("alias").alias("method"), F.col("alias_key").alias("ol_key"), F.col("canonical").alias("canonical_title"), F.lit(100.0).alias("fuzzy_score"), F.lit(False).alias("ambiguous"), F.format_string("alias->'%s'", F.col("canonical")).alias("notes"))
+    failed = own.filter("scripture").select("surface", F.lit("failed").alias("method"), text.alias("ol_key"), text.alias("canonical_title"), F.lit(None).cast("double").alias("fuzzy_score"), F.lit(False).alias("ambiguous"), F.lit("SCRIPTURE").alias("notes"))
+    rest = own.filter("not scripture AND canonical IS NULL").select("surface").join(fuzzy_resolutions(candidates, threshold), "surface", "left")
+    rest = rest.withColumns({"method": F.coalesce("method", F.lit("failed")), "ambiguous": F.coalesce("ambiguous", F.lit(False)), "notes": F.coalesce("notes", F.lit("no_candidates"))})
+    return rest.unionByName(known).unionByName(failed)
+
+
 def canonical_resolutions(candidates: DataFrame, threshold: float = S.canonical_fuzzy) -> DataFrame:
     """Exact title first, then the best canonical score; otherwise unresolved with the best hint."""
     scored = candidates.withColumn("score", F.when(F.col("norm") == F.col("norm_title"), 100.0).otherwise(canonical_score(F.col("norm"), F.col("norm_title"))))

@@ -530,7 +530,8 @@ def _fuzzy_candidates(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def fuzzy_resolution(spark, d):
-    return resolve.fuzzy_resolutions(_fuzzy_candidates(spark, d))
+    works, surfaces = ad.works(spark, d).withColumn("norm_title", tx.norm_title("title")), ad.surfaces(spark, d).withColumn("norm", tx.norm_title("surface"))
+    return resolve.fuzzy_stage(surfaces, resolve.fuzzy_candidates(surfaces, works), resolve.alias_table(spark), works)
 
 
 @query()
