@@ -309,9 +309,9 @@ def merge_spans(spark, d):
 
 @query()
 def noise_remap(spark, d):
-    rows = ad.table(spark, d, "documents").select("doc_id", F.expr("concat('[u/', source, '] . ', substr(text, 1, 50), ' [→ u/x] [u/b]', lang)").alias("t"))
-    cut = rows.withColumn("r", spans.remove_noise("t", F.expr("array(named_struct('start', length(t) - 2, 'end', length(t)))")))
-    return cut.select("doc_id", "r.text", F.get("r.spans", F.lit(0))["start"].alias("start"))
+    rows = ad.table(spark, d, "documents").select("doc_id", F.expr("concat('[u/', source, '] . ', text, ' [→ u/x] [u/b]', lang)").alias("t"))
+    cut = rows.withColumn("r", spans.remove_noise("t", F.expr("transform(sequence(0, length(t) - 2, 25), x -> named_struct('start', x, 'end', x + 2)) || array(named_struct('start', length(t) - 2, 'end', length(t)))")))
+    return cut.select("doc_id", "r.text", F.element_at("r.spans", -1)["start"].alias("start"))
 
 
 @query("""SELECT doc_id, CASE WHEN low > 0 THEN '…' ELSE '' END || substr(text, low + 1, high - low) || CASE WHEN high < length(text) THEN '…' ELSE '' END AS snippet
