@@ -1,0 +1,8 @@
+from threadloom.operators import spans
+
+
+def test_titles_that_begin_with_punctuation(spark):
+    texts = spark.createDataFrame([("a", "He read 'Salem's Lot twice"), ("b", "It is late")], "task_id string, text string")
+    titles = spark.createDataFrame([("w1", "'Salem's Lot"), ("w2", "It")], "ol_key string, title string")
+    got = {(r.task_id, r.ol_key, r.start, r.end) for r in spans.title_matches(texts, titles).collect()}
+    assert got == {("a", "w1", 8, 20), ("b", "w2", 0, 2)}

@@ -185,13 +185,16 @@ def title_matches(texts: DataFrame, titles: DataFrame, key: str = "task_id") ->
     Every token of a text meets the titles that begin with it; only the stretch that a title
     may fill travels with the token, so no text is copied per token.
     """
+    begins = F.lower("title").rlike(r"^[\p{L}\p{N}_]")
     known = titles.select("ol_key", F.lower("title").alias("t")).filter(F.col("t").rlike(r"^[\p{L}\p{N}_]")).dropDuplicates(["t"])
     known = known.withColumn("first", F.regexp_extract("t", r"^[\p{L}\p{N}_]+", 0)).withColumn("size", F.length("t"))
     widest = known.groupBy("first").agg(F.max("size").alias("widest"))
     low = texts.select(key, F.lower("text").alias("low")).withColumn("tok", F.explode(_tokens("low")))
     near = low.join(widest, low["tok.t"] == widest["first"]).select(key, "first", F.col("tok.at").alias("start"), F.substr("low", F.col("tok.at") + 1, F.col("widest") + 1).alias("stretch"))
     fits = near.join(known, "first").filter(F.startswith("stretch", "t") & ~F.substr("stretch", F.col("size") + 1, F.lit(1)).rlike(r"[\p{L}\p{N}_]"))
-    return fits.select(key, "ol_key", "start", (F.col("start") + F.col("size")).alias("end"))
+    found = fits.select(key, "ol_key", "start", (F.col("start") + F.col("size")).alias("end"))
+    others = titles.filter(~begins & (F.length("title") > 0))  # these have no first token to meet under
+    return found if others.isEmpty() else found.unionByName(automaton_matches(texts, others, key))
 
 
 def automaton_matches(texts: DataFrame, titles: DataFrame, key: str = "task_id", boundary: bool = True) -> DataFrame:
@@ -219,9 +222,9 @@ def automaton_matches(texts: DataFrame, titles: DataFrame, key: str = "task_id",
                         if not boundary or not (re.match(r"\w", low[a - 1 : a]) or re.match(r"\w", low[b : b + 1])):
                             found.append((k, ol_key, a, b))
                 if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), (pa.int64(), pa.string(), pa.int32(), pa.int32()))], [key, "ol_key", "start", "end"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), (rows.schema.field(0).type, pa.string(), pa.int32(), pa.int32()))], [key, "ol_key", "start", "end"])
 
-        found = texts.select(F.col(key).cast("long"), "text").mapInArrow(run, f"{key} long, ol_key string, start int, end int")
+        found = texts.select(key, "text").mapInArrow(run, f"{key} {texts.schema[key].dataType.simpleString()}, ol_key string, start int, end int")
         out = found if out is None else out.unionByName(found)
     return out
 
