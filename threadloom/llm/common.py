@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,9 @@ from pyspark.sql import functions as F
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 #: Text handled at once inside a Python worker; bounds its memory.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+#: Deletes a query's shuffle files when it ends, instead of when the driver collects its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,9 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def workspace(spark: SparkSession) -> str:
-    """Folder that driver and executors share; a local one only if none is configured."""
+    """Folder that driver and executors share. Only a driver that is its own executor may go without a setting."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = "file://" + tempfile.mkdtemp(prefix="threadloom-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -36,17 +41,39 @@ def workspace(spark: SparkSession) -> str:
 def materialise(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of it.
 
-    Cuts the lineage; the files outlive any executor. Shuffles that only led to them are
-    no longer needed, and a collection on the driver lets Spark delete their files now.
+    Cuts the lineage; the files outlive any executor. The shuffles that led to them go at once.
     """
     spark = df.sparkSession
-    path = f"{workspace(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path, compression=compression)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    path, was = f"{workspace(spark)}/{label}-{uuid.uuid4().hex}", spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path, compression=compression)
+    finally:
+        spark.conf.set(CLEANUP, was)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _free_memory() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def released(run: Callable) -> Callable:
+    """``run`` for mapInArrow. Workers live on after a task: this gives what it held back to the system."""
+
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _free_memory()
+
+    return whole
+
+
 def fresh(columns: list[str], wanted: str) -> str:
     """A column name that clashes with none of ``columns``."""
     taken, name = {c.lower() for c in columns}, wanted

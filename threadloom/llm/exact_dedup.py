@@ -13,98 +13,36 @@ row with the largest doc_id stays; repeated rows of one doc_id and text share th
 
 from __future__ import annotations
 
-import zlib
-
-import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, partitions_for
-
-SEGMENT_BYTES = 1 << 16
-BITS_PER_ROW = 16
-MIN_BITS, MAX_BITS = 1 << 20, 1 << 30
-
-
-def _positions(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    h = h.view(np.uint64)
-    mixed = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return (h & np.uint64(bits - 1)).astype(np.int64), (mixed >> np.uint64(33)).astype(np.int64) & (bits - 1)
-
-
-def _has(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-
-
-def _set(bitmap: np.ndarray, at: np.ndarray) -> None:
-    np.bitwise_or.at(bitmap, at >> 3, np.left_shift(np.uint8(1), (at & 7).astype(np.uint8)))
-
-
-def repeat_filter(hashes: DataFrame, bits: int) -> np.ndarray:
-    """"Seen again" bits of both hash functions over the one column of ``hashes``."""
-    column = hashes.columns[0]
-
-    def build(batches):
-        seen, again = np.zeros(2 * bits // 8, np.uint8), np.zeros(2 * bits // 8, np.uint8)
-        for batch in batches:
-            h = batch.column(0).to_numpy(zero_copy_only=False)
-            for k, at in enumerate(_positions(h, bits)):
-                at, count = np.unique(at + k * bits, return_counts=True)
-                _set(again, at[(count > 1) | _has(seen, at)])
-                _set(seen, at)
-        rows = []
-        for s in range(0, len(seen), SEGMENT_BYTES):
-            if seen[s : s + SEGMENT_BYTES].any():
-                rows.append((s // SEGMENT_BYTES, *(zlib.compress(x[s : s + SEGMENT_BYTES].tobytes(), 1) for x in (seen, again))))
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], ["seg", "seen", "again"])
-
-    def merge(batches):
-        state: dict[int, list[np.ndarray]] = {}
-        for batch in batches:
-            for seg, *parts in zip(*(c.to_pylist() for c in batch.columns)):
-                seen, again = (np.frombuffer(zlib.decompress(x), np.uint8) for x in parts)
-                if seg in state:
-                    was = state[seg]
-                    was[1] |= again | (was[0] & seen)
-                    was[0] |= seen
-                else:
-                    state[seg] = [seen.copy(), again.copy()]
-        if state:
-            yield pa.RecordBatch.from_arrays([pa.array(list(state), pa.int32()), pa.array([zlib.compress(x[1].tobytes(), 1) for x in state.values()], pa.binary())], ["seg", "again"])
+from .bitfilter import bits_for, build, known
+from .common import fresh, materialise, partitions_for
 
-    n = min(partitions_for(hashes.sparkSession), max(1, 2 * bits // 8 // SEGMENT_BYTES))
-    built = hashes.select(column).mapInArrow(build, "seg int, seen binary, again binary")
-    merged = built.repartition(n, "seg").mapInArrow(merge, "seg int, again binary")
-    again = np.zeros(2 * bits // 8, np.uint8)
-    for seg, packed in merged.toLocalIterator():  # 2 * bits in all, whatever the input
-        part = np.frombuffer(zlib.decompress(packed), np.uint8)
-        again[seg * SEGMENT_BYTES : seg * SEGMENT_BYTES + len(part)] = part
-    return again
+BITS_PER_ROW = 8
+MIN_BITS, MAX_BITS = 1 << 20, 1 << 29
+#: A group is dealt out by salts if it has more rows than this and than one in HOT_SHARE of an even partition.
+SALTS, LARGE_GROUP, HOT_SHARE = 64, 256, 4
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with keep_id, group_size, kept and text_sha256 (input columns of these names give way).
 
-    ``max_bits`` bounds the filter that is sent to every executor (128 MB for each of two
-    hash functions by default); past it more rows take the exact path.
+    ``max_bits`` bounds the filter that is sent to every executor (64 MB for each of its
+    bit sets by default); past it more rows take the exact path.
     """
     docs = docs.drop("keep_id", "group_size", "kept", "text_sha256")
     spark = docs.sparkSession
-    names = {n: fresh(docs.columns, n) for n in ("h", "maybe")}
+    names = {n: fresh(docs.columns, n) for n in ("h", "maybe", "salt", "hot")}
     text = F.coalesce(F.col(text_col), F.lit(""))
-    hashes = docs.select(F.xxhash64(text).alias("h"))
     rows = docs.count()
-    bits = 1 << int(np.clip(np.ceil(np.log2(max(1, rows) * BITS_PER_ROW)), np.log2(MIN_BITS), np.log2(max_bits)))
-    again = spark.sparkContext.broadcast(repeat_filter(hashes, bits))
+    bits = bits_for(rows, BITS_PER_ROW, MIN_BITS, max_bits)
+    again = spark.sparkContext.broadcast(build(docs.select(F.xxhash64(text).alias("h")), bits)[1])
 
     @F.pandas_udf("boolean")
     def may_repeat(h: pd.Series) -> pd.Series:
-        bitmap = again.value
-        first, second = _positions(h.to_numpy(), bits)
-        return pd.Series(_has(bitmap, first) & _has(bitmap, second + bits))
+        return pd.Series(known(again.value, h.to_numpy(), bits))
 
     marked = docs.withColumn(names["h"], F.xxhash64(text)).withColumn(names["maybe"], may_repeat(names["h"])).drop(names["h"])
     sha = F.sha2(text.cast("binary"), 256)
@@ -114,7 +52,16 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .withColumn("group_size", F.lit(1).cast("long")).withColumn("kept", F.lit(True)).withColumn("text_sha256", sha)
     )
     groups = maybe.groupBy("text_sha256").agg(F.max(id_col).alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    grouped = maybe.join(groups, "text_sha256").withColumn("kept", F.col(id_col).eqNullSafe(F.col("keep_id")))
+    groups = materialise(groups, "exact-groups")
+    # no more than HOT_SHARE groups a partition can be this large, so their hashes may be broadcast
+    hot = groups.filter(F.col("group_size") > max(LARGE_GROUP, rows // (HOT_SHARE * partitions_for(spark)))).select("text_sha256")
+    is_hot = F.col(names["hot"])
+    salt = F.when(is_hot, F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(SALTS))).otherwise(0).cast("int")
+    marks = hot.withColumn(names["hot"], F.lit(True))
+    salted = maybe.join(F.broadcast(marks), "text_sha256", "left").withColumn(names["salt"], salt).drop(names["hot"])
+    copies = groups.join(F.broadcast(marks), "text_sha256", "left")
+    copies = copies.withColumn(names["salt"], F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop(names["hot"])
+    grouped = salted.join(copies, ["text_sha256", names["salt"]]).withColumn("kept", F.col(id_col).eqNullSafe(F.col("keep_id")))
     return grouped.select(alone.columns).unionByName(alone)
 
 

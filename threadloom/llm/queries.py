@@ -41,8 +41,8 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = kept_texts(docs, repeated_spans(docs))
-    lost = kept.select("doc_id", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")).dropDuplicates()
-    return whole_digests(docs).join(lost, "doc_id", "left").select(
+    lost = kept.select("doc_id", "row", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+    return whole_digests(docs).join(lost, ["doc_id", "row"], "left").select(
         "doc_id", "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("kept_sha256", "sha256").alias("kept_sha256")
     )
 

@@ -6,39 +6,36 @@ one document say where windows may recur; only those windows are hashed and coun
 least doc_id that holds each. In that first document, runs of recurring windows are the
 confirmed passages. Passages are dealt to shards by their document; a shard's anchor phrases
 are compiled into one Aho-Corasick automaton with pyahocorasick, and of every document that has
-some of the shard's anchors the stretches around them stream through it. The windows around each hit say which
-passage may lie there, and it is compared word by word, so hash collisions remove nothing: matches of 50 words or more
-with a passage of a smaller doc_id are covered.
+some of the shard's anchors the stretches around them stream through it. Windows around a hit that
+a passage of a smaller doc_id has are covered, after a comparison word by word: hash collisions
+remove nothing, and a text of any length or period takes time in proportion to its words.
 
 A shard that many documents need is dealt out again in bounded parts, each with the shard's
-passages.
+passages; a task holds one shard's passages and a slice of the stretches that stream past them.
 
 Defined cases: a null or empty text has no words; texts under 50 words lose none; rows that
-share a doc_id are one document, so none is first before another; rows with a null doc_id
-neither lose words nor make others lose them; an empty table gives no spans.
+share a doc_id are judged each for itself, and none of them is first before another; rows with a
+null doc_id neither lose words nor make others lose them; an empty table gives no spans.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, text_slices
-from .exact_dedup import _has, _positions, repeat_filter
+from .bitfilter import bits_for, build, known
+from .common import materialise, partitions_for, released, text_slices
 from .words import PlainWords, mix
 
 WINDOW, PHRASE = 50, 8
 _IN_WINDOW = WINDOW - PHRASE + 1
-#: Characters of passages in one shard, and documents whose stretches meet it at once.
-SHARD_CHARS, DOCS_PER_PART = 4 << 20, 4096
-MAX_SHARDS = 1 << 14
+#: Characters of passages in one shard, and documents whose stretches meet one copy of it.
+SHARD_CHARS, DOCS_PER_PART = 2 << 20, 4096
 #: Bits of the id filter ahead of joins with texts, for each id, and at most.
-BITS_PER_ID, MAX_BITS = 16, 1 << 27
+BITS_PER_ID, MAX_BITS = 8, 1 << 27
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -98,15 +95,12 @@ class Windows:
 
 def _known(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose doc_id may be in ``ids``; a filter of bounded size, ahead of an exact join."""
-    spark = docs.sparkSession
-    bits = 1 << int(np.clip(np.ceil(np.log2(max(1, ids.count()) * BITS_PER_ID)), 16, np.log2(MAX_BITS)))
-    hashed = ids.select(F.explode(F.array(F.xxhash64("doc_id"), F.xxhash64("doc_id"))).alias("h"))
-    wanted = spark.sparkContext.broadcast(repeat_filter(hashed, bits))
+    bits = bits_for(ids.count(), BITS_PER_ID, most=MAX_BITS)
+    wanted = docs.sparkSession.sparkContext.broadcast(build(ids.select(F.xxhash64("doc_id").alias("h")), bits)[0])
 
     @F.pandas_udf("boolean")
     def may_be(h: pd.Series) -> pd.Series:
-        first, second = _positions(h.to_numpy(), bits)
-        return pd.Series(_has(wanted.value, first) & _has(wanted.value, second + bits))
+        return pd.Series(known(wanted.value, h.to_numpy(), bits))
 
     return docs.filter(may_be(F.xxhash64("doc_id")))
 
@@ -125,7 +119,7 @@ def _anchors(rows: DataFrame) -> DataFrame:
                     doc, h = doc[new], h[new]
                 yield pa.RecordBatch.from_arrays([pa.array(h), part.column("doc_id").take(pa.array(doc))], ["h", "doc_id"])
 
-    return rows.mapInArrow(run, "h long, doc_id long")
+    return rows.mapInArrow(released(run), "h long, doc_id long")
 
 
 def _candidate_windows(rows: DataFrame) -> DataFrame:
@@ -150,7 +144,7 @@ def _candidate_windows(rows: DataFrame) -> DataFrame:
                 ends = np.append(starts[1:], len(w)) - 1 if len(w) else starts
                 yield pa.RecordBatch.from_arrays([pa.array(w[starts]), pa.array(doc[starts]), pa.array(doc[ends])], ["w", "low", "high"])
 
-    return rows.mapInArrow(run, "w long, low long, high long")
+    return rows.mapInArrow(released(run), "w long, low long, high long")
 
 
 def _passages(rows: DataFrame) -> DataFrame:
@@ -173,11 +167,11 @@ def _passages(rows: DataFrame) -> DataFrame:
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.string(), pa.list_(pa.int64())))], ["doc_id", "passage", "hs"])
 
-    return rows.mapInArrow(run, "doc_id long, passage string, hs array<long>")
+    return rows.mapInArrow(released(run), "doc_id long, passage string, hs array<long>")
 
 
 def _stretches(rows: DataFrame) -> DataFrame:
-    """(shard, doc_id, start, text): the words around a document's anchors, for each shard that has them.
+    """(shard, doc_id, row, start, text): the words around a document's anchors, for each shard that has them.
 
     A stretch holds every window whose anchor the shard has, so the rest of the text need not travel.
     """
@@ -186,7 +180,7 @@ def _stretches(rows: DataFrame) -> DataFrame:
         for batch in batches:
             for part in text_slices(batch, "text"):
                 windows, out = Windows(part.column("text")), []
-                ids, routes = part.column("doc_id").to_pylist(), part.column("routes").to_pylist()
+                ids, own, routes = (part.column(c).to_pylist() for c in ("doc_id", "row", "routes"))
                 for i, text in enumerate(part.column("text").to_pylist()):
                     a, n = int(windows.first[i]), int(windows.first[i + 1] - windows.first[i])
                     least, words = windows.least[a : max(a, a + n - WINDOW + 1)].view(np.int64), text.encode("utf-8", "surrogatepass").split()
@@ -195,71 +189,90 @@ def _stretches(rows: DataFrame) -> DataFrame:
                         for run_ in np.split(starts, np.flatnonzero(np.diff(starts) > WINDOW) + 1):
                             if len(run_):
                                 low, high = int(run_[0]), int(run_[-1]) + WINDOW
-                                out.append((route["shard"], ids[i], low, b" ".join(words[low:high]).decode("utf-8", "surrogatepass")))
+                                out.append((route["shard"], ids[i], own[i], low, b" ".join(words[low:high]).decode("utf-8", "surrogatepass")))
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.int64(), pa.string()))], ["shard", "doc_id", "start", "text"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string()))], ["shard", "doc_id", "row", "start", "text"])
+
+    return rows.mapInArrow(released(run), "shard int, doc_id long, row long, start long, text string")
+
+
+def _words(text: str) -> list[bytes]:
+    return text.encode("utf-8", "surrogatepass").split()
 
-    return rows.mapInArrow(run, "shard int, doc_id long, start long, text string")
+
+def _spaced(words: list[bytes]) -> bytes:
+    return b" " + b" ".join(words) + b" "
 
 
 class Shard:
-    """An automaton over the anchor phrases of passages."""
+    """An automaton over the anchor phrases of passages, as octets."""
 
     def __init__(self, passages: list[tuple[int, str]]):
         import ahocorasick
 
-        self.ids = [p[0] for p in passages]
-        self.words = [p[1].encode("utf-8", "surrogatepass").split() for p in passages]
-        self.automaton, places = ahocorasick.Automaton(), {}
+        self.ids = np.array([p[0] for p in passages], np.int64)
+        self.words = [_words(p[1]) for p in passages]
+        self.automaton = ahocorasick.Automaton()
         windows = Windows(pa.array([p[1] for p in passages], pa.string()))
         at = windows.anchors()
         for i, start in zip(windows.doc[at].tolist(), (at - windows.first[windows.doc[at]]).tolist()):
-            phrase = b" ".join(self.words[i][start : start + PHRASE]).decode("utf-8", "surrogatepass")
-            places.setdefault(f" {phrase} ", []).append((i, start))
-        for phrase, where in places.items():
-            self.automaton.add_word(phrase, where)
-        if places:
+            self.automaton.add_word(_spaced(self.words[i][start : start + PHRASE]).decode("latin-1"), True)
+        if len(at):
             self.automaton.make_automaton()
         inside = np.flatnonzero(windows.inside)
-        order = np.argsort(windows.hashes()[inside], kind="stable")
-        self.keys = windows.hashes()[inside][order]
+        hashes = windows.hashes()[inside] if len(inside) else np.zeros(0, np.uint64)
+        order = np.argsort(hashes, kind="stable")
+        self.keys = hashes[order]
         self.owner = windows.doc[inside][order]
         self.offset = inside[order] - windows.first[self.owner]
-        self.codes: dict[bytes, int] = {}
-        self.coded = [np.array([self.codes.setdefault(w, len(self.codes)) for w in words], np.int64) for words in self.words]
-
-    def covered(self, doc_id: int, text: str) -> list[tuple[int, int]]:
-        """Spans of words that match 50 words or more of a passage of a smaller doc_id."""
-        if not self.coded:
-            return []
-        words = text.encode("utf-8", "surrogatepass").split()
-        joined = " " + b" ".join(words).decode("utf-8", "surrogatepass") + " "
-        located = np.zeros(len(words) + 1, np.int64)
-        starts = None
-        for end, _ in self.automaton.iter(joined):
-            if starts is None:  # place of the space before each word
-                starts = np.flatnonzero(np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32) == 32)
-            located[int(np.searchsorted(starts, end)) - PHRASE + 1] = 1
-        if starts is None or len(words) < WINDOW:
-            return []
-        # of the windows with a located phrase, those that a passage has say where it may lie
-        hashes, before = Windows(pa.array([text], pa.string())).hashes(), np.cumsum(located)
-        first = np.arange(len(hashes))
-        first = first[before[first + _IN_WINDOW] > before[first]]
-        at = np.minimum(np.searchsorted(self.keys, hashes[first]), len(self.keys) - 1)
-        same = self.keys[at] == hashes[first]
-        first, at = first[same], at[same]
-        pairs = np.unique(np.stack([self.owner[at], first - self.offset[at]], axis=1), axis=0).tolist() if len(at) else []
-        tries = [(i, shift) for i, shift in pairs if self.ids[i] < doc_id]
-        known = np.array([self.codes.get(w, -1) for w in words], np.int64) if tries else None
-        spans = []
-        for i, shift in tries:
-            own = self.coded[i]
-            low, high = max(0, shift), min(len(words), shift + len(own))
-            same = np.concatenate(([False], known[low:high] == own[low - shift : high - shift], [False]))
-            edges = np.flatnonzero(same[1:] != same[:-1])
-            spans += [(low + int(a), low + int(b)) for a, b in zip(edges[::2], edges[1::2]) if b - a >= WINDOW]
-        return merged(spans)
+
+    def _located(self, windows: Windows, words: list[list[bytes]]) -> np.ndarray:
+        """The words at which an anchor phrase starts, counted over all texts."""
+        out = np.zeros(len(windows.words) + 1, np.int64)
+        for i, own in enumerate(words):
+            octets, spaces = _spaced(own), None
+            for end, _ in self.automaton.iter(octets.decode("latin-1")):
+                if spaces is None:  # the place of the space before each word
+                    spaces = np.flatnonzero(np.frombuffer(octets, np.uint8) == 32)
+                out[int(windows.first[i]) + int(np.searchsorted(spaces, end)) - PHRASE] = 1
+        return out
+
+    def covered(self, doc_ids: list[int], texts: list[str]) -> list[list[tuple[int, int]]]:
+        """Of each text, the spans of words covered by windows that a passage of a smaller doc_id has."""
+        out: list[list[tuple[int, int]]] = [[] for _ in texts]
+        if not len(self.keys):
+            return out
+        windows, words = Windows(pa.array(texts, pa.string())), [_words(x) for x in texts]
+        if not len(windows.least):
+            return out
+        before = np.cumsum(self._located(windows, words))
+        at = np.flatnonzero(windows.inside)
+        at = at[before[at + _IN_WINDOW - 1] > np.where(at > 0, before[at - 1], 0)]  # windows with a located phrase
+        h = windows.hashes()[at]
+        place = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
+        doc = windows.doc[at]
+        ok = (self.keys[place] == h) & (self.ids[self.owner[place]] < np.array(doc_ids, np.int64)[doc])
+        at, place, doc = at[ok], place[ok], doc[ok]
+        owner, offset = self.owner[place], self.offset[place]
+        cuts = np.flatnonzero((np.diff(at) != 1) | (np.diff(owner) != 0) | (np.diff(offset) != 1) | (np.diff(doc) != 0)) + 1
+        for run in np.split(np.arange(len(at)), cuts) if len(at) else []:
+            i, o, n = int(doc[run[0]]), int(owner[run[0]]), len(run) + WINDOW - 1
+            low, start = int(at[run[0]] - windows.first[i]), int(offset[run[0]])
+            if words[i][low : low + n] == self.words[o][start : start + n]:
+                out[i].append((low, low + n))
+            else:
+                out[i] += [x for k in run.tolist() if (x := self._exact(int(place[k]), words[i], int(at[k] - windows.first[i]), doc_ids[i]))]
+        return [merged(x) for x in out]
+
+    def _exact(self, place: int, words: list[bytes], low: int, doc_id: int) -> tuple[int, int] | None:
+        """The window at ``low`` if any passage with its hash has its words."""
+        key = self.keys[place]
+        while place < len(self.keys) and self.keys[place] == key:
+            o, start = int(self.owner[place]), int(self.offset[place])
+            if self.ids[o] < doc_id and words[low : low + WINDOW] == self.words[o][start : start + WINDOW]:
+                return low, low + WINDOW
+            place += 1
+        return None
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -272,69 +285,103 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, row, text); ``row`` tells rows that share a doc_id apart."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("row"), F.col(text_col).alias("text"))
+    return rows.filter("doc_id is not null and text is not null")
+
+
+def _cover(batches):
+    """Streams rows of (shard, part, doc_id, row, start, text) in this order; a part's passages have a null row and come first."""
+    current, passages, shard = None, [], None
+    for batch in batches:
+        for part in text_slices(batch, "text"):
+            keys, rows = list(zip(part.column(0).to_pylist(), part.column(1).to_pylist())), part.column(3).to_pylist()
+            ids, starts, texts = (part.column(c).to_pylist() for c in (2, 4, 5))
+            at = 0
+            while at < len(keys):
+                if keys[at] != current:
+                    current, passages, shard = keys[at], [], None
+                if rows[at] is None:
+                    passages.append((ids[at], texts[at]))
+                    at += 1
+                    continue
+                end = at
+                while end < len(keys) and keys[end] == current and rows[end] is not None:
+                    end += 1
+                if shard is None:
+                    shard, passages = Shard(passages), []
+                found = [(ids[i], rows[i], [{"a": starts[i] + a, "b": starts[i] + b} for a, b in spans]) for i, spans in zip(range(at, end), shard.covered(ids[at:end], texts[at:end])) if spans]
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), (pa.int64(), pa.int64(), _SPANS))], ["doc_id", "row", "spans"])
+                at = end
+
+
+_SPANS = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, spans): the words [a, b) of each document that loses any, counted from 0."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).filter("doc_id is not null and text is not null")
-    anchors = materialise(_anchors(rows), "phrases-anchors")
+    """(doc_id, row, spans): the words [a, b) of each document that loses any, counted from 0; row is the text's xxhash64."""
+    rows = _rows(docs, id_col, text_col)
+    anchors = materialise(_anchors(rows.select("doc_id", "text")), "phrases-anchors")
     recurring = anchors.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("h")
     hits = materialise(anchors.join(recurring, "h", "left_semi"), "phrases-hits")
-    lists = hits.groupBy("doc_id").agg(F.collect_set("h").alias("hs"))
+    lists = hits.groupBy("doc_id").agg(F.collect_set("h").alias("hs"))  # as long as a document at most
     found = _candidate_windows(_known(rows, hits.select("doc_id").distinct()).join(lists, "doc_id"))
     firsts = found.groupBy("w").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high")
     owners = materialise(firsts.groupBy(F.col("low").alias("doc_id")).agg(F.collect_list("w").alias("ws")), "phrases-windows")
     passages = materialise(_passages(_known(rows, owners.select("doc_id")).join(owners, "doc_id")), "phrases-passages")
     chars = passages.agg(F.coalesce(F.sum(F.length("passage")), F.lit(0))).first()[0]
-    shard = F.pmod(F.xxhash64("doc_id"), F.lit(int(np.clip(-(-chars // SHARD_CHARS), 1, MAX_SHARDS)))).cast("int")
+    shard = F.pmod(F.xxhash64("doc_id"), F.lit(max(1, -(-chars // SHARD_CHARS)))).cast("int")
     seeds = passages.select(shard.alias("shard"), F.explode("hs").alias("h")).distinct()
     routes = materialise(hits.join(seeds, "h").select("doc_id", "shard", "h").distinct(), "phrases-routes")
     parts = routes.select("doc_id", "shard").distinct().groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / DOCS_PER_PART).cast("int").alias("parts"))
     parts = materialise(parts, "phrases-parts")
     wanted = routes.groupBy("doc_id", "shard").agg(F.collect_list("h").alias("hs")).groupBy("doc_id").agg(F.collect_list(F.struct("shard", "hs")).alias("routes"))
-    texts = _stretches(_known(rows, routes.select("doc_id").distinct()).join(wanted, "doc_id")).join(F.broadcast(parts), "shard")  # MAX_SHARDS rows
-    texts = texts.withColumn("part", F.pmod(F.xxhash64("doc_id", "shard"), F.col("parts")).cast("int")).drop("parts")
-    copies = passages.select("doc_id", "passage", shard.alias("shard")).join(F.broadcast(parts), "shard")
-    copies = copies.select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "doc_id", "passage")
-
-    def locate(own: pd.DataFrame, other: pd.DataFrame) -> Iterator[pd.DataFrame] | pd.DataFrame:
-        automaton = Shard(list(own[["doc_id", "passage"]].itertuples(index=False, name=None)))
-        found = [(d, n, s) for d, n, t in zip(other["doc_id"].tolist(), other["start"].tolist(), other["text"].tolist()) if (s := automaton.covered(d, t))]
-        return pd.DataFrame({"doc_id": pd.Series([x[0] for x in found], dtype="int64"), "spans": [[{"a": n + a, "b": n + b} for a, b in s] for _, n, s in found]})
-
-    spans = copies.groupBy("shard", "part").cogroup(texts.groupBy("shard", "part")).applyInPandas(locate, "doc_id long, spans array<struct<a:bigint,b:bigint>>")
-    spans = materialise(spans, "phrases-spans")
-    return spans.groupBy("doc_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
+    texts = _stretches(_known(rows, routes.select("doc_id").distinct()).join(wanted, "doc_id")).join(parts, "shard")
+    texts = texts.withColumn("part", F.pmod(F.xxhash64("doc_id", "shard"), F.col("parts")).cast("int"))
+    copies = passages.select("doc_id", F.col("passage").alias("text"), shard.alias("shard")).join(parts, "shard").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    copies = copies.withColumns({"row": F.lit(None).cast("long"), "start": F.lit(0).cast("long")})
+    columns = ["shard", "part", "doc_id", "row", "start", "text"]
+    both = copies.select(columns).unionByName(texts.select(columns))
+    ordered = both.repartition(partitions_for(docs.sparkSession), "shard", "part").sortWithinPartitions("shard", "part", F.col("row").isNotNull(), "doc_id")
+    spans = materialise(ordered.mapInArrow(released(_cover), "doc_id long, row long, spans array<struct<a:bigint,b:bigint>>"), "phrases-spans")
+    return spans.groupBy("doc_id", "row").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
 
 
 def kept_texts(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_removed, kept) for the documents in ``spans``: their words that stay, joined by one space."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).filter("doc_id is not null and text is not null")
+    """(doc_id, row, n_removed, kept) for the documents in ``spans``: their words that stay, joined by one space."""
 
     def run(batches):
         for batch in batches:
             for part in text_slices(batch, "text"):
                 removed, kept = [], []
                 for text, out in zip(part.column("text").to_pylist(), part.column("spans").to_pylist()):
-                    words, at, stay = text.encode("utf-8", "surrogatepass").split(), 0, []
+                    words, at, stay = _words(text), 0, []
                     for a, b in merged([(s["a"], s["b"]) for s in out]):
                         stay += words[at:a]
                         at = b
                     stay += words[at:]
                     removed.append(len(words) - len(stay))
                     kept.append(b" ".join(stay).decode("utf-8", "surrogatepass"))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "n_removed", "kept"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("row"), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "row", "n_removed", "kept"])
 
-    return _known(rows, spans.select("doc_id")).join(spans, "doc_id").mapInArrow(run, "doc_id long, n_removed long, kept string")
+    rows = _known(_rows(docs, id_col, text_col), spans.select("doc_id")).join(spans, ["doc_id", "row"])
+    return rows.dropDuplicates(["doc_id", "row"]).mapInArrow(released(run), "doc_id long, row long, n_removed long, kept string")
 
 
 def whole_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_words, sha256) of each row's words joined by one space."""
+    """(doc_id, row, n_words, sha256) of each row's words joined by one space."""
     import hashlib
 
     def run(batches):
         for batch in batches:
-            words = [(x or "").encode("utf-8", "surrogatepass").split() for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(w) for w in words], pa.int64()), pa.array([hashlib.sha256(b" ".join(w)).hexdigest() for w in words])], ["doc_id", "n_words", "sha256"]
-            )
-
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, n_words long, sha256 string")
+            for part in text_slices(batch, "text"):
+                words = [_words(x or "") for x in part.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array([len(w) for w in words], pa.int64()), pa.array([hashlib.sha256(b" ".join(w)).hexdigest() for w in words], pa.string())],
+                    ["doc_id", "row", "n_words", "sha256"],
+                )
+
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("row"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(released(run), "doc_id long, row long, n_words long, sha256 string")
