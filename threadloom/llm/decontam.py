@@ -12,7 +12,8 @@ Jaccard similarity at every start around the hit.
 The items are sent to the executors in rounds of bounded size; each round is one pass without
 a shuffle.
 
-Defined cases: null and empty texts match nothing; items without a word match nothing; a text
+Defined cases: null and empty texts match nothing; items without a word or without an id match
+nothing; a text
 or item of fewer than five words has one shingle; texts shorter than an item are compared
 whole; of equal similarities the earliest start and least item id win; repeated rows get equal
 rows; an empty benchmark matches nothing.
@@ -20,22 +21,24 @@ rows; an empty benchmark matches nothing.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_slices
+from .common import released, text_slices
 from .words import LetterWords, mix
 
 SHINGLE = 5
 SIMILARITY = 0.8
 RADIUS = 16
 GRID = 1.1
-#: Items, and characters of items, in one round.
-MAX_ITEMS, MAX_CHARS = 20_000, 16 << 20
+#: Items (some 18 kB of index each), and characters of items, in one round.
+MAX_ITEMS, MAX_CHARS = 4000, 8 << 20
 #: Shingles whose running sums are held at once.
 SEGMENT = 1 << 15
 #: Places in running sums at which texts start; a multiple of every stride.
@@ -62,7 +65,7 @@ def _bits(hashes: np.ndarray) -> np.ndarray:
 
 
 def _prints(ones: np.ndarray, total: np.ndarray) -> np.ndarray:
-    return np.packbits(2 * ones > total[:, None], axis=1).view(">u8").ravel().astype(np.uint64)
+    return np.packbits(2 * ones > total[:, None], axis=1).view(np.uint64).ravel()
 
 
 def _neighbours(value: int, flips: int) -> np.ndarray:
@@ -94,45 +97,57 @@ class RunningSums:
         places = len(self.powers[0]) - size + 1
         if places <= 0:
             return np.zeros(0, np.uint64)
-        total, at = None, 0
+        total, own, at = None, False, 0
         for k in reversed(range(size.bit_length())):
             if size >> k & 1:
                 part = self._power(k)[at : at + places : stride]
-                total = part if total is None else total + part if size < 256 else total.astype(np.uint32) + part
+                if total is None:
+                    total = part
+                elif own and total.dtype == part.dtype and size < 256:
+                    np.add(total, part, out=total)
+                else:
+                    total, own = (total + part if size < 256 else total.astype(np.uint32) + part), True
                 at += 1 << k
-        return np.packbits(total > size // 2, axis=1).view(">u8").ravel().astype(np.uint64)
+        return np.packbits(total > size // 2, axis=1).view(np.uint64).ravel()
 
 
 class SizeClass:
-    """The items of one window size, and the Hamming blocks that index them."""
+    """The items of one window size, and the Hamming blocks that index them.
+
+    A block's table says of each of its 65536 values which items have a neighbour of it there,
+    an item to a bit, for 64 items at a time.
+    """
 
     def __init__(self, size: int, stride: int, items: list[int], prints: np.ndarray, radius: int):
         self.size, self.stride, self.radius = size, stride, radius
         self.items, self.prints = np.array(items), prints
-        self.blocks = []
-        for b, flips in enumerate(block_radii(radius)):
-            if flips < 0:
-                continue
-            shift = np.uint64(48 - 16 * b)
-            near = [_neighbours(int((p >> shift) & np.uint64(0xFFFF)), flips) for p in prints]
-            value = np.concatenate(near)
-            owner = np.repeat(np.arange(len(items)), [len(x) for x in near])
-            order = np.argsort(value, kind="stable")
-            self.blocks.append((shift, np.searchsorted(value[order], np.arange((1 << 16) + 1)), owner[order]))
+        self.tables = []
+        for first in range(0, len(items), 64):
+            own, blocks = prints[first : first + 64], []
+            kind = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if len(own) <= 8 * np.dtype(t).itemsize)
+            for b, flips in enumerate(block_radii(radius)):
+                if flips >= 0:
+                    table = np.zeros(1 << 16, kind)
+                    for j, value in enumerate(own.view(np.uint16)[b::4].tolist()):
+                        table[_neighbours(value, flips)] |= kind(1 << j)
+                    blocks.append((b, table))
+            self.tables.append((first, own, blocks))
 
     def within(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place in ``prints``, item) of every pair within the radius."""
-        at, item = [], []
-        for shift, start, owner in self.blocks:
-            value = ((prints >> shift) & np.uint64(0xFFFF)).astype(np.intp)
-            some = np.flatnonzero((start[1:] > start[:-1])[value])
-            value = value[some]
-            low, n = start[value], start[value + 1] - start[value]
-            who = np.repeat(some, n)
-            which = owner[np.arange(len(who)) + np.repeat(low - (np.cumsum(n) - n), n)]
-            ok = np.bitwise_count(prints[who] ^ self.prints[which]) <= self.radius
-            at.append(who[ok])
-            item.append(which[ok])
+        at, item = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        values = np.ascontiguousarray(prints).view(np.uint16).reshape(-1, 4)
+        for first, own, blocks in self.tables if len(prints) else []:
+            near = None
+            for b, table in blocks:
+                found = np.take(table, values[:, b])
+                near = found if near is None else np.bitwise_or(near, found, out=near)
+            for j, p in enumerate(own):
+                some = np.flatnonzero(near & near.dtype.type(1 << j))
+                some = some[np.bitwise_count(prints[some] ^ p) <= self.radius]
+                if len(some):
+                    at.append(some)
+                    item.append(np.full(len(some), first + j))
         return np.concatenate(at), self.items[np.concatenate(item)]
 
 
@@ -205,8 +220,11 @@ class LeakIndex:
         whole = np.flatnonzero((low == first[doc]) & (high == first[doc + 1]) & (n < self.reach))
         prints = _prints(np.add.reduceat(bits, at[whole], axis=0, dtype=np.int64) if len(whole) == len(at) else np.stack([bits[a : a + k].sum(axis=0, dtype=np.int64) for a, k in zip(at[whole], n[whole])]), n[whole]) if len(whole) else np.zeros(0, np.uint64)
         sizes = np.array([len(x) for x in self.shingles])
-        last, upto = np.flatnonzero(high == first[doc + 1]), np.zeros((len(bits) + 1, 64), np.int32)
-        np.cumsum(bits, axis=0, dtype=np.int32, out=upto[1:])
+        last = np.flatnonzero(high == first[doc + 1])
+        tail = np.minimum(n[last], self.reach)  # the end of each text, as far as an item and a stride reach
+        tail_at = np.cumsum(tail) - tail
+        upto = np.zeros((int(tail.sum()) + 1, 64), np.int32)
+        np.cumsum(bits[np.arange(len(upto) - 1) + np.repeat(at[last] + n[last] - tail - tail_at, tail)], axis=0, dtype=np.int32, out=upto[1:])
         found: dict[tuple[int, int], set[int]] = {}
         for c in self.classes:
             where, item = c.within(sums.prints(c.size, c.stride))
@@ -215,16 +233,22 @@ class LeakIndex:
             ok = where + c.size <= at[own] + n[own]
             where, item, own = where[ok], item[ok], own[ok]
             of, start = doc[own], low[own] + where - at[own]
+            # whole texts that are shorter, and the items' exact sizes at the last places of a text, where the grid has none
             short = np.flatnonzero((n[whole] < c.size) & (n[whole] >= int(0.9 * self.similarity * c.size)))
-            w, i = c.within(prints[short])
-            of, start, item = np.append(of, doc[whole[short[w]]]), np.append(start, low[whole[short[w]]]), np.append(item, i)
-            for size in np.unique(sizes[c.items]).tolist():  # the items' exact sizes at the last places of a text, where the grid has none
+            more, of_more, start_more, size_more = [prints[short]], [doc[whole[short]]], [low[whole[short]]], [np.zeros(len(short), np.int64)]
+            for size in np.unique(sizes[c.items]).tolist():
                 back = np.arange(c.stride + max(0, c.size - size))[None]
                 place = (n[last, None] - size - back).ravel()
-                own, place = np.repeat(last, back.size)[place >= 0], place[place >= 0]
-                w, i = c.within(np.packbits(2 * (upto[at[own] + place + size] - upto[at[own] + place]) > size, axis=1).view(">u8").ravel().astype(np.uint64))
-                w, i = w[sizes[i] == size], i[sizes[i] == size]
-                of, start, item = np.append(of, doc[own[w]]), np.append(start, low[own[w]] + place[w]), np.append(item, i)
+                own, begin = np.repeat(last, back.size)[place >= 0], np.repeat(tail_at + tail - n[last], back.size)[place >= 0]
+                place = place[place >= 0]
+                more.append(np.packbits(2 * (upto[begin + place + size] - upto[begin + place]) > size, axis=1).view(np.uint64).ravel())
+                of_more.append(doc[own])
+                start_more.append(low[own] + place)
+                size_more.append(np.full(len(own), size))
+            w, i = c.within(np.concatenate(more))
+            size = np.concatenate(size_more)[w]
+            w, i = w[(size == 0) | (sizes[i] == size)], i[(size == 0) | (sizes[i] == size)]
+            of, start, item = np.append(of, np.concatenate(of_more)[w]), np.append(start, np.concatenate(start_more)[w]), np.append(item, i)
             need = sizes[item]
             likely = known[np.minimum(first[of + 1], start + need + c.stride)] - known[np.maximum(first[of], start - c.stride)] >= self.similarity * need
             for d, i, s in zip(of[likely].tolist(), item[likely].tolist(), start[likely].tolist()):
@@ -253,13 +277,15 @@ class LeakIndex:
         return best
 
 
-def rounds(items: DataFrame, item_id: str, item_text: str) -> list[LeakIndex]:
-    """Indexes over all items, each within the bounds of one round."""
-    rows = items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t"))
+def rounds(items: DataFrame, item_id: str, item_text: str) -> Iterator[Broadcast]:
+    """Indexes over all items, each within the bounds of one round and sent out once."""
+    spark = items.sparkSession
+    rows = items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t")).filter("i is not null")
     n, chars = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("t")), F.lit(0))).first()
     parts = int(max(1, -(-n // MAX_ITEMS), -(-chars // MAX_CHARS)))
     part = F.pmod(F.xxhash64("i"), F.lit(parts))
-    return [LeakIndex([(r["i"], r["t"]) for r in rows.filter(part == p).collect()]) for p in range(parts)]
+    for p in range(parts):
+        yield spark.sparkContext.broadcast(LeakIndex([(r["i"], r["t"]) for r in rows.filter(part == p).collect()]))
 
 
 MATCHES = "array<struct<item_id:bigint,start:bigint,n_words:bigint,similarity:double>>"
@@ -275,11 +301,11 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
         def run(batches, index=index):
             for batch in batches:
                 for part in text_slices(batch, "text"):
-                    found = [old + new for old, new in zip(part.column(2).to_pylist(), index.find(part.column(1)))]
+                    found = [old + new for old, new in zip(part.column(2).to_pylist(), index.value.find(part.column(1)))]
                     found = [sorted(x, key=lambda m: (-m["similarity"], m["item_id"], m["start"])) for x in found]
                     yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, _MATCH)], ["doc_id", "text", "matches"])
 
-        rows = rows.mapInArrow(run, f"doc_id long, text string, matches {MATCHES}")
+        rows = rows.mapInArrow(released(run), f"doc_id long, text string, matches {MATCHES}")
     return rows.select("doc_id", "matches")
 
 
@@ -291,7 +317,7 @@ def decontaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", it
         def run(batches, index=index):
             for batch in batches:
                 for part in text_slices(batch, text_col):
-                    yield part.filter(pa.array([not found for found in index.find(part.column(text_col))], pa.bool_()))
+                    yield part.filter(pa.array([not found for found in index.value.find(part.column(text_col))], pa.bool_()))
 
-        rows = rows.mapInArrow(run, docs.schema)
+        rows = rows.mapInArrow(released(run), docs.schema)
     return rows

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, partitions_for, text_slices
+from .common import materialise, partitions_for, released, text_slices
 from .tokenise import default_tokenizer, encoder
 
 MAX_CODE_BITS = 16
@@ -161,7 +161,7 @@ def token_ids(docs: DataFrame, path: str, end_id: int) -> DataFrame:
                 packed = pa.Array.from_buffers(pa.binary(), len(n), [None, offsets, pa.py_buffer(ids.tobytes())])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), packed], ["doc_id", "n", "ids"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, ids binary")
+    return docs.mapInArrow(released(run), "doc_id long, n long, ids binary")
 
 
 def _ids_of(column: pa.Array, dtype: np.dtype) -> np.ndarray:
@@ -183,7 +183,7 @@ def global_counts(tokens: DataFrame, dtype: np.dtype) -> np.ndarray:
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(counts[used], pa.int64())], ["id", "n"])
 
-    rows = tokens.select("ids").mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    rows = tokens.select("ids").mapInArrow(released(run), "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(int(rows.id.max()) + 1 if len(rows) else 1, np.int64)
     counts[rows.id.to_numpy()] = rows.n.to_numpy()
     return counts
@@ -237,9 +237,9 @@ def write_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
         if held:
             yield flush()
 
-    encoded = tokens.mapInArrow(encode, "part int, doc_id long, n long, marks binary, bits binary")
+    encoded = tokens.mapInArrow(released(encode), "part int, doc_id long, n long, marks binary, bits binary")
     ordered = encoded.repartition(max(partitions_for(spark), min(n_parts, 512)), "part").sortWithinPartitions("part", "doc_id")
-    return header, materialise(ordered.mapInArrow(blocks, BLOCKS), "huffman-blocks")
+    return header, materialise(ordered.mapInArrow(released(blocks), BLOCKS), "huffman-blocks")
 
 
 #: Stands for a null doc_id in the files.
@@ -269,4 +269,4 @@ def read_ids(header: DataFrame, blocks: DataFrame) -> DataFrame:
                     ["doc_id", "start", "n_tokens", "ids_crc32", "ids"],
                 )
 
-    return blocks.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
+    return blocks.mapInArrow(released(run), "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_slices
+from .common import released, text_slices
 from .words import LetterWords
 
 UNKNOWN = "und"
@@ -35,7 +35,6 @@ BLOCK = 64
 DOCS_PER_LANGUAGE = 400
 SPANS_PER_DOC = 6
 WORDS_PER_SPAN = 20
-MAX_LANGUAGES = 64
 #: Training chains: spans in each, and how often the next span changes the language.
 SPANS_PER_CHAIN, SWITCH = 4, 0.3
 
@@ -188,7 +187,7 @@ def fit(spans: list[tuple[str, str]], seed: int = 7, epochs: int = 6, chains_per
 def training_spans(docs: DataFrame, text_col: str, lang_col: str, id_col: str, docs_per_language: int = DOCS_PER_LANGUAGE) -> list[tuple[str, str]]:
     """Spans of words from a bounded, hash-chosen sample of the labelled rows, spread over their whole texts."""
     rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = rows.groupBy(F.col(lang_col).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = rows.groupBy(F.col(lang_col).alias("lang")).count().orderBy("lang").collect()  # a row for each language
     if not counts:
         return []
     lots = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(11)), F.lit(1 << 30))
@@ -206,7 +205,7 @@ def training_spans(docs: DataFrame, text_col: str, lang_col: str, id_col: str, d
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(spans, pa.string())], ["lang", "span"])
 
     chosen = rows.filter(lots < share).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), lots.alias("lot"))
-    return [(r[0], r[1]) for r in chosen.mapInArrow(run, "lang string, span string").collect()]
+    return [(r[0], r[1]) for r in chosen.mapInArrow(released(run), "lang string, span string").collect()]
 
 
 def identify(docs: DataFrame, model: ChainModel | None, id_col: str = "doc_id", text_col: str = "text", with_runs: bool = False) -> DataFrame:
@@ -248,7 +247,7 @@ def identify(docs: DataFrame, model: ChainModel | None, id_col: str = "doc_id",
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(run, schema)
+    return narrow.mapInArrow(released(run), schema)
 
 
 def identified(docs: DataFrame, model: ChainModel | None, min_share: float, text_col: str = "text") -> DataFrame:
@@ -268,4 +267,4 @@ def identified(docs: DataFrame, model: ChainModel | None, min_share: float, text
                     good[has] = share.max(axis=1) >= min_share
                 yield part.filter(pa.array(good))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)

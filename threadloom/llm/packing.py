@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, text_slices
+from .common import materialise, released, text_slices
 from .tokenise import default_tokenizer, encoder
 
 LENGTH = 1024
@@ -103,6 +103,6 @@ def pack(
         return pd.DataFrame({f: pd.array(c, "Int64") for f, c in zip(fields, zip(*rows))})
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    placed = materialise(narrow.mapInArrow(run, SCHEMA + ", merge int, final boolean"), "packing")
+    placed = materialise(narrow.mapInArrow(released(run), SCHEMA + ", merge int, final boolean"), "packing")
     merged = placed.filter("not final").groupBy("merge").applyInPandas(merge, SCHEMA)
     return placed.filter("final").select(fields).unionByName(merged)

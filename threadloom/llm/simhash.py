@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, materialise, partitions_for
+from .common import fresh, materialise, partitions_for, released
 from .components import connected_components
 from .line_dedup import _bounds, _groups
 
@@ -70,7 +70,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], ["doc_id", "fp"])
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, fp long")
+    return narrow.mapInArrow(released(run), "doc_id long, fp long")
 
 
 def _near(x: np.ndarray) -> np.ndarray:
@@ -175,7 +175,7 @@ def hamming_links(reps: DataFrame, large_key: int = LARGE_KEY, label: str = "sim
     found = None
     for level in range(len(SPLITS) + 1):
         grouped = rows.repartition(n, "key").sortWithinPartitions("key", "turned")
-        out = materialise(grouped.mapInArrow(_links_of(level, large_key), "key long, a long, b long"), label)
+        out = materialise(grouped.mapInArrow(released(_links_of(level, large_key)), "key long, a long, b long"), label)
         links = out.filter("key is null").select("a", "b")
         found = links if found is None else found.unionByName(links)
         rows = out.filter("key is not null").select("key", F.col("a").alias("turned"), F.col("b").alias("rep"))
@@ -240,7 +240,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same), pa.array([x.tolist() for x in found], pa.list_(pa.int64()))], ["doc_id", "same", "shingles"])
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    made = materialise(narrow.mapInArrow(sets, "doc_id long, same long, shingles array<long>").filter("size(shingles) > 0"), "jaccard-sets")
+    made = materialise(narrow.mapInArrow(released(sets), "doc_id long, same long, shingles array<long>").filter("size(shingles) > 0"), "jaccard-sets")
     reps = made.groupBy("same").agg(F.min("doc_id").alias("rep"))
     equal = made.select("doc_id", "same").join(reps, "same").filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     nodes = made.join(reps.select("same", F.col("rep").alias("doc_id")), ["same", "doc_id"], "left_semi").dropDuplicates(["same"])
@@ -252,7 +252,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 least = x[: len(x) - int(np.ceil(similarity * len(x) - 1e-9)) + 1]
                 yield pa.RecordBatch.from_arrays([pa.array(least, pa.int64()), pa.array([doc] * len(least), pa.int64())], ["key", "doc_id"])
 
-    keys = nodes.select("doc_id", "shingles").mapInArrow(prefixes, "key long, doc_id long")
+    keys = nodes.select("doc_id", "shingles").mapInArrow(released(prefixes), "key long, doc_id long")
     groups = keys.groupBy("key").agg(F.array_sort(F.collect_set("doc_id")).alias("docs")).filter("size(docs) > 1").select("docs").distinct()
     members = materialise(groups.select(F.xxhash64("docs").alias("grp"), F.explode("docs").alias("doc_id")), "jaccard-groups")
     rows = members.join(nodes.select("doc_id", "shingles"), "doc_id").select("grp", "doc_id", "shingles")

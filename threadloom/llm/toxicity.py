@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_slices
+from .common import released, text_slices
 from .words import LetterWords
 
 FEATURE_BITS = 21
@@ -64,7 +64,7 @@ def sample_features(rows: DataFrame) -> list[np.ndarray]:
                 lists = [np.unique(hashed[word[a:b]]) for a, b in zip(cuts, cuts[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in lists], pa.binary())], ["f"])
 
-    return [np.frombuffer(r[0], np.int64) for r in rows.select("text").mapInArrow(run, "f binary").collect()]
+    return [np.frombuffer(r[0], np.int64) for r in rows.select("text").mapInArrow(released(run), "f binary").collect()]
 
 
 def _softplus_slope(x: np.ndarray) -> np.ndarray:
@@ -152,4 +152,4 @@ def score(docs: DataFrame, model: PuModel | None, id_col: str = "doc_id", text_c
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out), pa.array((out >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, score double, predicted int")
+    return narrow.mapInArrow(released(run), "doc_id long, score double, predicted int")
