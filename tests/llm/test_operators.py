@@ -160,7 +160,7 @@ def test_encoder_is_exact(tokenizer):
     rng = random.Random(3)
     bits = [" ", "  ", "\n", "\t", "a", "Bc", "ü", "漢字", "🙂", "don't", "12", "'s", "!!", "...", "\x1c", "<|endoftext|>", "é", "ǅ", "​", "²"]
     texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 14))) for _ in range(1500)] + [None, "", " "]
-    words = WordEncoder(default_tokenizer(), store_entries=200, piece_entries=50)
+    words = WordEncoder(default_tokenizer(), store_entries=200)
     for start in range(0, len(texts), 300):
         part = texts[start : start + 300]
         ids, counts = words.encode(pa.array(part), 9)
@@ -310,7 +310,7 @@ def brute_lines(texts):
 
     for i, a in enumerate(lines):
         for j in range(i):
-            if abs(len(a) - len(lines[j])) <= 2 and near(a, lines[j]):
+            if near(a, lines[j]):
                 root[find(i)] = find(j)
     classes = collections.defaultdict(list)
     for i, line in enumerate(lines):
@@ -355,8 +355,7 @@ def test_line_dedup_edits_grow_with_the_line(spark):
 def test_large_key_groups():
     rng = random.Random(8)
     lines = sorted({mutate(rng, "the quick brown fox jumps over it", rng.randint(0, 3), "xyz") for _ in range(80)})
-    rows = [(1, i, False, x) for i, x in enumerate(lines)]
-    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["key", "id", "probe", "line"])
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in ([1] * len(lines), range(len(lines)), lines)], ["grp", "id", "line"])
     links = {(min(a, b), max(a, b)) for out in line_dedup._verify(iter([batch])) for a, b in zip(*(c.to_pylist() for c in out.columns))}
     part = {i: i for i in range(len(lines))}
 
@@ -530,3 +529,99 @@ def exact_dedup_cache(rows):
     from threadloom.llm.common import materialise
 
     return materialise(rows, "test")
+
+
+# rows that share an id, and rows without one
+
+
+def test_line_dedup_rows_that_share_an_id(spark):
+    rows = [(1, "the quick brown fox jumps"), (2, "the quick brown fox jumps"), (2, "completely different unique line here"), (None, "a line that only the row without an id has"), (None, None), (2, "completely different unique line here")]
+    got = line_dedup.deduplicate_lines(frame(spark, [t for _, t in rows], [i for i, _ in rows]))
+    want = [(1, "the quick brown fox jumps"), (2, ""), (2, rows[2][1]), (2, rows[2][1]), (None, rows[3][1]), (None, None)]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(want, key=str)
+
+
+def test_substring_dedup_rows_that_share_an_id(spark):
+    shared, own = " ".join(f"s{i}" for i in range(60)), " ".join(f"o{i}" for i in range(60))
+    docs = frame(spark, [shared, shared, own, own, None], [1, 2, 2, 2, None])
+    docs.select("doc_id", "text").write.mode("overwrite").parquet("/tmp/threadloom-test/documents.parquet")
+    got = queries.op2_substring_dedup(spark, "/tmp/threadloom-test").collect()
+    assert sorted((r.doc_id or 0, r.n_words, r.n_removed) for r in got) == [(0, 0, 0), (1, 60, 0), (2, 60, 0), (2, 60, 0), (2, 60, 60)]
+
+
+def test_periodic_texts_take_linear_time(spark):
+    texts = [" ".join(["a", "b", "c"] * 8000), " ".join(["a", "b", "c"] * 9000)]
+    spans = {r.doc_id: [(s.a, s.b) for s in r.spans] for r in substring_dedup.repeated_spans(frame(spark, texts)).collect()}
+    assert {i: substring_dedup.merged(s) for i, s in spans.items()} == {1: [(0, 27000)]}
+
+
+def test_simhash_rows_without_or_with_shared_ids(spark):
+    texts, ids = ["one text of some words here", "one text of some words here", "quite another text with words", "a third of them stands alone"], [None, 7, 7, 7]
+    got = simhash.near_duplicates(frame(spark, texts, ids)).collect()
+    assert sorted(((r.doc_id, r.component_id) for r in got), key=str) == sorted([(None, None), (7, None), (7, 7), (7, 7)], key=str)
+    kept = simhash.one_of_each(frame(spark, texts, ids))
+    assert sorted(r.text for r in kept.collect()) == sorted({*texts})
+
+
+def test_every_language_is_learned(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(f"{x}{y}", " ".join(f"{x}{y}{x}{k}{y}" for k in letters)) for x in letters[:10] for y in letters[10:17]]
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    assert len({lang for lang, _ in langid.training_spans(docs, "text", "lang", "doc_id")}) == 70
+
+
+def test_risk_and_gradient_of_pu_learning():
+    """One step of one classifier goes against the gradient of the risk as written down."""
+    rng = np.random.default_rng(2)
+    toxic = [np.unique(rng.integers(0, 6, 4)) for _ in range(40)]
+    unlabelled = [np.unique(rng.integers(4, 30, 4)) for _ in range(120)]
+    model = toxicity.fit(toxic, unlabelled, 0.2, members=1, steps=1, rate=0.01, decay=0.0)
+    assert len(model.features)
+    rng = np.random.default_rng(5)
+    rows = [np.isin(model.features, x).astype(float) for x in toxic], [np.isin(model.features, x).astype(float) for x in unlabelled]
+    p, u = (np.array(x)[rng.integers(len(x), size=len(x))] for x in rows)
+
+    def risk(w):
+        logit = lambda x: x @ w[:-1] + w[-1]
+        loss = lambda z: np.log1p(np.exp(-z)).mean()
+        corrected = loss(-logit(u)) - 0.2 * loss(-logit(p))
+        return 0.2 * loss(logit(p)) + corrected if corrected >= 0 else -corrected
+
+    start = np.append(np.zeros(len(model.features)), np.log(0.2 / 0.8))
+    slope = np.array([(risk(start + e) - risk(start - e)) / 2e-5 for e in 1e-5 * np.eye(len(start))])
+    step = np.append(model.weights, model.bias) - start
+    sure = np.abs(slope) > 1e-4
+    assert sure.any() and (np.sign(step[sure]) == -np.sign(slope[sure])).all()
+
+
+def test_shuffle_is_uniform(spark):
+    """Over many seeds, every row comes to every shard about equally often."""
+    docs = frame(spark, [str(i) for i in range(40)]).coalesce(1).cache()
+    counts = np.zeros((40, 4))
+    for seed in range(60):
+        for r in sharding.uniform_shards(docs, 4, seed).select("doc_id", "shard").collect():
+            counts[r.doc_id, r.shard] += 1
+    chi = ((counts - 15) ** 2 / 15).sum()
+    assert 60 < chi < 190  # 120 degrees of freedom
+
+
+def test_best_fit_and_fullest_out():
+    rng = random.Random(4)
+    windows, slow, closed = packing.OpenWindows(100, 3, 0), {}, {}
+    for i in range(500):
+        size, out = rng.randint(1, 99), None
+        fits = [w for w, used in slow.items() if used + size <= 100]
+        if fits:
+            at = max(fits, key=lambda w: (slow[w], -w))
+        else:
+            if len(slow) == 3:
+                out = max(slow, key=lambda w: (slow[w], -w))
+                closed[out] = slow.pop(out)
+            at = len(slow) + len(closed)
+            slow[at] = 0
+        slow[at] += size
+        got = windows.place((i, 0, size, 0, size))
+        if slow[at] == 100:
+            closed[at] = slow.pop(at)
+        assert {w for _, w in windows.room} == set(slow) and all(100 - room == slow[w] for room, w in windows.room)
+        assert out is None or out in {x[5] for x in got}

@@ -96,6 +96,6 @@ def build(hashes: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
     gathered = dealt.repartition(n, "seg").sortWithinPartitions("seg").mapInArrow(released(gather), "seg int, seen binary, again binary")
     seen, again, size = np.zeros(HASHES * bits // 8, np.uint8), np.zeros(HASHES * bits // 8, np.uint8), (1 << SEGMENT_BITS) // 8
     for seg, one, two in gathered.toLocalIterator():  # 2 * HASHES * bits in all, whatever the input
-        seen[seg * size : (seg + 1) * size] = np.frombuffer(one, np.uint8)
-        again[seg * size : (seg + 1) * size] = np.frombuffer(two, np.uint8)
+        seen[seg * size : (seg + 1) * size] = np.frombuffer(one, np.uint8)[: len(seen)]
+        again[seg * size : (seg + 1) * size] = np.frombuffer(two, np.uint8)[: len(seen)]
     return seen, again

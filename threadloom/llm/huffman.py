@@ -11,7 +11,8 @@ all little-endian. Decoding peeks a code's widest length at once in a table of (
 every checkpoint is a lane of its own, so a block's lanes are decoded side by side.
 
 Defined cases: a null text has the end id alone; repeated rows are written as often as they
-come; rows of equal doc_id follow each other; null ids come first; an empty table has no blocks.
+come; rows of equal doc_id follow each other, ordered by their ids' hash; null ids come first; an
+empty table has no blocks.
 """
 
 from __future__ import annotations
@@ -30,8 +31,7 @@ from .tokenise import default_tokenizer, encoder
 MAX_CODE_BITS = 16
 CHECKPOINT = 128
 IDS_PER_BLOCK = 1 << 16
-IDS_PER_PART = 1 << 22
-MAX_PARTS = 4096
+IDS_PER_PART = 1 << 25
 MAGIC = b"THB1"
 BLOCKS = "part int, start_in_part long, n_docs long, n_ids long, payload binary"
 
@@ -43,7 +43,7 @@ def code_lengths(counts: np.ndarray, max_bits: int = MAX_CODE_BITS) -> np.ndarra
     if len(used) < 2:
         lengths[used] = 1
         return lengths
-    max_bits = max(max_bits, int(np.ceil(np.log2(len(used)))))
+    max_bits = max(max_bits, int(np.ceil(np.log2(len(used)))))  # 16 are enough for 65536 ids
     used = used[np.argsort(counts[used], kind="stable")]
     leaves = counts[used].astype(np.float64)
     is_leaf, row = [], leaves
@@ -87,24 +87,40 @@ def decoding_table(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
 
 
 def encode_documents(ids: np.ndarray, counts: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> list[tuple[bytes, bytes]]:
-    """(checkpoints, bits) of each document; the checkpoints count bits from the document's own start."""
-    size = lengths[ids].astype(np.int64)
-    ends, doc_end = np.cumsum(size), np.cumsum(counts)
-    doc_first = doc_end - counts
-    before = np.where(doc_first > 0, ends[doc_first - 1], 0)
-    octets = (ends[doc_end - 1] - before + 7) // 8
+    """(checkpoints, bits) of each document; the checkpoints count bits from the document's own start.
+
+    Every document has an id at least; codes are of 16 bits at most.
+    """
+    if not len(ids):
+        return []
+    if lengths.max() > 16:
+        raise ValueError("codes of more than 16 bits")
+    each = -(-counts // 4)  # four codes of 16 bits at most make one word; documents are filled up with codes of no bits
+    room = np.cumsum(each) - each
+    place = np.arange(len(ids)) + np.repeat(4 * room - (np.cumsum(counts) - counts), counts)
+    size, code = np.zeros(4 * int(each.sum()), np.uint8), np.zeros(4 * int(each.sum()), np.uint64)
+    size[place], code[place] = lengths[ids], codes[ids]
+    starts = np.cumsum(size, dtype=np.int64) - size
+    four = size.reshape(-1, 4).astype(np.uint64)
+    word, wide = code.reshape(-1, 4)[:, 0], four[:, 0]
+    for k in range(1, 4):
+        word, wide = (word << four[:, k]) | code.reshape(-1, 4)[:, k], wide + four[:, k]
+    before = starts[4 * room]  # bits ahead of each document
+    octets = (np.append(before[1:], int(size.sum(dtype=np.int64))) - before + 7) // 8
     base = np.cumsum(octets) - octets
-    inside = ends - size - np.repeat(before, counts)
-    at = inside + np.repeat(base * 8, counts)
-    value = codes[ids].astype(np.uint64) << (np.uint64(32) - size.astype(np.uint64) - (at & 7).astype(np.uint64))
-    byte, total = at >> 3, int(octets.sum()) + 4
-    bits = np.zeros(total)
-    for k in range(4):
-        bits += np.bincount(byte + k, ((value >> np.uint64(24 - 8 * k)) & np.uint64(255)).astype(np.float32), total)
-    bits = bits.astype(np.uint8).tobytes()
+    at = starts[::4] + np.repeat(8 * base - before, each)
+    cell, used = at >> 6, (at & 63).astype(np.uint64)
+    # a word lies in one cell or in two that follow each other; numpy shifts by less than 64 alone
+    left = np.where(wide > 0, word << ((np.uint64(64) - wide) & np.uint64(63)), np.uint64(0))
+    bits = np.zeros((8 * int(octets.sum()) >> 6) + 2, np.uint64)
+    for where, part in ((cell, left >> used), (cell + 1, np.where(used > 0, left << ((np.uint64(64) - used) & np.uint64(63)), np.uint64(0)))):
+        first = np.flatnonzero(np.concatenate(([True], where[1:] != where[:-1])))
+        bits[where[first]] |= np.bitwise_or.reduceat(part, first)
+    bits = bits.astype(">u8").tobytes()
+    inside = starts - np.repeat(before, 4 * each)
     return [
-        (inside[f : f + n : CHECKPOINT].astype("<u4").tobytes(), bits[b : b + o])
-        for f, n, b, o in zip(doc_first.tolist(), counts.tolist(), base.tolist(), octets.tolist())
+        (inside[4 * r : 4 * r + n : CHECKPOINT].astype("<u4").tobytes(), bits[b : b + o])
+        for r, n, b, o in zip(room.tolist(), counts.tolist(), base.tolist(), octets.tolist())
     ]
 
 
@@ -149,19 +165,30 @@ def read_block(payload: bytes, table: tuple[np.ndarray, np.ndarray, int]) -> tup
 
 
 def token_ids(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """(doc_id, n, ids) per row: every text's ids and the end id, as little-endian integers of the vocabulary's width."""
+    """(doc_id, n, ids, used, times) per row: every text's ids and the end id, as little-endian integers of the vocabulary's width.
+
+    The last row of each task has no ids, but which ids the task's texts have and how often.
+    """
 
     def run(batches):
         words = encoder(path)
+        counts = np.zeros(1 << (8 * words.dtype.itemsize) if words.dtype.itemsize < 4 else words.tokenizer.get_vocab_size() + end_id + 1, np.int64)
+        none = lambda n, kind: pa.nulls(n, kind)
         for batch in batches:
-            for part in text_slices(batch, "text", 2 << 20):
+            for part in text_slices(batch, "text"):
                 ids, n = words.encode(part.column("text"), end_id)
+                counts += np.bincount(ids, minlength=len(counts))
                 ends = np.cumsum(n) * words.dtype.itemsize
                 offsets = pa.py_buffer(np.concatenate(([0], ends)).astype(np.int32))
                 packed = pa.Array.from_buffers(pa.binary(), len(n), [None, offsets, pa.py_buffer(ids.tobytes())])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), packed], ["doc_id", "n", "ids"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), packed, none(len(n), _LIST), none(len(n), _LIST)], _TOKENS)
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([none(1, pa.int64()), none(1, pa.int64()), none(1, pa.binary()), pa.array([used], _LIST), pa.array([counts[used]], _LIST)], _TOKENS)
+
+    return docs.mapInArrow(released(run), "doc_id long, n long, ids binary, used array<long>, times array<long>")
 
-    return docs.mapInArrow(released(run), "doc_id long, n long, ids binary")
+
+_LIST, _TOKENS = pa.list_(pa.int64()), ["doc_id", "n", "ids", "used", "times"]
 
 
 def _ids_of(column: pa.Array, dtype: np.dtype) -> np.ndarray:
@@ -170,22 +197,12 @@ def _ids_of(column: pa.Array, dtype: np.dtype) -> np.ndarray:
     return np.frombuffer(column.buffers()[2] or b"", dtype, int(high - low) // dtype.itemsize, int(low))
 
 
-def global_counts(tokens: DataFrame, dtype: np.dtype) -> np.ndarray:
+def global_counts(tokens: DataFrame) -> np.ndarray:
     """How often each id occurs in all documents; the vocabulary bounds what reaches the driver."""
-
-    def run(batches):
-        counts = np.zeros(1, np.int64)
-        for batch in batches:
-            for part in text_slices(batch, "ids"):
-                more = np.bincount(_ids_of(part.column(0), dtype), minlength=len(counts))
-                more[: len(counts)] += counts
-                counts = more
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(counts[used], pa.int64())], ["id", "n"])
-
-    rows = tokens.select("ids").mapInArrow(released(run), "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    each = tokens.filter("used is not null").select(F.explode(F.arrays_zip("used", "times")).alias("x"))
+    rows = each.groupBy(F.col("x.used").alias("id")).agg(F.sum("x.times").alias("n")).toPandas()
     counts = np.zeros(int(rows.id.max()) + 1 if len(rows) else 1, np.int64)
-    counts[rows.id.to_numpy()] = rows.n.to_numpy()
+    counts[rows.id.to_numpy(np.int64)] = rows.n.to_numpy(np.int64)
     return counts
 
 
@@ -198,23 +215,24 @@ def write_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
         raise ValueError(f"the end id {end_id} is beyond the vocabulary's integers")
     dtype = words.dtype
     tokens = materialise(token_ids(narrow, path, end_id), "huffman-tokens", "zstd")
-    counts = global_counts(tokens, dtype)
+    counts = global_counts(tokens)
     lengths = code_lengths(counts)
     codes = canonical_codes(lengths)
     header = materialise(spark.createDataFrame([(bytearray(lengths.tobytes()),)], "code_lengths binary"), "huffman-header")
-    n_parts = int(np.clip(counts.sum() // IDS_PER_PART, 1, MAX_PARTS))
+
+    n_parts = int(max(partitions_for(spark), -(-int(counts.sum()) // IDS_PER_PART)))
     bounds = np.unique(tokens.approxQuantile("doc_id", [i / n_parts for i in range(1, n_parts)], 0.1 / n_parts)) if n_parts > 1 else np.zeros(0)
+    deal = _dealing_keys(spark, n_parts)
 
     def encode(batches):
         for batch in batches:
             for part in text_slices(batch, "ids", 1 << 20):
                 n, ids = part.column("n").to_numpy(), _ids_of(part.column("ids"), dtype)
                 rows = encode_documents(ids, n, lengths, codes)
-                doc_ids = part.column("doc_id")
-                of = np.searchsorted(bounds, doc_ids.fill_null(-(1 << 63)).to_numpy(), side="right")
+                of = np.searchsorted(bounds, part.column("doc_id").fill_null(NULL_ID).to_numpy(), side="right")
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(of, pa.int32()), doc_ids, pa.array(n, pa.int64()), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary())],
-                    ["part", "doc_id", "n", "marks", "bits"],
+                    [pa.array(deal[of]), pa.array(of, pa.int32()), part.column("doc_id"), part.column("tie"), pa.array(n, pa.int64()), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary())],
+                    ["deal", "part", "doc_id", "tie", "n", "marks", "bits"],
                 )
 
     def blocks(batches):
@@ -227,7 +245,7 @@ def write_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
             return pa.RecordBatch.from_arrays(row, ["part", "start_in_part", "n_docs", "n_ids", "payload"])
 
         for batch in batches:
-            for of, doc_id, n, marks, bits in zip(*(c.to_pylist() for c in batch.columns)):
+            for _, of, doc_id, _, n, marks, bits in zip(*(c.to_pylist() for c in batch.columns)):
                 if held and (of != part or size >= IDS_PER_BLOCK):
                     yield flush()
                 if of != part:
@@ -237,11 +255,20 @@ def write_ids(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
         if held:
             yield flush()
 
-    encoded = tokens.mapInArrow(released(encode), "part int, doc_id long, n long, marks binary, bits binary")
-    ordered = encoded.repartition(max(partitions_for(spark), min(n_parts, 512)), "part").sortWithinPartitions("part", "doc_id")
+    rows = tokens.filter("n is not null").select("doc_id", F.xxhash64("ids").alias("tie"), "n", "ids")
+    encoded = rows.mapInArrow(released(encode), "deal int, part int, doc_id long, tie long, n long, marks binary, bits binary")
+    ordered = encoded.repartition(n_parts, "deal").sortWithinPartitions("part", "doc_id", "tie", "n")
     return header, materialise(ordered.mapInArrow(released(blocks), BLOCKS), "huffman-blocks")
 
 
+def _dealing_keys(spark, n: int) -> np.ndarray:
+    """Of each of ``n`` parts, a key that the hash partitioning of ``n`` partitions sends to a partition of its own."""
+    keys = spark.range(40 * n).select(F.col("id").cast("int").alias("k")).groupBy(F.pmod(F.hash("k"), F.lit(n)).alias("p")).agg(F.min("k").alias("k")).toPandas()  # n rows
+    out = np.arange(n, dtype=np.int32)
+    out[keys.p.to_numpy(np.int64)] = keys.k.to_numpy(np.int32)
+    return out
+
+
 #: Stands for a null doc_id in the files.
 NULL_ID = -(1 << 63)
 
@@ -249,7 +276,7 @@ NULL_ID = -(1 << 63)
 def read_ids(header: DataFrame, blocks: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32, ids) per document, from the files alone; ids are little-endian u32."""
     lengths = np.frombuffer(header.first()[0], np.uint8)
-    totals = dict(blocks.groupBy("part").agg(F.sum("n_ids")).collect())  # MAX_PARTS rows
+    totals = dict(blocks.groupBy("part").agg(F.sum("n_ids")).collect())  # a row for each part
     starts, total = {}, 0
     for part in sorted(totals):
         starts[part], total = total, total + totals[part]

@@ -77,9 +77,10 @@ def uniform_shards(docs: DataFrame, n_shards: int, seed: int = 20240501, id_col:
     """``docs`` with shard (0 to ``n_shards`` - 1) and slot (gapless from 0 in its shard); input columns of these names give way."""
     docs = docs.drop("shard", "slot")
     spark = docs.sparkSession
-    c = {n: fresh(docs.columns, n) for n in ("part", "first", "second", "rank", "block")}
+    c = {n: fresh(docs.columns, n) for n in ("part", "first", "second", "rank", "block", "tie")}
     ident = F.coalesce(F.col(id_col).cast("string"), F.lit("\0"))
-    keyed = docs.withColumn(c["first"], F.xxhash64(ident, F.lit(seed)))
+    tie = F.xxhash64(*(F.col(f"`{x}`") for x, kind in docs.dtypes if not kind.startswith("map")))  # rows with equal ids keep their places in a rerun
+    keyed = docs.withColumn(c["first"], F.xxhash64(ident, F.lit(seed))).withColumn(c["tie"], tie)
     total = docs.count()
     n_parts = int(np.clip(-(-total // ROWS_PER_BLOCK), 16, MAX_SIDE))
     per_shard = int(np.clip(-(-total // (ROWS_PER_BLOCK * n_shards)), 1, max(1, MAX_SIDE // n_shards)))
@@ -99,10 +100,10 @@ def uniform_shards(docs: DataFrame, n_shards: int, seed: int = 20240501, id_col:
             out[at] = np.searchsorted(rows[one], rank[at] - 1, side="right")
         return pd.Series(out)
 
-    within = Window.partitionBy(c["part"]).orderBy(c["first"], id_col)
+    within = Window.partitionBy(c["part"]).orderBy(c["first"], id_col, c["tie"])
     dealt = keyed.withColumn(c["part"], part).withColumn(c["rank"], F.row_number().over(within))
     dealt = dealt.withColumn(c["block"], block_of(c["part"], c["rank"])).withColumn(c["second"], F.xxhash64(ident, F.lit(seed + 2)))
-    within = Window.partitionBy(c["block"]).orderBy(c["second"], id_col)
+    within = Window.partitionBy(c["block"]).orderBy(c["second"], id_col, c["tie"])
     base = F.element_at(F.array(*(F.lit(int(b)) for b in bases)), F.col(c["block"]) + 1)
     return (
         dealt.withColumn("slot", (base + F.row_number().over(within) - 1).cast("long"))

@@ -10,7 +10,9 @@ Equal fingerprints are one node from the start, and each key's links come out as
 nothing is ever expanded into all pairs.
 
 Defined cases: null and empty texts have fingerprint zero and link like any other; texts of
-one or two words have one shingle; repeated rows are copies; an empty table gives none.
+one or two words have one shingle; repeated rows are copies; rows that share a doc_id are documents
+of their own; a null doc_id is less than any other, and is the component_id where it is in one; an
+empty table gives none.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fresh, materialise, partitions_for, released
@@ -30,6 +32,8 @@ SHINGLE = 3
 SEED = 42
 SEGMENTS, SEGMENT_BITS = 16, 4
 KEY_BITS = 20
+#: Stands for a null doc_id.
+NULL_ID = -(1 << 63)
 #: Chain lengths in bits at which the proportional budget grows, and the budget up to there.
 BUDGETS = ((40, 1), (60, 2), (64, 3))
 #: A key shared by more fingerprints than this is split, twice at most.
@@ -61,15 +65,19 @@ def fingerprint(text: str | None) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
 
 
+def _id(id_col: str) -> Column:
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID).cast("long"))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): one row per row of ``docs``, fp as a signed long."""
+    """(doc_id, fp): one row per row of ``docs``, fp as a signed long, a null id as ``NULL_ID``."""
 
     def run(batches):
         for batch in batches:
             values = np.array([fingerprint(x.as_py()) for x in batch.column(1)], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], ["doc_id", "fp"])
 
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    narrow = docs.select(_id(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return narrow.mapInArrow(released(run), "doc_id long, fp long")
 
 
@@ -182,20 +190,28 @@ def hamming_links(reps: DataFrame, large_key: int = LARGE_KEY, label: str = "sim
     return found.distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id): component_id is the least id reachable over links of at most 3 bits."""
+def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, fp, component_id), null ids as ``NULL_ID``."""
     prints = materialise(fingerprints(docs, id_col, text_col), "simhash-fp")
-    reps = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-rep")
-    roots = connected_components(hamming_links(reps), "simhash-cc")
-    classes = reps.join(roots, reps.rep == roots.node, "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    reps = prints.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"))
+    # a fingerprint is a node of its own: rows that share a doc_id may have different ones
+    reps = materialise(reps.withColumn("node", F.xxhash64("fp")), "simhash-rep")
+    roots = connected_components(hamming_links(reps.select(F.col("node").alias("rep"), "fp")), "simhash-cc").withColumnRenamed("root", "cls")
+    known = reps.join(roots, "node", "left").withColumn("cls", F.coalesce("cls", "node"))
+    least = known.groupBy("cls").agg(F.min("rep").alias("component_id"))
+    classes = materialise(known.join(least, "cls").select("fp", "component_id", "n"), "simhash-classes")
+    # the fingerprints of many rows: so few that they may be broadcast
+    most = max(LARGE_KEY, prints.count() // (4 * partitions_for(docs.sparkSession)))
+    many, few = classes.filter(F.col("n") > most), classes.filter(F.col("n") <= most)
+    hot = prints.join(F.broadcast(many.select("fp", F.col("component_id").alias("hot"))), "fp", "left")
+    out = hot.filter("hot is not null").select("doc_id", "fp", F.col("hot").alias("component_id"))
+    return out.unionByName(hot.filter("hot is null").join(few, "fp").select("doc_id", "fp", "component_id"))
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: the one with the least id of each component."""
-    keep = near_duplicates(docs, id_col, text_col).filter("doc_id = component_id").select(F.col("doc_id").alias(fresh(docs.columns, "keep"))).distinct()
-    name = keep.columns[0]
-    return docs.join(keep, docs[id_col] == keep[name], "left_semi").dropDuplicates([id_col])
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, fp, component_id): component_id is the least id reachable over links of at most 3 bits."""
+    null = F.lit(NULL_ID).cast("long")
+    return _classes(docs, id_col, text_col).select(F.nullif("doc_id", null).alias("doc_id"), "fp", F.nullif("component_id", null).alias("component_id"))
 
 
 def shingle_set(text: str | None, shingle: int) -> np.ndarray:
@@ -225,13 +241,13 @@ def _alike(batches, similarity: float):
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
 
 
-def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """Links (a, b) that join all texts whose shingle sets have this Jaccard similarity.
+def jaccard_links(rows: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """Links (a, b) between the nodes of rows (node, text) that join all texts whose shingle sets have this Jaccard similarity.
 
     Of two such sets, the least hashes of each, one more than it may lack, have one in common:
     no pair is missed. Equal sets are one node; hashes under which the same nodes meet are one group.
     """
-    n = partitions_for(docs.sparkSession)
+    n = partitions_for(rows.sparkSession)
 
     def sets(batches):
         for batch in batches:
@@ -239,7 +255,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             same = np.array([xxhash.xxh64_intdigest(x.tobytes()) for x in found], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same), pa.array([x.tolist() for x in found], pa.list_(pa.int64()))], ["doc_id", "same", "shingles"])
 
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    narrow = rows.select(F.col("node").alias("doc_id"), "text")
     made = materialise(narrow.mapInArrow(released(sets), "doc_id long, same long, shingles array<long>").filter("size(shingles) > 0"), "jaccard-sets")
     reps = made.groupBy("same").agg(F.min("doc_id").alias("rep"))
     equal = made.select("doc_id", "same").join(reps, "same").filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
@@ -260,10 +276,30 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return equal.unionByName(found).distinct()
 
 
-def one_of_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows that stay if fingerprints within the radius and shingle sets of this similarity both link."""
-    prints = near_duplicates(docs, id_col, text_col).filter("doc_id <> component_id").select(F.col("component_id").alias("a"), F.col("doc_id").alias("b"))
-    links = materialise(prints.unionByName(jaccard_links(docs, id_col, text_col, shingle, similarity)), "near-links")
-    name = fresh(docs.columns, "gone")
-    gone = connected_components(links, "near-cc").filter("node <> root").select(F.col("node").alias(name))
-    return docs.join(gone, docs[id_col] == gone[name], "left_anti").dropDuplicates([id_col])
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that stay if fingerprints within the radius link; one of each component, as in ``one_of_near``."""
+    return one_of_near(docs, id_col, text_col, similarity=None)
+
+
+def one_of_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float | None = 0.8) -> DataFrame:
+    """The rows that stay if fingerprints within the radius and shingle sets of this similarity, if any, both link.
+
+    Of what hangs together, the row with the least (doc_id, text hash) stays; of rows equal in both, one.
+    """
+    name, node = fresh(docs.columns, "first"), fresh(docs.columns, "node")
+    texts = docs.select(F.xxhash64(text_col).alias("node"), F.col(text_col).alias("text"), _id(id_col).alias("id"))
+    nodes = materialise(texts.groupBy("node").agg(F.min("text").alias("text"), F.min("id").alias("id")), "near-nodes")
+    prints = fingerprints(nodes, "node", "text").withColumnRenamed("doc_id", "node")
+    prints = materialise(prints, "near-fp")
+    same = prints.groupBy("fp").agg(F.min("node").alias("rep"))
+    equal = prints.join(same, "fp").filter("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b"))
+    links = equal.unionByName(hamming_links(same))
+    if similarity is not None:
+        links = links.unionByName(jaccard_links(nodes.select("node", "text"), shingle, similarity))
+    roots = connected_components(materialise(links, "near-links"), "near-cc")
+    known = nodes.select("node", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    stay = known.groupBy("root").agg(F.min(F.struct("id", "node")).alias("first")).select(F.col("first.node").alias(node), F.col("first.id").alias(name))
+    hashed = docs.withColumn(fresh([*docs.columns, name, node], "h"), F.xxhash64(text_col))
+    h = hashed.columns[-1]
+    kept = hashed.join(stay, (F.col(h) == F.col(node)) & (_id(id_col) == F.col(name)), "left_semi")
+    return kept.dropDuplicates([h, id_col]).drop(h)

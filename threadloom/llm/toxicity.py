@@ -121,7 +121,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     lot = F.xxhash64(F.col(id_col).cast("string"), F.lit(3))
     prior = labels.agg(F.avg(F.col(label_col).cast("double"))).first()[0] or 0.0
     ids = labels.filter(F.col(label_col) == 1).select(id_col).distinct().orderBy(lot).limit(MAX_TOXIC)
-    toxic = docs.join(F.broadcast(ids), id_col, "left_semi").select(F.col(text_col).alias("text")).limit(2 * MAX_TOXIC)
+    toxic = docs.join(F.broadcast(ids), id_col, "left_semi").orderBy(lot, F.xxhash64(text_col)).limit(2 * MAX_TOXIC).select(F.col(text_col).alias("text"))
     total = docs.count()
     share = int(min(1.0, MAX_UNLABELLED / max(1, total)) * (1 << 30))
     unlabelled = docs.filter(F.pmod(lot, F.lit(1 << 30)) < share).select(F.col(text_col).alias("text"))
