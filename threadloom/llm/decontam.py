@@ -41,6 +41,8 @@ GRID = 1.1
 MAX_ITEMS, MAX_CHARS = 4000, 8 << 20
 #: Shingles whose running sums are held at once.
 SEGMENT = 1 << 15
+#: Text scanned at once, in bytes.
+SLICE = 4 << 20
 #: Places in running sums at which texts start; a multiple of every stride.
 ALIGN = 64
 BETWEEN = r"[^\p{L}\p{N}]+"
@@ -277,15 +279,15 @@ class LeakIndex:
         return best
 
 
-def rounds(items: DataFrame, item_id: str, item_text: str) -> Iterator[Broadcast]:
-    """Indexes over all items, each within the bounds of one round and sent out once."""
+def rounds(items: DataFrame, item_id: str, item_text: str) -> Iterator[tuple[Broadcast, bool]]:
+    """Indexes over all items, each within the bounds of one round and sent out once; and whether it is the last."""
     spark = items.sparkSession
     rows = items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t")).filter("i is not null")
     n, chars = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("t")), F.lit(0))).first()
     parts = int(max(1, -(-n // MAX_ITEMS), -(-chars // MAX_CHARS)))
     part = F.pmod(F.xxhash64("i"), F.lit(parts))
     for p in range(parts):
-        yield spark.sparkContext.broadcast(LeakIndex([(r["i"], r["t"]) for r in rows.filter(part == p).collect()]))
+        yield spark.sparkContext.broadcast(LeakIndex([(r["i"], r["t"]) for r in rows.filter(part == p).collect()])), p == parts - 1
 
 
 MATCHES = "array<struct<item_id:bigint,start:bigint,n_words:bigint,similarity:double>>"
@@ -296,27 +298,28 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     """(doc_id, matches) per row of ``docs``: the items it holds, best first."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("matches", F.array().cast(MATCHES))
 
-    for index in rounds(items, item_id, item_text):
+    for index, last in rounds(items, item_id, item_text):
 
-        def run(batches, index=index):
+        def run(batches, index=index, last=last):
             for batch in batches:
-                for part in text_slices(batch, "text"):
+                for part in text_slices(batch, "text", SLICE):
                     found = [old + new for old, new in zip(part.column(2).to_pylist(), index.value.find(part.column(1)))]
                     found = [sorted(x, key=lambda m: (-m["similarity"], m["item_id"], m["start"])) for x in found]
-                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, _MATCH)], ["doc_id", "text", "matches"])
+                    text = [] if last else [part.column(1)]  # no round needs it after the last
+                    yield pa.RecordBatch.from_arrays([part.column(0), *text, pa.array(found, _MATCH)], ["doc_id", *["text"][: len(text)], "matches"])
 
-        rows = rows.mapInArrow(released(run), f"doc_id long, text string, matches {MATCHES}")
+        rows = rows.mapInArrow(released(run), f"doc_id long, {'' if last else 'text string, '}matches {MATCHES}")
     return rows.select("doc_id", "matches")
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``docs`` that hold no item, all columns unchanged."""
     rows = docs
-    for index in rounds(items, item_id, item_text):
+    for index, _ in rounds(items, item_id, item_text):
 
         def run(batches, index=index):
             for batch in batches:
-                for part in text_slices(batch, text_col):
+                for part in text_slices(batch, text_col, SLICE):
                     yield part.filter(pa.array([not found for found in index.value.find(part.column(text_col))], pa.bool_()))
 
         rows = rows.mapInArrow(released(run), docs.schema)

@@ -2,27 +2,32 @@
 
 A single space between two characters that are not white space always starts a new piece
 of the byte-level pre-tokenizer, so a text's ids are those of its space-led chunks put
-together. Chunks are dictionary-encoded batch by batch; new ones reach the tokenizer side by
-side as one text and their ids are told apart by the offsets; ids are gathered with numpy.
-Texts for which the cut is not certain (white space in a row, unusual white space, special
-tokens) go to the tokenizer whole, and so does every text if the file at ``path`` has another
-pre-tokenizer or a normalizer.
+together. Chunks are dictionary-encoded batch by batch, only new ones reach the tokenizer,
+and ids are gathered with numpy. Texts for which the cut is not certain (white space in a
+row, unusual white space, special tokens) go to the tokenizer whole, and so does every text if
+the file at ``path`` has another pre-tokenizer or a normalizer.
 """
 
 from __future__ import annotations
 
 import json
+from array import array
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 
 from .words import mix
 
+#: The pre-tokenizer pattern of byte-level BPE.
+PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Texts that are encoded whole: a space before other white space, or white space beyond tab, newline and space.
 UNSURE = r" \s|[\x00-\x08\x0b-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200f}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
-#: Chunks that each Python worker remembers, at 30 bytes each; characters of new chunks that are encoded at once.
-STORE_ENTRIES, ENCODED_AT_ONCE = 1_200_000, 1 << 15
+#: Chunks are cut into pieces here only if all their characters lie below this.
+PLAIN = "\u0250"
+#: What each Python worker remembers: chunks (30 bytes each) and pieces of chunks (150).
+STORE_ENTRIES, PIECE_ENTRIES = 1_500_000, 100_000
 
 _loaded: dict[str, "WordEncoder"] = {}
 
@@ -40,6 +45,12 @@ def encoder(path: str) -> "WordEncoder":
     return _loaded[path]
 
 
+def _byte_characters() -> dict[int, int]:
+    """Byte-level BPE writes a byte that prints as itself, the others as 256 onwards."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in prints)}
+
+
 class ChunkStore:
     """Ids of chunks met so far, by a 96-bit hash, in sorted arrays: some 30 bytes for each."""
 
@@ -102,48 +113,44 @@ def _hash(chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class WordEncoder:
-    def __init__(self, path: str, store_entries: int = STORE_ENTRIES):
+    def __init__(self, path: str, store_entries: int = STORE_ENTRIES, piece_entries: int = PIECE_ENTRIES):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         form = json.loads(self.tokenizer.to_str())
         before = form.get("pre_tokenizer") or {}
         self.cuts = form.get("normalizer") is None and before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True)
+        self.characters = _byte_characters()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = np.dtype(np.uint16 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.uint32)
         self.store = ChunkStore(self.dtype, store_entries)
+        self.pieces: dict[str, bytes] = {}
+        self.piece_entries = piece_entries
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _chunks(self, chunks: list[str]) -> list[bytes]:
-        """The ids of each chunk; those with a leading space are encoded side by side."""
-        out: list[bytes] = [b""] * len(chunks)
-        held: list[int] = []
-
-        def run():
-            got = self.tokenizer.encode("".join([chunks[i] for i in held]), add_special_tokens=False)
-            ids = np.array(got.ids, self.dtype)
-            starts = np.cumsum([0, *(len(chunks[i]) for i in held[:-1])])
-            first = np.fromiter((x for x, _ in got.offsets), np.int64, len(ids))
-            cuts = np.searchsorted(first, starts)
-            for i, a, b in zip(held, cuts.tolist(), [*cuts[1:].tolist(), len(ids)]):
-                out[i] = ids[a:b].tobytes()
-            held.clear()
-
-        size = 0
-        for i, chunk in enumerate(chunks):
-            if chunk[0] != " " or len(chunk) == 1:
-                out[i] = self._whole(chunk)
-                continue
-            held.append(i)
-            size += len(chunk)
-            if size > ENCODED_AT_ONCE:
-                run()
-                size = 0
-        if held:
-            run()
-        return out
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            if len(self.pieces) >= self.piece_entries:
+                self.pieces.clear()
+            if piece.isascii() and piece[1:].isalpha():  # these characters stand for themselves
+                written = "\u0120" + piece[1:] if piece[0] == " " else piece if piece.isalpha() else None
+            else:
+                written = None
+            if written is None:
+                written = piece.encode().decode("latin-1").translate(self.characters)
+            ids = self.pieces[piece] = array(self.dtype.char, [t.id for t in self.model.tokenize(written)]).tobytes()
+        return ids
+
+    def _chunk(self, chunk: str) -> bytes:
+        if not chunk.isascii() and max(chunk) >= PLAIN:
+            return self._whole(chunk)
+        if chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()):
+            return self._piece(chunk)
+        return b"".join([self._piece(x) for x in PIECES.findall(chunk)])
 
     def _places(self, chunks: pa.Array) -> np.ndarray:
         """Where the store has each chunk; new ones are encoded and stored first."""
@@ -155,7 +162,7 @@ class WordEncoder:
         if len(new):
             _, first = np.unique(key[new], return_index=True)
             first = new[first]
-            self.store.add(key[first], check[first], self._chunks(chunks.take(pa.array(first)).to_pylist()))
+            self.store.add(key[first], check[first], [self._chunk(x) for x in chunks.take(pa.array(first)).to_pylist()])
             at = self.store.find(key, check)
         self.store.hits[at] |= np.uint8(1)
         return at
