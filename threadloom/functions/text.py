@@ -11,7 +11,7 @@ import unicodedata
 from collections.abc import Iterable
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -171,6 +171,22 @@ def acronym_line(x: Column) -> Column:
     )
 
 
+def acronym_map(lines: DataFrame, value: str = "value") -> DataFrame:
+    """(key, title, author) of the lines that have a key and a title; a later line wins."""
+    rows = lines.select(acronym_line(F.col(value)).alias("a"), "_pos").select("a.*", "_pos").filter("key <> '' AND title <> ''")
+    return rows.groupBy("key").agg(F.max_by(F.struct("title", "author"), "_pos").alias("r")).select("key", "r.*")
+
+
+def query_text(x: Column) -> Column:
+    """A search query without outer white space and quotes, percent-encoded."""
+    bare = F.regexp_replace(F.regexp_replace(x, r"^[\s\"']+", ""), r"[\s\"']+$", "")
+    return F.replace(F.url_encode(bare), F.lit("+"), F.lit("%20"))
+
+
+def four_places(x: Column) -> Column:
+    return F.format_string("%.4f", x)
+
+
 def bar(count: Column, most: Column, width: int = 30) -> Column:
     return F.repeat(F.lit("█"), F.floor(count / most * width).cast("int"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import SETTINGS
-from ..functions.text import author_keys, description_text, index_tokens, norm_title, title_acronym
+from ..functions.text import author_keys, description_text, index_tokens, initials, norm_title, title_acronym
 from .labels import last_wins
 
 #: BM25 constants of the full-text search.
@@ -63,12 +63,23 @@ def postings(rows: DataFrame, key: str, tokens: Column) -> DataFrame:
     return counted.select(key, "doc_len", F.explode("tokens").alias("token")).groupBy("token", key, "doc_len").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def search(index: DataFrame, key: str, queries: DataFrame, limit: int) -> DataFrame:
+def search_rows(rows: DataFrame, key: str, tokens: Column, queries: DataFrame, limit: int) -> DataFrame:
+    """``search`` over rows without an index: only the queries' terms become postings."""
+    held = rows.select(key, tokens.alias("tokens")).withColumn("doc_len", F.size("tokens"))
+    size = held.filter("doc_len > 0").agg(F.count(F.lit(1)).alias("n_docs"), F.avg("doc_len").alias("avg_len")).first()
+    terms = queries.select(F.explode("terms").alias("token")).distinct()
+    met = held.select(key, "doc_len", F.explode("tokens").alias("token")).join(terms, "token", "left_semi")
+    return search(met.groupBy("token", key, "doc_len").agg(F.count(F.lit(1)).alias("tf")), key, queries, limit, (size["n_docs"], size["avg_len"]))
+
+
+def search(index: DataFrame, key: str, queries: DataFrame, limit: int, totals: tuple[int, float] | None = None) -> DataFrame:
     """(query, key, score, place): documents that hold all terms, best BM25 first.
 
-    ``queries`` has query and terms (distinct tokens).
+    ``queries`` has query and terms (distinct tokens); ``totals`` the documents and their mean length, if known.
     """
-    size = index.select(key, "doc_len").distinct().agg(F.count(F.lit(1)).alias("n_docs"), F.avg("doc_len").alias("avg_len")).first()
+    if totals is None:
+        totals = index.select(key, "doc_len").distinct().agg(F.count(F.lit(1)), F.avg("doc_len")).first()
+    size = {"n_docs": totals[0], "avg_len": totals[1]}
     wanted = queries.select("query", F.size("terms").alias("n_terms"), F.explode("terms").alias("token"))
     df = index.join(wanted.select("token").distinct(), "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     n, mean = F.lit(float(size["n_docs"] or 0)), F.lit(float(size["avg_len"] or 1))
@@ -96,3 +107,42 @@ def token_index(works: DataFrame, norm: str = "norm_title", most: int = SETTINGS
 def token_candidates(surfaces: DataFrame, index: DataFrame, norm: str = "norm") -> DataFrame:
     """(surface, ol_key) of works that share an index token."""
     return surfaces.select("surface", F.explode(index_tokens(F.col(norm))).alias("token")).join(index, "token").select("surface", "ol_key").distinct()
+
+
+def authors_table(dump: DataFrame) -> DataFrame:
+    """Authors of dump lines (key, payload, _pos): the last revision of each key, with its normalised name."""
+    rows = dump.select(F.col("key").alias("author_key"), F.get_json_object("payload", "$.name").alias("name"), "_pos").filter("name is not null")
+    return last_wins(rows, ["author_key"], "_pos").drop("_pos").withColumn("norm_name", norm_title("name"))
+
+
+def by_name(names: DataFrame, authors: DataFrame, normalised: bool = True, limit: int = 200) -> DataFrame:
+    """(name, author_key, author_name): authors of a name as written, or as normalised; the first ``limit`` by key."""
+    left = names.select(F.col("name").alias("asked"), (F.col("norm") if normalised else F.col("name")).alias("k")).distinct()
+    hit = left.join(authors.select("author_key", F.col("name").alias("author_name"), F.col("norm_name" if normalised else "name").alias("k")), "k")
+    place = F.row_number().over(Window.partitionBy("asked").orderBy("author_key"))
+    return hit.withColumn("n", place).filter(F.col("n") <= limit).select(F.col("asked").alias("name"), "author_key", "author_name")
+
+
+def authors_of_work(works: DataFrame, junction: DataFrame, authors: DataFrame) -> DataFrame:
+    """Each work with the names of its authors, by key; without any, an empty list."""
+    names = junction.join(authors, "author_key").groupBy("work_key").agg(F.array_sort(F.collect_set(F.struct("author_key", "name"))).alias("a"))
+    joined = works.join(names, works.ol_key == names.work_key, "left").drop("work_key")
+    return joined.withColumn("authors", F.coalesce(F.transform("a", lambda x: x["name"]), F.array().cast("array<string>"))).drop("a")
+
+
+def first_author(works: DataFrame, authors: DataFrame) -> DataFrame:
+    """``works`` (with author_keys) and the name of the first author; null if there is none."""
+    keyed = works.withColumn("_first", F.get("author_keys", F.lit(0)))
+    names = authors.select(F.col("author_key").alias("_first"), F.col("name").alias("author_name"))
+    return keyed.join(names, "_first", "left").drop("_first")
+
+
+def get_by_key(rows: DataFrame, keys: list[str], key: str) -> DataFrame:
+    """Point lookups: the rows of some keys."""
+    return rows.filter(F.col(key).isin(keys))
+
+
+def acronym_authors(acronyms: DataFrame, authors: DataFrame, limit: int = 10) -> DataFrame:
+    """Authors whose initials are each acronym, the first ``limit`` by key."""
+    hit = acronyms.join(authors.select("author_key", "name", initials(F.col("name")).alias("acronym")), "acronym")
+    return hit.withColumn("place", F.row_number().over(Window.partitionBy("acronym").orderBy("author_key"))).filter(F.col("place") <= limit)

@@ -83,3 +83,85 @@ def flag_tasks(rows: DataFrame, terms: DataFrame, any_case: bool) -> DataFrame:
 
 def add_flags(existing: Column, flags: Column) -> Column:
     return F.array_sort(F.array_union(F.coalesce(existing, F.array().cast("array<string>")), F.coalesce(flags, F.array().cast("array<string>"))))
+
+
+def doc_lengths(tasks: DataFrame, key: str = "thread_id") -> DataFrame:
+    """Characters of each thread's text; its last task counts."""
+    return tasks.groupBy(key).agg(F.max_by(F.length("text"), "_pos").alias("length"))
+
+
+def surface_tasks(rows: DataFrame) -> DataFrame:
+    """(surface, task_ids): the tasks that mention each surface, sorted; a row for each is in ``rows``."""
+    return rows.groupBy("surface").agg(F.sort_array(F.collect_set("task_id")).alias("task_ids"))
+
+
+def candidate_tasks(candidates: DataFrame) -> DataFrame:
+    """How many tasks each candidate (with task_ids) and how many candidates each task has."""
+    each = candidates.select("candidate", F.explode("task_ids").alias("task_id")).distinct()
+    return each.groupBy("task_id").agg(F.count(F.lit(1)).alias("n_candidates"))
+
+
+def lookup_counts(rows: DataFrame, found: str) -> DataFrame:
+    """Hits and misses of a lookup."""
+    return rows.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col(found).isNotNull()).alias("hits"), F.count_if(F.col(found).isNull()).alias("misses"))
+
+
+def accepted_by_task(accepted: DataFrame) -> DataFrame:
+    """(task_id, spans): the accepted spans of each task in text order."""
+    return accepted.groupBy("task_id").agg(F.array_sort(F.collect_list(F.struct("start", "end", "text"))).alias("spans"))
+
+
+def review_totals(candidates: DataFrame) -> DataFrame:
+    """Totals of a review: reviewed, accepted, rejected by a rejected text (cascade), and still in the queue."""
+    decision = F.coalesce("decision", F.lit(""))
+    return candidates.agg(
+        F.count(F.lit(1)).alias("total"), F.count_if(decision != "").alias("reviewed"), F.count_if(decision == "accept").alias("accepted"),
+        F.count_if((decision == "") & F.coalesce("cascade", F.lit(False))).alias("cascade"), F.count_if((decision == "") & ~F.coalesce("cascade", F.lit(False))).alias("queue"),
+    )
+
+
+def cascade_reject(candidates: DataFrame, any_case: bool = True) -> DataFrame:
+    """``candidates`` (text, decision) and whether a rejected one has the same text and no decision is made yet."""
+    text = F.lower("text") if any_case else F.col("text")
+    rejected = candidates.filter("decision = 'reject'").select(text.alias("_t")).distinct()
+    return candidates.withColumn("_t", text).join(rejected.withColumn("cascade", F.lit(True)), "_t", "left").withColumn("cascade", F.coalesce("cascade", F.lit(False)) & F.col("decision").isNull()).drop("_t")
+
+
+def without_notes(rows: DataFrame, notes: tuple[str, ...] = ("SCRIPTURE",)) -> DataFrame:
+    """Rows whose note is none of these; rows without a note stay."""
+    return rows.filter(~F.coalesce("notes", F.lit("")).isin(*notes))
+
+
+def without_meta(tasks: DataFrame, key: str, clear: bool = False) -> DataFrame:
+    """Tasks whose ``meta`` map has no value for a key yet; with ``clear`` all of them."""
+    return tasks if clear else tasks.filter(F.col("meta")[key].isNull())
+
+
+def merge_meta(existing: Column, new: Column) -> Column:
+    """Both maps, the new one's values where both have a key."""
+    old = F.coalesce(existing, F.create_map().cast("map<string,string>"))
+    return F.map_concat(F.map_filter(old, lambda k, v: ~F.map_contains_key(new, k)), new)
+
+
+def right_wins(left: DataFrame, right: DataFrame, key: str = "key") -> DataFrame:
+    """Two tables of one key merged: the right one's row where both have it."""
+    return left.join(right.select(key), key, "left_anti").unionByName(right)
+
+
+def placed(rows: DataFrame, *order: Column) -> DataFrame:
+    """``rows`` in a total order, with their place from 1; for results of a bounded size (one task numbers them)."""
+    return rows.withColumn("place", F.row_number().over(Window.orderBy(*order)))
+
+
+def merge_order() -> list[Column]:
+    """Resolved ones by score, then name; unresolved ones after them by name."""
+    unresolved = (F.coalesce("ol_key", F.lit("")) == "") & (F.coalesce("canonical_title", F.lit("")) == "")
+    return [unresolved.asc(), F.when(unresolved, 0.0).otherwise(-F.coalesce("score", F.lit(0.0))).asc(), F.lower("surface").asc(), F.col("surface").asc()]
+
+
+def longest_and_shortest(rows: DataFrame, text: str, n: int = 20) -> DataFrame:
+    """The ``n`` longest and the ``n`` shortest texts, each with its place."""
+    size = F.length(text)
+    ends = [("longest", [size.desc(), F.col(text)]), ("shortest", [size.asc(), F.col(text)])]
+    parts = [placed(rows.select(text).orderBy(*o).limit(n), *o).withColumn("which", F.lit(w)) for w, o in ends]
+    return parts[0].unionByName(parts[1]).select("which", "place", text)

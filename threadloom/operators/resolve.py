@@ -59,6 +59,34 @@ def table_stage(surfaces: DataFrame, table: DataFrame, method: Column) -> DataFr
     return surfaces.select("surface").join(table, "surface").select("surface", method.alias("method"), *RESOLUTION[2:])
 
 
+def acronym_stage(surfaces: DataFrame, acronyms: DataFrame, works: DataFrame) -> DataFrame:
+    """Surfaces that are a known acronym, letter for letter: its title and author, and the first work of that title.
+
+    ``acronyms`` has key, title and author; ``works`` ol_key and norm_title.
+    """
+    keys = works.groupBy("norm_title").agg(F.min("ol_key").alias("ol_key"))
+    hit = surfaces.select("surface").distinct().join(acronyms.select(F.col("key").alias("surface"), "title", "author"), "surface")
+    hit = hit.withColumn("norm_title", norm_title("title")).join(keys, "norm_title", "left")
+    return hit.select("surface", F.lit("acronym").alias("method"), "ol_key", F.col("title").alias("canonical_title"), F.col("author").alias("author_name"), F.lit(1.0).alias("confidence"), F.lit(False).alias("ambiguous"), F.lit("acronym_map").alias("notes"))
+
+
+def fuzzy_table_stage(surfaces: DataFrame, table: DataFrame, works: DataFrame) -> DataFrame:
+    """Rows of a fuzzy run that resolved a surface; an alias without a key takes the first work of its title."""
+    keys = works.groupBy("norm_title").agg(F.min("ol_key").alias("found"))
+    rows = table.filter("method <> 'failed'").withColumn("norm_title", norm_title("canonical_title")).join(keys, "norm_title", "left")
+    rows = rows.withColumns({"ol_key": F.coalesce("ol_key", "found"), "confidence": F.bround(F.col("fuzzy_score") / 100, 3), "author_name": F.lit(None).cast("string")})
+    return table_stage(surfaces, rows, F.col("method"))
+
+
+def canonical_table_stage(surfaces: DataFrame, table: DataFrame, works: DataFrame) -> DataFrame:
+    """Rows of a canonical run with a key or a method; the author is that of the work with this key and title."""
+    rows = table.filter("NOT (method = 'unresolved' AND coalesce(work_key, '') = '')")
+    names = works.select(F.col("ol_key").alias("work_key"), F.col("title").alias("canonical_title"), "author_name")
+    rows = rows.join(names, ["work_key", "canonical_title"], "left").withColumnRenamed("work_key", "ol_key")
+    rows = rows.withColumns({"confidence": F.bround(F.col("score") / 100, 3), "ambiguous": F.lit(False), "notes": F.lit("")})
+    return table_stage(surfaces, rows, F.concat(F.lit("canonical_"), F.col("method")))
+
+
 def cascade(surfaces: DataFrame, stages: list[DataFrame]) -> DataFrame:
     """The first stage that resolves a surface wins; what none resolves has failed."""
     tagged = None

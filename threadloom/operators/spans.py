@@ -47,35 +47,39 @@ def _literal(needle: str, text: str, flags: int = 0) -> list[tuple[int, int]]:
     return [m.span() for m in re.finditer(re.escape(needle), text, flags)] if needle else []
 
 
-def _flexible(entity: str) -> str:
-    """A pattern that takes any apostrophe, and any way to write "and"."""
-    plain = re.sub(f"[{APOSTROPHES}]", "'", entity)
-    parts = [re.escape(p) for p in re.split(r"\s*&\s*|\s+and\s+", plain, flags=re.IGNORECASE)]
-    return r"\s*(?:&amp;|&|and)\s*".join(parts).replace("'", f"[{APOSTROPHES}]")
+_ELEMENTS = re.compile(rf"(?P<also>\s*&\s*|\s+and\s+)|(?P<mark>[{APOSTROPHES}])|(?P<plain>.)", re.IGNORECASE | re.DOTALL)
+
+
+def _flexible(entity: str) -> re.Pattern:
+    """One element for each token of the entity: any way to write "and", any apostrophe, or the character itself."""
+    element = {"also": lambda _: r"\s*(?:&|&amp;|and)\s*", "mark": lambda _: f"[{APOSTROPHES}]", "plain": re.escape}
+    return re.compile("".join(element[m.lastgroup](m.group()) for m in _ELEMENTS.finditer(entity)), re.IGNORECASE)
+
+
+def _runs(words: list[str]):
+    """Every shorter run of the words, the longest first, then the leftmost."""
+    return (" ".join(words[at : at + n]) for n in range(len(words) - 1, 0, -1) for at in range(len(words) - n + 1))
 
 
 def find_spans(entity: str | None, text: str | None) -> list[dict]:
     """All places of an entity by the first pass that finds any: verbatim, any case, folded,
-    flexible, and last the longest run of its words."""
+    flexible, and last its runs of words, each flexible and then folded."""
     if not entity or not entity.strip() or not text:
         return []
-    hits, used = _literal(entity, text), "verbatim"
-    if not hits:
-        hits, used = _literal(entity, text, re.IGNORECASE), "case"
-    if not hits:
-        folded, places = _folded(text)
-        hits, used = [(places[a], places[b - 1] + 1) for a, b in _literal(_folded(entity)[0], folded)], "folded"
-    if not hits:
-        hits, used = [m.span() for m in re.finditer(_flexible(entity), text, re.IGNORECASE)], "flexible"
-    words = entity.split()
-    for n in range(len(words) - 1, 1, -1):
-        if hits:
-            break
-        for at in range(len(words) - n + 1):
-            hits, used = _literal(" ".join(words[at : at + n]), text, re.IGNORECASE), "words"
-            if hits:
-                break
-    return [{"start": a, "end": b, "pass": used} for a, b in hits]
+    folded, places = _folded(text)
+
+    def in_folded(needle: str) -> list[tuple[int, int]]:
+        return [(places[a], places[b - 1] + 1) for a, b in _literal(_folded(needle)[0], folded)]
+
+    def flexible(needle: str) -> list[tuple[int, int]]:
+        return [m.span() for m in _flexible(needle).finditer(text)]
+
+    passes = [("verbatim", lambda: _literal(entity, text)), ("case", lambda: _literal(entity, text, re.IGNORECASE)), ("folded", lambda: in_folded(entity)), ("flexible", lambda: flexible(entity))]
+    passes += [("words", lambda run=run: flexible(run) or in_folded(run)) for run in _runs(entity.split())]
+    for used, search in passes:
+        if hits := search():
+            return [{"start": a, "end": b, "pass": used} for a, b in hits]
+    return []
 
 
 @F.pandas_udf(SPAN)
@@ -174,24 +178,36 @@ def remove_noise(text: pd.Series, spans: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["text", "spans"])
 
 
-@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("t", T.StringType()), T.StructField("at", T.IntegerType())])))
-def _tokens(text: pd.Series) -> pd.Series:
-    return pd.Series([[{"t": m.group(), "at": m.start()} for m in re.finditer(r"\w+", t)] for t in text])
+def _openings(widest: int):
+    """Each token's place in a text with the keys that a title there has, and the stretch that the widest title may fill."""
+    kind = T.ArrayType(T.StructType([T.StructField("keys", T.ArrayType(T.StringType())), T.StructField("at", T.IntegerType()), T.StructField("stretch", T.StringType())]))
+
+    @F.pandas_udf(kind)
+    def openings(text: pd.Series) -> pd.Series:
+        out = []
+        for t in text:
+            found = [(m.start(), m.group()) for m in re.finditer(r"\w+", t or "")]
+            after = [x for _, x in found[1:]] + [None]
+            out.append([{"keys": [x] if y is None else [x, f"{x} {y}"], "at": at, "stretch": t[at : at + widest + 1]} for (at, x), y in zip(found, after)])
+        return pd.Series(out)
+
+    return openings
 
 
 def title_matches(texts: DataFrame, titles: DataFrame, key: str = "task_id") -> DataFrame:
     """(key, ol_key, start, end): every title in every lower-cased text at word boundaries.
 
-    Every token of a text meets the titles that begin with it; only the stretch that a title
-    may fill travels with the token, so no text is copied per token.
+    A title meets the places of its first two tokens, or of its only one: so no common first word
+    gathers all titles that begin with it. Only the stretch that the widest title may fill travels.
     """
     begins = F.lower("title").rlike(r"^[\p{L}\p{N}_]")
     known = titles.select("ol_key", F.lower("title").alias("t")).filter(F.col("t").rlike(r"^[\p{L}\p{N}_]")).dropDuplicates(["t"])
-    known = known.withColumn("first", F.regexp_extract("t", r"^[\p{L}\p{N}_]+", 0)).withColumn("size", F.length("t"))
-    widest = known.groupBy("first").agg(F.max("size").alias("widest"))
-    low = texts.select(key, F.lower("text").alias("low")).withColumn("tok", F.explode(_tokens("low")))
-    near = low.join(widest, low["tok.t"] == widest["first"]).select(key, "first", F.col("tok.at").alias("start"), F.substr("low", F.col("tok.at") + 1, F.col("widest") + 1).alias("stretch"))
-    fits = near.join(known, "first").filter(F.startswith("stretch", "t") & ~F.substr("stretch", F.col("size") + 1, F.lit(1)).rlike(r"[\p{L}\p{N}_]"))
+    first = F.regexp_extract("t", r"^([\p{L}\p{N}_]+)(?:[^\p{L}\p{N}_]+([\p{L}\p{N}_]+))?", 1)
+    second = F.regexp_extract("t", r"^([\p{L}\p{N}_]+)(?:[^\p{L}\p{N}_]+([\p{L}\p{N}_]+))?", 2)
+    known = known.withColumn("opening", F.when(second == "", first).otherwise(F.concat_ws(" ", first, second))).withColumn("size", F.length("t"))
+    widest = known.agg(F.coalesce(F.max("size"), F.lit(0))).first()[0]
+    places = texts.select(key, F.explode(_openings(widest)(F.lower("text"))).alias("o")).select(key, F.col("o.at").alias("start"), F.col("o.stretch").alias("stretch"), F.explode("o.keys").alias("opening"))
+    fits = places.join(known, "opening").filter(F.startswith("stretch", "t") & ~F.substr("stretch", F.col("size") + 1, F.lit(1)).rlike(r"[\p{L}\p{N}_]"))
     found = fits.select(key, "ol_key", "start", (F.col("start") + F.col("size")).alias("end"))
     others = titles.filter(~begins & (F.length("title") > 0))  # these have no first token to meet under
     return found if others.isEmpty() else found.unionByName(automaton_matches(texts, others, key))

@@ -71,3 +71,9 @@ def shares(rows: DataFrame, by: str) -> DataFrame:
     """Counts and percentages of the values of a column."""
     counts = rows.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
     return counts.withColumn("pct", F.bround(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy()), 1))  # a row for each value
+
+
+def distinct_counts(links: DataFrame, approximate: bool = False) -> DataFrame:
+    """Distinct threads, keys and titles; approximate ones for tables past counting exactly."""
+    count = F.approx_count_distinct if approximate else F.countDistinct
+    return links.agg(count("thread_id").alias("threads"), count("ol_key").alias("keys"), count("canonical_title").alias("titles"))

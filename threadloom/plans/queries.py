@@ -397,9 +397,8 @@ def normalized_lookup(spark, d):
     SELECT query, doc_id, round(score, 4) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, doc_id) AS k FROM s) WHERE k <= 20""")
 def fts_search(spark, d):
     tokens = F.filter(F.split(tx.search_terms(F.lower("text")), " "), lambda w: w != "")
-    index = catalog.postings(ad.table(spark, d, "documents").select("doc_id", "text"), "doc_id", tokens)
     queries = spark.createDataFrame([(q, q.split()) for q in ("the and", "der die", "the idiot")], "query string, terms array<string>")
-    return catalog.search(index, "doc_id", queries, 20).select("query", "doc_id", F.round("score", 4).alias("score"))
+    return catalog.search_rows(ad.table(spark, d, "documents").select("doc_id", "text"), "doc_id", tokens, queries, 20).select("query", "doc_id", F.round("score", 4).alias("score"))
 
 
 @query("""WITH a AS (SELECT p_partkey, p_name, array_to_string(list_transform(list_filter(string_split(p_name, ' '), lambda x: lower(x) NOT IN ('a','an','the','of','in','on','at','and','or','but','for','with','to','by')), lambda x: upper(x[1])), '') AS acronym FROM part),
@@ -474,10 +473,10 @@ def reply_entities(spark, d):
 def _task_mentions(spark: SparkSession, d: str) -> DataFrame:
     rows = ad.links(spark, d)
     books = rows.selectExpr("thread_id AS task_id", "'BOOK' AS label", "text")
-    return books.unionByName(rows.filter("author_name IS NOT NULL AND _pos % 3 = 0").selectExpr("thread_id AS task_id", "'WRITER' AS label", "author_name AS text"))
+    return books.unionByName(rows.filter("author_name IS NOT NULL").selectExpr("thread_id AS task_id", "'WRITER' AS label", "author_name AS text"))
 
 
-@query(f"""WITH {ad.LINKS_SQL}, b AS (SELECT DISTINCT thread_id, text AS surface FROM links), w AS (SELECT DISTINCT thread_id, {norm('author_name')} AS writer FROM links WHERE author_name IS NOT NULL AND _pos % 3 = 0)
+@query(f"""WITH {ad.LINKS_SQL}, b AS (SELECT DISTINCT thread_id, text AS surface FROM links), w AS (SELECT DISTINCT thread_id, {norm('author_name')} AS writer FROM links WHERE author_name IS NOT NULL)
     SELECT surface, string_agg(DISTINCT writer, '|' ORDER BY writer) AS writers FROM b JOIN w USING (thread_id) GROUP BY surface""")
 def context_writers(spark, d):
     rows = _task_mentions(spark, d).withColumn("norm", tx.norm_title("text"))
@@ -500,7 +499,7 @@ def _cascade(spark: SparkSession, d: str) -> DataFrame:
 
 
 _CASCADE_SQL = f"""{ad.WORKS_SQL}, {ad.SURFACES_SQL}, {ad.LINKS_SQL}, b AS (SELECT DISTINCT thread_id, text AS surface FROM links),
-    w AS (SELECT DISTINCT thread_id, {norm('author_name')} AS writer FROM links WHERE author_name IS NOT NULL AND _pos % 3 = 0), ctx AS (SELECT DISTINCT surface, writer FROM b JOIN w USING (thread_id)),
+    w AS (SELECT DISTINCT thread_id, {norm('author_name')} AS writer FROM links WHERE author_name IS NOT NULL), ctx AS (SELECT DISTINCT surface, writer FROM b JOIN w USING (thread_id)),
     cand AS (SELECT surface, ol_key, title, author_name, has_subjects, 1 AS stage FROM surfaces JOIN works ON surface = title
              UNION ALL SELECT surface, ol_key, title, author_name, has_subjects, 2 FROM surfaces JOIN works ON {norm('surface')} = {norm('title')}),
     sc AS (SELECT *, 0.5 * in_ctx::INT + 0.35 + 0.15 * has_subjects::INT AS score FROM (SELECT c.*, EXISTS (SELECT 1 FROM ctx WHERE ctx.surface = c.surface AND writer IN ({norm('author_name')}, string_split({norm('author_name')}, ' ')[-1])) AS in_ctx FROM cand c)),

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.labels import last_wins
+
 LONG_WINDOW = 1 << 31
 CHUNK = 32 << 20
+#: The widest zstd window that Spark's own reader takes.
+PLAIN_WINDOW = 1 << 27
 
 
 def months(path: Column) -> Column:
@@ -15,46 +21,93 @@ def months(path: Column) -> Column:
     return F.regexp_extract(path, r"[RC][CS]_(\d{4}-\d{2})\.zst", 1)
 
 
-def lines(spark: SparkSession, path: str, first: str | None = None, last: str | None = None) -> DataFrame:
-    """(value, ym, file) of text files; Spark's own zstd reader takes windows up to 128 MB."""
-    rows = spark.read.text(path, pathGlobFilter="*").withColumn("file", F.input_file_name()).withColumn("ym", months(F.col("file")))
-    rows = rows if first is None else rows.filter(F.col("ym") >= first)
-    return rows if last is None else rows.filter(F.col("ym") <= last)
+def dump_files(spark: SparkSession, path: str, first: str | None = None, last: str | None = None, pattern: str = "*.zst") -> list[str]:
+    """Files of a folder by (month, path), from ``first`` to ``last``; those without a month in their name only if neither is given."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(spark._jvm.org.apache.hadoop.fs.Path(folder, pattern))
+    paths = [f.getPath().toString() for f in found or [] if f.isFile()]
+    dated = sorted((m[1] if (m := re.search(r"[RC][CS]_(\d{4}-\d{2})\.zst", p)) else "", p) for p in paths)
+    return [p for ym, p in dated if (first is None or ym >= first) and (last is None or ("" < ym <= last))]
 
 
-def long_window_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, value) of zstd files with windows up to 2 GB, decompressed as streams, one task per file.
+def lines(spark: SparkSession, path: str, first: str | None = None, last: str | None = None, pattern: str = "*.zst", long_window: bool | None = None) -> DataFrame:
+    """(value, ym, file) of compressed NDJSON; only the wanted months' files are listed, a task for each.
 
-    The compressed bytes come through Spark's binary reader, so any file system that Spark
-    reads will do; a last line without an end counts.
+    Files whose frames need a window beyond Spark's reader go through ``long_window_lines``:
+    those that say so in their header, or all or none of them if ``long_window`` is given.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zst").load(path).select("path", "content")
+    files = dump_files(spark, path, first, last, pattern)
+    wide = [p for p in files if (window_size(p) > PLAIN_WINDOW if long_window is None else long_window)]
+    plain = [p for p in files if p not in set(wide)]
+    rows = spark.createDataFrame([], "value string, file string")
+    if plain:
+        rows = rows.unionByName(spark.read.text(plain).select("value", F.col("_metadata.file_path").alias("file")))
+    if wide:
+        rows = rows.unionByName(long_window_lines(spark, wide).select("value", "file"))
+    return rows.withColumn("ym", months(F.col("file"))).select("value", "ym", "file")
+
+
+def _open(path: str):
+    """A file of any file system that Arrow knows, as a stream."""
+    from pyarrow import fs
+
+    system, name = fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if re.match(r"file:/[^/]", path) else path)
+    return system.open_input_stream(name, compression=None)
+
+
+def window_size(path: str) -> int:
+    """The window that a zstd file's first frame asks for; 0 for other files."""
+    import zstandard
+
+    with _open(path) as stream:
+        head = stream.read(18)
+    try:
+        return zstandard.get_frame_parameters(head).window_size
+    except zstandard.ZstdError:
+        return 0
 
-    def run(batches):
-        import io
 
+def long_window_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """(file, value) of zstd files, or of all in a folder, with windows up to 2 GB: a task reads a file of any size as a stream.
+
+    A last line without an end counts; memory is the window and some chunks.
+    """
+    paths = dump_files(spark, paths) if isinstance(paths, str) else paths
+    files = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, len(paths)))
+
+    def run(batches):
         import pandas as pd
         import zstandard
 
         for pdf in batches:
-            for name, content in zip(pdf["path"], pdf["content"]):
-                reader = zstandard.ZstdDecompressor(max_window_size=LONG_WINDOW).stream_reader(io.BytesIO(content), read_across_frames=True)
-                rest = b""
-                while chunk := reader.read(CHUNK):
-                    *whole, rest = (rest + chunk).split(b"\n")
-                    if whole:
-                        yield pd.DataFrame({"file": name, "value": [x.decode("utf-8", "replace") for x in whole]})
-                if rest:
-                    yield pd.DataFrame({"file": [name], "value": [rest.decode("utf-8", "replace")]})
+            for name in pdf["path"]:
+                with _open(name) as source, zstandard.ZstdDecompressor(max_window_size=LONG_WINDOW).stream_reader(source, read_across_frames=True) as reader:
+                    rest = b""
+                    while chunk := reader.read(CHUNK):
+                        *whole, rest = (rest + chunk).split(b"\n")
+                        if whole:
+                            yield pd.DataFrame({"file": name, "value": [x.decode("utf-8", "replace") for x in whole]})
+                    if rest:
+                        yield pd.DataFrame({"file": [name], "value": [rest.decode("utf-8", "replace")]})
 
     return files.mapInPandas(run, "file string, value string")
 
 
-def entities(rows: DataFrame, schema: StructType | str, value: str = "value") -> DataFrame:
-    """Parsed NDJSON records with an id; blank, malformed and keyless lines go."""
+def entities(rows: DataFrame, schema: StructType | str, value: str = "value", key: str = "id") -> DataFrame:
+    """Parsed NDJSON records with a key (``id``, or ``thread_id`` of threads); blank, malformed and keyless lines go."""
     parsed = rows.filter(F.trim(value) != "").withColumn("r", F.from_json(value, schema))
     keep = [c for c in rows.columns if c != value]
-    return parsed.filter("r.id is not null").select(*keep, "r.*")
+    return parsed.filter(F.col(f"r.{key}").isNotNull()).select(*keep, "r.*")
+
+
+def checkpoint(rows: DataFrame, schema: StructType | str, pos: str, key: str = "thread_id") -> DataFrame:
+    """Records of a checkpoint file: malformed ones go, the last of each key stays."""
+    return last_wins(entities(rows, schema, key=key), [key], pos)
+
+
+def editions(rows: DataFrame, value: str = "value") -> DataFrame:
+    """Edition lines of a dump: lines without an edition key go before anything is parsed."""
+    return dump(rows.filter(F.contains(F.col(value), F.lit("\t/books/"))), "/type/edition", value)
 
 
 def dump(rows: DataFrame, wanted: str | None = None, value: str = "value") -> DataFrame:

@@ -11,9 +11,11 @@ def monthly(rows: DataFrame, path: str, value: str = "value") -> None:
     rows.select(F.col(value).alias("value"), "ym").write.mode("overwrite").partitionBy("ym").option("compression", "gzip").text(path)
 
 
-def merge_months(spark: SparkSession, path: str, out: str) -> None:
-    """Monthly files as one ordered, recompressed set."""
-    spark.read.text(path).repartitionByRange("ym").sortWithinPartitions("ym").select("value").write.mode("overwrite").option("compression", "gzip").text(out)
+def merge_months(spark: SparkSession, path: str, out: str, compression: str = "zstd", files: int = 8) -> None:
+    """Monthly files as one recompressed set, lines in the order of (month, file, line); a large month is several tasks."""
+    rows = spark.read.text(path).select("value", "ym", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"))
+    ordered = rows.repartitionByRange(files, "ym", "file", "block", "pos").sortWithinPartitions("ym", "file", "block", "pos")
+    ordered.select("value").write.mode("overwrite").option("compression", compression).text(out)
 
 
 def file_summary(rows: DataFrame) -> DataFrame:
@@ -32,8 +34,28 @@ def ndjson(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").json(path)
 
 
-def corpus_text(documents: DataFrame, path: str) -> None:
-    documents.select("document").write.mode("overwrite").text(path)
+def thread_documents(segs: DataFrame, meta: DataFrame) -> DataFrame:
+    """{thread_id, metadata, segments[]} of each thread, segments in order; a thread's own segments bound a row."""
+    fields = [c for c in segs.columns if c != "thread_id"]
+    listed = segs.groupBy("thread_id").agg(F.array_sort(F.collect_list(F.struct("seg_no", *[c for c in fields if c != "seg_no"]))).alias("segments"))
+    return meta.select("thread_id", F.struct(*[c for c in meta.columns if c != "thread_id"]).alias("metadata")).join(listed, "thread_id")
+
+
+def corpus_text(documents: DataFrame, path: str, separator: str = "=" * 80) -> None:
+    """Rendered documents, each with a separator line after it."""
+    documents.select(F.concat_ws("\n", "document", F.lit(separator))).write.mode("overwrite").text(path)
+
+
+def json_array(rows: DataFrame, path: str, *order, pretty: bool = False) -> None:
+    """One JSON array in one file, for the export of tasks: rows come one after the other, none are held."""
+    import json
+
+    ordered = rows.orderBy(*order) if order else rows
+    with open(path, "w", encoding="utf-8") as out:
+        out.write("[")
+        for i, line in enumerate(ordered.toJSON().toLocalIterator()):
+            out.write((",\n" if i else "\n") + (json.dumps(json.loads(line), ensure_ascii=False, indent=2) if pretty else line))
+        out.write("\n]\n")
 
 
 def ordered_csv(rows: DataFrame, path: str, *order, quote_all: bool = False) -> None:
