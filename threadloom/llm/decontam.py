@@ -43,8 +43,6 @@ MAX_ITEMS, MAX_CHARS = 4000, 8 << 20
 SEGMENT = 1 << 15
 #: Text scanned at once, in bytes.
 SLICE = 4 << 20
-#: Places in running sums at which texts start; a multiple of every stride.
-ALIGN = 64
 BETWEEN = r"[^\p{L}\p{N}]+"
 
 
@@ -169,6 +167,7 @@ class LeakIndex:
         for size, members in sorted(by_size.items()):
             prints = np.concatenate([_prints(_bits(self.shingles[i]).sum(axis=0, dtype=np.int64)[None], np.array([len(self.shingles[i])])) for i in members])
             self.classes.append(SizeClass(size, self._stride(size), members, prints, radius))
+        self.align = max((c.stride for c in self.classes), default=1)  # a multiple of every stride: texts start at such places in running sums
         self.reach = max((c.size + c.stride for c in self.classes), default=0)
 
     @staticmethod
@@ -212,7 +211,7 @@ class LeakIndex:
         if not segments:
             return
         doc, low, high = (np.array(x, np.int64) for x in zip(*segments))
-        n, room = high - low, -(-(high - low) // ALIGN) * ALIGN
+        n, room = high - low, -(-(high - low) // self.align) * self.align
         at = np.cumsum(room) - room  # every segment starts at a multiple of all strides
         seg = np.repeat(np.arange(len(n)), room)
         bits = np.zeros((int(room.sum()), 64), np.uint8)

@@ -1,12 +1,13 @@
 """Substring dedup by repeated-phrase automata.
 
 A window is 50 consecutive words of a document. Every window has an anchor: the 8-word phrase
-in it with the least hash, the same wherever the window appears. Anchors found in more than
+in it with the least hash, the same wherever the window appears; and a key: the hash of the
+anchor and 21 words beside it, on the side where the window has them. Keys found in more than
 one document say where windows may recur; only those windows are hashed and counted, with the
 least doc_id that holds each. In that first document, runs of recurring windows are the
 confirmed passages. Passages are dealt to shards by their document; a shard's anchor phrases
 are compiled into one Aho-Corasick automaton with pyahocorasick, and of every document that has
-some of the shard's anchors the stretches around them stream through it. Windows around a hit that
+some of the shard's keys the stretches around them stream through it. Windows around a hit that
 a passage of a smaller doc_id has are covered, after a comparison word by word: hash collisions
 remove nothing, and a text of any length or period takes time in proportion to its words.
 
@@ -32,8 +33,10 @@ from .words import PlainWords, mix
 
 WINDOW, PHRASE = 50, 8
 _IN_WINDOW = WINDOW - PHRASE + 1
+#: Words beside an anchor that join its key; a window has them on one side at least.
+_BESIDE = (WINDOW - PHRASE) // 2
 #: Characters of passages in one shard, and documents whose stretches meet one copy of it.
-SHARD_CHARS, DOCS_PER_PART = 2 << 20, 4096
+SHARD_CHARS, DOCS_PER_PART = 4 << 20, 4096
 #: Bits of the id filter ahead of joins with texts, for each id, and at most.
 BITS_PER_ID, MAX_BITS = 8, 1 << 27
 _BASE = 0x9E3779B97F4A7C15
@@ -76,18 +79,20 @@ class Windows:
         self.doc = np.repeat(np.arange(len(texts)), np.diff(self.first))
         self.phrase = _rolling(self.words, PHRASE) | np.uint64(1)  # crossing texts or not: only whole windows count
         if n < WINDOW:
-            self.least, self.inside = np.zeros(0, np.uint64), np.zeros(0, bool)
+            self.key, self.anchor, self.inside = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
             return
         self.inside = self.doc[: n - WINDOW + 1] == self.doc[WINDOW - 1 :]
-        self.least = np.where(self.inside, _sliding(np.minimum, self.phrase, _IN_WINDOW), np.uint64(0))
+        low = np.uint64((1 << (24 if n < 1 << 24 else 32)) - 1)  # places of words; of equal phrases the first one is the anchor
+        placed = (self.phrase & ~low) | np.arange(len(self.phrase), dtype=np.uint64)
+        self.anchor = (_sliding(np.minimum, placed, _IN_WINDOW) & low).astype(np.int64)
+        start, long = np.arange(n - WINDOW + 1), _rolling(self.words, PHRASE + _BESIDE)
+        right = self.anchor - start + PHRASE + _BESIDE <= WINDOW
+        key = long[np.where(right, self.anchor, self.anchor - _BESIDE)] ^ np.where(right, np.uint64(0), np.uint64(_BASE))
+        self.key = np.where(self.inside, key | np.uint64(1), np.uint64(0))
 
     def anchors(self) -> np.ndarray:
         """Words at which an anchor of some window starts."""
-        if not len(self.least):
-            return np.zeros(0, np.int64)
-        pad = np.zeros(_IN_WINDOW - 1, np.uint64)
-        most = _sliding(np.maximum, np.concatenate((pad, self.least, pad)), _IN_WINDOW)
-        return np.flatnonzero(most == self.phrase)
+        return np.unique(self.anchor[self.inside])
 
     def hashes(self) -> np.ndarray:
         return _rolling(self.words, WINDOW)
@@ -106,13 +111,17 @@ def _known(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _anchors(rows: DataFrame) -> DataFrame:
+    """(h, doc_id): the keys of each row's windows."""
+
     def run(batches):
         for batch in batches:
             for part in text_slices(batch, "text"):
                 windows = Windows(part.column("text"))
-                at = windows.anchors()
-                doc, h = windows.doc[at], windows.phrase[at].view(np.int64)
+                at = np.flatnonzero(windows.inside)
+                doc, h = windows.doc[at], windows.key[at].view(np.int64)
                 if len(at):
+                    new = np.concatenate(([True], (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])))
+                    doc, h = doc[new], h[new]
                     order = np.lexsort((h, doc))
                     doc, h = doc[order], h[order]
                     new = np.concatenate(([True], (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])))
@@ -123,19 +132,19 @@ def _anchors(rows: DataFrame) -> DataFrame:
 
 
 def _candidate_windows(rows: DataFrame) -> DataFrame:
-    """(w, doc_id) for the windows whose anchor is in the row's list ``hs``; the least doc_id of each batch alone."""
+    """(w, low, high) for the windows whose key is in the row's list ``hs``; the least doc_id of each batch alone."""
 
     def run(batches):
         for batch in batches:
             for part in text_slices(batch, "text"):
                 windows = Windows(part.column("text"))
-                if not len(windows.least):
+                if not len(windows.key):
                     continue
-                good = np.zeros(len(windows.least), bool)
+                good = np.zeros(len(windows.key), bool)
                 lists = part.column("hs")
                 for i in range(part.num_rows):
                     span = slice(windows.first[i], min(windows.first[i + 1], len(good)))
-                    good[span] = np.isin(windows.least[span].view(np.int64), lists[i].values.to_numpy())
+                    good[span] = np.isin(windows.key[span].view(np.int64), lists[i].values.to_numpy())
                 at = np.flatnonzero(good & windows.inside)
                 w, doc = windows.hashes()[at].view(np.int64), part.column("doc_id").to_numpy()[windows.doc[at]]
                 order = np.lexsort((doc, w))
@@ -148,7 +157,7 @@ def _candidate_windows(rows: DataFrame) -> DataFrame:
 
 
 def _passages(rows: DataFrame) -> DataFrame:
-    """(doc_id, passage, hs): runs of the windows in the row's list ``ws``, with their anchors."""
+    """(doc_id, passage, hs): runs of the windows in the row's list ``ws``, with their keys."""
 
     def run(batches):
         for batch in batches:
@@ -162,7 +171,7 @@ def _passages(rows: DataFrame) -> DataFrame:
                     for run_ in np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1):
                         if len(run_):
                             low, high = int(run_[0]), int(run_[-1])
-                            anchors = np.unique(windows.least[a + low : a + high + 1]).view(np.int64).tolist()
+                            anchors = np.unique(windows.key[a + low : a + high + 1]).view(np.int64).tolist()
                             out.append((ids[i], b" ".join(words[low : high + WINDOW]).decode("utf-8", "surrogatepass"), anchors))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.string(), pa.list_(pa.int64())))], ["doc_id", "passage", "hs"])
@@ -171,9 +180,9 @@ def _passages(rows: DataFrame) -> DataFrame:
 
 
 def _stretches(rows: DataFrame) -> DataFrame:
-    """(shard, doc_id, row, start, text): the words around a document's anchors, for each shard that has them.
+    """(shard, doc_id, row, start, text): the words around a document's windows whose key a shard has.
 
-    A stretch holds every window whose anchor the shard has, so the rest of the text need not travel.
+    A stretch holds every window whose key the shard has, so the rest of the text need not travel.
     """
 
     def run(batches):
@@ -183,9 +192,9 @@ def _stretches(rows: DataFrame) -> DataFrame:
                 ids, own, routes = (part.column(c).to_pylist() for c in ("doc_id", "row", "routes"))
                 for i, text in enumerate(part.column("text").to_pylist()):
                     a, n = int(windows.first[i]), int(windows.first[i + 1] - windows.first[i])
-                    least, words = windows.least[a : max(a, a + n - WINDOW + 1)].view(np.int64), text.encode("utf-8", "surrogatepass").split()
+                    keys, words = windows.key[a : max(a, a + n - WINDOW + 1)].view(np.int64), text.encode("utf-8", "surrogatepass").split()
                     for route in routes[i]:
-                        starts = np.flatnonzero(np.isin(least, np.array(route["hs"], np.int64)))
+                        starts = np.flatnonzero(np.isin(keys, np.array(route["hs"], np.int64)))
                         for run_ in np.split(starts, np.flatnonzero(np.diff(starts) > WINDOW) + 1):
                             if len(run_):
                                 low, high = int(run_[0]), int(run_[-1]) + WINDOW
@@ -243,7 +252,7 @@ class Shard:
         if not len(self.keys):
             return out
         windows, words = Windows(pa.array(texts, pa.string())), [_words(x) for x in texts]
-        if not len(windows.least):
+        if not len(windows.key):
             return out
         before = np.cumsum(self._located(windows, words))
         at = np.flatnonzero(windows.inside)
