@@ -20,6 +20,8 @@ _FACTORS = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)
 SEGMENT_BITS = 16
 #: Places that a task collects before it passes them on.
 HELD = 1 << 21
+#: Bytes of finished ranges that the driver fetches in one job.
+FETCHED = 16 << 20
 
 
 def position(h: np.ndarray, bits: int, k: int) -> np.ndarray:
@@ -95,7 +97,8 @@ def build(hashes: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
     dealt = hashes.select(hashes.columns[0]).mapInArrow(released(deal), "seg int, places binary")
     gathered = dealt.repartition(n, "seg").sortWithinPartitions("seg").mapInArrow(released(gather), "seg int, seen binary, again binary")
     seen, again, size = np.zeros(HASHES * bits // 8, np.uint8), np.zeros(HASHES * bits // 8, np.uint8), (1 << SEGMENT_BITS) // 8
-    for seg, one, two in gathered.toLocalIterator():  # 2 * HASHES * bits in all, whatever the input
+    fetched = gathered.repartition(-(-2 * HASHES * bits // (8 * FETCHED)))  # a job for each partition: not one for each task
+    for seg, one, two in fetched.toLocalIterator():  # 2 * HASHES * bits in all, whatever the input
         seen[seg * size : (seg + 1) * size] = np.frombuffer(one, np.uint8)[: len(seen)]
         again[seg * size : (seg + 1) * size] = np.frombuffer(two, np.uint8)[: len(seen)]
     return seen, again
