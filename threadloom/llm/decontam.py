@@ -65,7 +65,7 @@ def _bits(hashes: np.ndarray) -> np.ndarray:
 
 
 def _prints(ones: np.ndarray, total: np.ndarray) -> np.ndarray:
-    return np.packbits(2 * ones > total[:, None], axis=1).view(np.uint64).ravel()
+    return np.packbits(2 * ones > total[:, None]).view(np.uint64)
 
 
 def _neighbours(value: int, flips: int) -> np.ndarray:
@@ -108,7 +108,7 @@ class RunningSums:
                 else:
                     total, own = (total + part if size < 256 else total.astype(np.uint32) + part), True
                 at += 1 << k
-        return np.packbits(total > size // 2, axis=1).view(np.uint64).ravel()
+        return np.packbits(total > size // 2).view(np.uint64)  # rows of 64 bits, so eight octets each
 
 
 class SizeClass:
@@ -143,7 +143,7 @@ class SizeClass:
                 found = np.take(table, values[:, b])
                 near = found if near is None else np.bitwise_or(near, found, out=near)
             for j, p in enumerate(own):
-                some = np.flatnonzero(near & near.dtype.type(1 << j))
+                some = np.flatnonzero((near & near.dtype.type(1 << j)).astype(bool))  # quicker over booleans
                 some = some[np.bitwise_count(prints[some] ^ p) <= self.radius]
                 if len(some):
                     at.append(some)
@@ -242,7 +242,7 @@ class LeakIndex:
                 place = (n[last, None] - size - back).ravel()
                 own, begin = np.repeat(last, back.size)[place >= 0], np.repeat(tail_at + tail - n[last], back.size)[place >= 0]
                 place = place[place >= 0]
-                more.append(np.packbits(2 * (upto[begin + place + size] - upto[begin + place]) > size, axis=1).view(np.uint64).ravel())
+                more.append(np.packbits(2 * (upto[begin + place + size] - upto[begin + place]) > size).view(np.uint64))
                 of_more.append(doc[own])
                 start_more.append(low[own] + place)
                 size_more.append(np.full(len(own), size))
