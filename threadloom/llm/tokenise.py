@@ -27,7 +27,7 @@ UNSURE = r" \s|[\x00-\x08\x0b-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200f}\x{2028}\
 #: Chunks are cut into pieces here only if all their characters lie below this.
 PLAIN = "\u0250"
 #: What each Python worker remembers: chunks (30 bytes each) and pieces of chunks (150).
-STORE_ENTRIES, PIECE_ENTRIES = 1_500_000, 100_000
+STORE_ENTRIES, PIECE_ENTRIES = 1_500_000, 300_000
 
 _loaded: dict[str, "WordEncoder"] = {}
 
@@ -131,41 +131,50 @@ class WordEncoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            if len(self.pieces) >= self.piece_entries:
-                self.pieces.clear()
-            if piece.isascii() and piece[1:].isalpha():  # these characters stand for themselves
-                written = "\u0120" + piece[1:] if piece[0] == " " else piece if piece.isalpha() else None
-            else:
-                written = None
-            if written is None:
-                written = piece.encode().decode("latin-1").translate(self.characters)
-            ids = self.pieces[piece] = array(self.dtype.char, [t.id for t in self.model.tokenize(written)]).tobytes()
-        return ids
-
-    def _chunk(self, chunk: str) -> bytes:
-        if not chunk.isascii() and max(chunk) >= PLAIN:
-            return self._whole(chunk)
-        if chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()):
-            return self._piece(chunk)
-        return b"".join([self._piece(x) for x in PIECES.findall(chunk)])
+    def _written(self, piece: str) -> str:
+        if piece.isascii() and piece[1:].isalpha():  # these characters stand for themselves
+            if piece[0] == " ":
+                return "\u0120" + piece[1:]
+            if piece.isalpha():
+                return piece
+        return piece.encode().decode("latin-1").translate(self.characters)
+
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        """The ids of each chunk: of one piece, of several, or of the tokenizer as a whole."""
+        known, tokenize, kind, out = self.pieces, self.model.tokenize, self.dtype.char, []
+        if len(known) + len(chunks) > self.piece_entries:
+            known.clear()
+        for chunk in chunks:
+            if not chunk.isascii() and max(chunk) >= PLAIN:
+                out.append(self._whole(chunk))
+                continue
+            one = chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha())
+            ids = b""
+            for piece in (chunk,) if one else PIECES.findall(chunk):
+                new = known.get(piece)
+                if new is None:
+                    new = known[piece] = array(kind, [t.id for t in tokenize(self._written(piece))]).tobytes()
+                ids += new
+            out.append(ids)
+        return out
 
     def _places(self, chunks: pa.Array) -> np.ndarray:
         """Where the store has each chunk; new ones are encoded and stored first."""
         if len(self.store.key) > self.store.limit:
             self.store.forget()
         key, check = _hash(chunks)
+        order = np.argsort(key, kind="stable")  # sorted keys are found in passing
+        key, check = key[order], check[order]
         at = self.store.find(key, check)
         new = np.flatnonzero(at < 0)
         if len(new):
-            _, first = np.unique(key[new], return_index=True)
-            first = new[first]
-            self.store.add(key[first], check[first], [self._chunk(x) for x in chunks.take(pa.array(first)).to_pylist()])
+            first = new[np.concatenate(([True], key[new[1:]] != key[new[:-1]]))]
+            self.store.add(key[first], check[first], self._chunks(chunks.take(pa.array(order[first])).to_pylist()))
             at = self.store.find(key, check)
         self.store.hits[at] |= np.uint8(1)
-        return at
+        out = np.empty(len(at), np.int64)
+        out[order] = at
+        return out
 
     def entries(self, texts: pa.Array, end_id: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """A pool of ids, each entry's start and length there, the entry of each chunk in text order, each text's first chunk."""
