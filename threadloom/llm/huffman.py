@@ -32,6 +32,8 @@ MAX_CODE_BITS = 16
 CHECKPOINT = 128
 IDS_PER_BLOCK = 1 << 16
 IDS_PER_PART = 1 << 25
+#: Text tokenised at once, in bytes.
+TEXT_BYTES = 2 << 20
 MAGIC = b"THB1"
 BLOCKS = "part int, start_in_part long, n_docs long, n_ids long, payload binary"
 
@@ -175,7 +177,7 @@ def token_ids(docs: DataFrame, path: str, end_id: int) -> DataFrame:
         counts = np.zeros(1 << (8 * words.dtype.itemsize) if words.dtype.itemsize < 4 else words.tokenizer.get_vocab_size() + end_id + 1, np.int64)
         none = lambda n, kind: pa.nulls(n, kind)
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", TEXT_BYTES):
                 ids, n = words.encode(part.column("text"), end_id)
                 counts += np.bincount(ids, minlength=len(counts))
                 ends = np.cumsum(n) * words.dtype.itemsize
