@@ -371,6 +371,15 @@ def test_large_key_groups():
             assert not near(a, lines[j]) or find(i) == find(j)
 
 
+def test_late_lines_of_a_large_group_meet():
+    rng = random.Random(12)
+    lines = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(30)) for _ in range(line_dedup.BLOCK + 40)]
+    lines.append(lines[-1][:-1] + "#")  # both come after the first block's worth of lines
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in ([1] * len(lines), range(len(lines)), lines)], ["grp", "id", "line"])
+    links = [sorted(x) for out in line_dedup._verify(iter([batch])) for x in zip(*(c.to_pylist() for c in out.columns))]
+    assert links == [[len(lines) - 2, len(lines) - 1]]
+
+
 # 8, as the pipeline uses it
 
 
