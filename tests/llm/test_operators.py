@@ -380,6 +380,21 @@ def test_late_lines_of_a_large_group_meet():
     assert links == [[len(lines) - 2, len(lines) - 1]]
 
 
+def test_line_stage_loses_no_pair_of_a_large_group(spark):
+    import corpus_pipeline
+
+    rng = random.Random(13)
+    lines = []
+    for _ in range(1250):  # same letters everywhere; of a pair only the beginning, which all lines share, has an unchanged window
+        tail = rng.sample("abcdefghijklmnopqrstuvwxyz01", 28)
+        other = list(tail)
+        for at in (3, 8, 16, 21):
+            other[at] = "#"
+        lines += ["the same start" + "".join(tail), "the same start" + "".join(other)]
+    kept = corpus_pipeline.line_stage(spark, frame(spark, lines).withColumn("n_chars", F.length("text").cast("long")), SF)
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == list(range(0, len(lines), 2))
+
+
 # 8, as the pipeline uses it
 
 
