@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from threadloom.llm import components, decontam, exact_dedup, huffman, langid, line_dedup, packing, queries, sharding, simhash, substring_dedup, toxicity
+from threadloom.llm import bitfilter, components, decontam, exact_dedup, huffman, langid, line_dedup, packing, queries, sharding, simhash, substring_dedup, toxicity
 from threadloom.llm.common import training_fold
 from threadloom.llm.tokenise import WordEncoder, default_tokenizer
 
@@ -371,6 +371,21 @@ def test_large_key_groups():
             assert not near(a, lines[j]) or find(i) == find(j)
 
 
+def test_windows_keep_all_but_one_segment_and_shuffles_go(spark):
+    rng = random.Random(14)
+    for n in (10, 19, 24, 45, 70, 100, 150, 700):
+        line = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+        keys, own = line_dedup.line_keys(line)
+        segments = line_dedup.segments_of(n)
+        assert len(segments) == 4 and own == 4 * line_dedup.windows_of(n) and set(keys[:own]) <= set(keys[own:])
+    keys = spark.range(20_000).repartition(5).select(F.concat(F.lit("k"), F.col("id") % 9000).alias("key")).select(F.xxhash64("key").alias("key"))
+    seen, again = line_dedup.build(keys, 1 << 16, stored=True)
+    plain = line_dedup.build(keys, 1 << 16)
+    assert (seen == plain[0]).all() and (again == plain[1]).all() and (bitfilter.unpacked(bitfilter.packed(seen)) == seen).all()
+    hot = spark.range(line_dedup.BLOCK + 1).select(F.lit(7).cast("long").alias("key")).unionByName(keys)
+    assert [(r.key, r.n >= line_dedup.BLOCK + 1) for r in line_dedup._large_keys(hot).collect()] == [(7, True)]
+
+
 def test_late_lines_of_a_large_group_meet():
     rng = random.Random(12)
     lines = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(30)) for _ in range(line_dedup.BLOCK + 40)]
