@@ -491,6 +491,56 @@ def test_leaks_at_the_end_of_a_text(shingles):
     assert found >= 0.97 * trials  # fingerprints' noise is left
 
 
+def similarity_of(a, b):
+    a, b = (collections.Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) for w in (a, b))
+    return (a & b).total() / (a | b).total()
+
+
+def test_benchmark_stage_drops_leaks_beyond_the_radius(spark):
+    import corpus_pipeline
+
+    rng, items, texts = random.Random(42), [], []
+    for n in (33, 90):
+        for _ in range(150):
+            item = [f"i{rng.randint(0, 10**6)}" for _ in range(n)]
+            leak, past = list(item), list(item)
+            for _ in range(60):
+                other = list(leak)
+                other[rng.randrange(n)] = f"z{rng.randint(0, 10**6)}"
+                if similarity_of(other, item) >= 0.8:
+                    leak = other
+            past[:: n // 6] = ["zz"] * len(past[:: n // 6])
+            around = [[f"t{rng.randint(0, 10**6)}" for _ in range(rng.randint(0, 200))] for _ in range(4)]
+            items.append((len(items), " ".join(item)))
+            texts += [" ".join(around[0] + leak + around[1]), " ".join(around[2] + past + around[3])]
+    spark.createDataFrame(items, "item_id long, text string").write.mode("overwrite").parquet("/tmp/threadloom-test/benchmark.parquet")
+    kept = corpus_pipeline.benchmark_stage(spark, frame(spark, texts), "/tmp/threadloom-test")
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == list(range(1, len(texts), 2))
+
+
+@pytest.mark.parametrize("found", [1 << 20, 3])
+def test_exact_leak_search(found, monkeypatch):
+    monkeypatch.setattr(decontam, "FOUND", found)
+    rng = random.Random(24)
+    items = [[rng.choice("abc") for _ in range(rng.randint(1, 60))] for _ in range(25)]
+    texts = []
+    for _ in range(60):
+        words = [rng.choice("abcdef") for _ in range(rng.randint(0, 80))]
+        at, item = rng.randint(0, len(words)), list(rng.choice(items))
+        for _ in range(rng.randint(0, 3)):
+            item[rng.randrange(len(item))] = "z"
+        texts.append(words[:at] + item + words[at:])
+    index = decontam.LeakIndex([(i, " ".join(x)) for i, x in enumerate(items)], radius=0)
+    for text, got in zip(texts, index.find(pa.array(" ".join(x) for x in texts), exact=True)):
+        want = {}
+        for i, item in enumerate(items):
+            n = max(5, len(item))
+            best = max((round(similarity_of(text[s : s + n], item), 9) for s in range(max(1, len(text) - 4))), default=0)
+            if best >= 0.8:
+                want[i] = best
+        assert {m["item_id"]: round(m["similarity"], 9) for m in got} == want
+
+
 def test_hamming_blocks_guarantee_the_radius():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 1 << 63, 20).astype(np.uint64)

@@ -9,6 +9,9 @@ quarter of it, and every such neighbour of an item's block is in the table, so n
 within the radius is missed. Candidates are verified by the exact weighted-shingle (multiset)
 Jaccard similarity at every start around the hit.
 
+Copies of similarity 0.8 may lie beyond the radius. The exact search finds these too: of an
+item's rarest shingles, more than a copy may lack, one is in every copy.
+
 The items are sent to the executors in rounds of bounded size; each round is one pass without
 a shuffle.
 
@@ -41,6 +44,8 @@ GRID = 1.1
 MAX_ITEMS, MAX_CHARS = 4000, 8 << 20
 #: Shingles whose running sums are held at once.
 SEGMENT = 1 << 15
+#: Places of rarest shingles that are looked into at once.
+FOUND = 1 << 20
 #: Text scanned at once, in bytes.
 SLICE = 4 << 20
 BETWEEN = r"[^\p{L}\p{N}]+"
@@ -158,7 +163,9 @@ class LeakIndex:
         hashes, first = shingle_hashes(words)
         self.similarity, self.ids = similarity, [x[0] for x in items]
         self.shingles = [np.sort(hashes[a:b]) for a, b in zip(first, first[1:])]
+        self.sizes = np.array([len(x) for x in self.shingles], np.int64)
         self.known = np.unique(hashes)
+        self.rare_first, self.rare_item = self._rarest()
         by_size: dict[int, list[int]] = {}
         for i, own in enumerate(self.shingles):
             if len(own):
@@ -170,6 +177,20 @@ class LeakIndex:
         self.align = max((c.stride for c in self.classes), default=1)  # a multiple of every stride: texts start at such places in running sums
         self.reach = max((c.size + c.stride for c in self.classes), default=0)
 
+    def _rarest(self) -> tuple[np.ndarray, np.ndarray]:
+        """The items that have each known shingle among their rarest, and where each shingle's begin; a copy lacks fewer than an item's."""
+        at = [np.searchsorted(self.known, x) for x in self.shingles]
+        often, key, item = np.bincount(np.concatenate([np.unique(x) for x in at] or [[]]).astype(np.int64), minlength=len(self.known)), [], []
+        for i, x in enumerate(at):
+            own, times = np.unique(x, return_counts=True)
+            order = np.argsort(often[own], kind="stable")
+            lacked = len(x) - int(np.ceil(self.similarity * len(x) - 1e-9))
+            some = own[order[: int(np.searchsorted(np.cumsum(times[order]), lacked, side="right")) + 1]]
+            key.append(some)
+            item.append(np.full(len(some), i))
+        key, item = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (key, item))
+        return np.searchsorted(key[order := np.argsort(key, kind="stable")], np.arange(len(self.known) + 1)), item[order]
+
     @staticmethod
     def _stride(size: int) -> int:
         return 1 << max(0, min(6, int(np.log2(max(1, size / 8)))))
@@ -183,14 +204,16 @@ class LeakIndex:
         stride = cls._stride(int(near))
         return max(12, int(round(near / stride)) * stride)
 
-    def find(self, texts: pa.Array) -> list[list[dict]]:
-        """The items that each text holds, each at its best start."""
+    def find(self, texts: pa.Array, exact: bool = False) -> list[list[dict]]:
+        """The items that each text holds, each at its best start; if ``exact``, those beyond the radius too."""
         words = LetterWords(texts, BETWEEN)
         out: list[list[dict]] = [[] for _ in range(len(texts))]
         if not self.classes or not len(words.at):
             return out
         hashes, first = shingle_hashes(words)
-        known = np.concatenate(([0], np.cumsum(self.known[np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)] == hashes)))
+        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+        same = self.known[at] == hashes
+        known = np.concatenate(([0], np.cumsum(same)))
         segments = []
         for doc, (a, b) in enumerate(zip(first.tolist(), first[1:].tolist())):
             for s in range(a, b, SEGMENT):
@@ -203,6 +226,9 @@ class LeakIndex:
                 self._scan(batch, hashes, first, known, out)
                 batch, size = [], 0
         self._scan(batch, hashes, first, known, out)
+        if exact:
+            place = np.flatnonzero(same)
+            self._search(place, at[place], hashes, first, known, out)
         for found in out:
             found.sort(key=lambda m: (-m["similarity"], m["item_id"], m["start"]))
         return out
@@ -220,7 +246,7 @@ class LeakIndex:
         sums = RunningSums(bits)
         whole = np.flatnonzero((low == first[doc]) & (high == first[doc + 1]) & (n < self.reach))
         prints = _prints(np.add.reduceat(bits, at[whole], axis=0, dtype=np.int64) if len(whole) == len(at) else np.stack([bits[a : a + k].sum(axis=0, dtype=np.int64) for a, k in zip(at[whole], n[whole])]), n[whole]) if len(whole) else np.zeros(0, np.uint64)
-        sizes = np.array([len(x) for x in self.shingles])
+        sizes = self.sizes
         last = np.flatnonzero(high == first[doc + 1])
         tail = np.minimum(n[last], self.reach)  # the end of each text, as far as an item and a stride reach
         tail_at = np.cumsum(tail) - tail
@@ -258,12 +284,58 @@ class LeakIndex:
         for (d, i), starts in found.items():
             if best := self._verify(i, sorted(starts), hashes, int(first[d + 1])):
                 s, similarity = best
-                match = {"item_id": self.ids[i], "start": s - int(first[d]), "n_words": len(self.shingles[i]) + SHINGLE - 1, "similarity": similarity}
-                same = next((k for k, m in enumerate(out[d]) if m["item_id"] == self.ids[i]), None)
-                if same is None:
-                    out[d].append(match)
-                elif (-similarity, match["start"]) < (-out[d][same]["similarity"], out[d][same]["start"]):
-                    out[d][same] = match
+                self._note(out[d], i, s - int(first[d]), similarity)
+
+    def _note(self, found: list[dict], i: int, start: int, similarity: float) -> None:
+        match = {"item_id": self.ids[i], "start": start, "n_words": len(self.shingles[i]) + SHINGLE - 1, "similarity": similarity}
+        same = next((k for k, m in enumerate(found) if m["item_id"] == self.ids[i]), None)
+        if same is None:
+            found.append(match)
+        elif (-similarity, start) < (-found[same]["similarity"], found[same]["start"]):
+            found[same] = match
+
+    def _search(self, place, shingle, hashes, first, known, out) -> None:
+        """Notes every copy that has one of its item's rarest shingles; ``place`` has the known shingles' places."""
+        begin, times = self.rare_first[shingle], self.rare_first[shingle + 1] - self.rare_first[shingle]
+        upto, a = np.cumsum(times), 0
+        while a < len(place):  # so many places that their items fit
+            b = max(a + 1, int(np.searchsorted(upto, upto[a] - times[a] + FOUND, side="right")))
+            n = times[a:b]
+            item = self.rare_item[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin[a:b], n)]
+            at, size = np.repeat(place[a:b], n), self.sizes[item]
+            doc = np.searchsorted(first, at, side="right") - 1
+            low = np.maximum(first[doc], at - size + 1)
+            likely = np.flatnonzero(known[np.minimum(first[doc + 1], at + size)] - known[low] >= self.similarity * size)
+            likely = likely[np.lexsort((at[likely], item[likely], doc[likely]))]
+            pair = doc[likely] * len(self.ids) + item[likely]
+            fresh = np.concatenate(([True], (pair[1:] != pair[:-1]) | (low[likely][1:] > at[likely][:-1] + 1))) if len(pair) else np.zeros(0, bool)
+            cuts = np.flatnonzero(fresh)
+            for x, y in zip(cuts.tolist(), [*cuts[1:].tolist(), len(likely)]):
+                d, i = int(doc[likely[x]]), int(item[likely[x]])
+                if best := self._slide(i, int(low[likely[x]]), int(at[likely[y - 1]]), hashes, int(first[d + 1])):
+                    self._note(out[d], i, best[0] - int(first[d]), best[1])
+            a = b
+
+    def _slide(self, i: int, low: int, high: int, hashes: np.ndarray, end: int) -> tuple[int, float] | None:
+        """As ``_verify``, at all starts from ``low`` to ``high``, in time that grows with their number and the item's size alone."""
+        own, times = np.unique(self.shingles[i], return_counts=True)
+        size, best, common, stop = len(self.shingles[i]), None, 0, low
+        window = hashes[low : min(end, high + size)]
+        at = np.minimum(np.searchsorted(own, window), len(own) - 1)
+        kinds, room = np.where(own[at] == window, at, -1).tolist(), times.tolist()
+        for s in range(low, high + 1):
+            while stop < min(end, s + size):
+                if (kind := kinds[stop - low]) >= 0:
+                    room[kind] -= 1
+                    common += room[kind] >= 0
+                stop += 1
+            similarity = common / (size + stop - s - common)
+            if similarity >= self.similarity and (best is None or similarity > best[1]):
+                best = (s, similarity)
+            if (kind := kinds[s - low]) >= 0:
+                common -= room[kind] >= 0
+                room[kind] += 1
+        return best
 
     def _verify(self, i: int, starts: list[int], hashes: np.ndarray, end: int) -> tuple[int, float] | None:
         own, times = np.unique(self.shingles[i], return_counts=True)
@@ -312,14 +384,14 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that hold no item, all columns unchanged."""
+    """The rows of ``docs`` that hold no item, beyond the radius either, all columns unchanged."""
     rows = docs
     for index, _ in rounds(items, item_id, item_text):
 
         def run(batches, index=index):
             for batch in batches:
                 for part in text_slices(batch, text_col, SLICE):
-                    yield part.filter(pa.array([not found for found in index.value.find(part.column(text_col))], pa.bool_()))
+                    yield part.filter(pa.array([not found for found in index.value.find(part.column(text_col), exact=True)], pa.bool_()))
 
         rows = rows.mapInArrow(released(run), docs.schema)
     return rows
