@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -14,7 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from threadloom.llm import bitfilter, components, decontam, exact_dedup, huffman, langid, line_dedup, packing, queries, sharding, simhash, substring_dedup, toxicity
-from threadloom.llm.common import training_fold
+from threadloom.llm.common import training_fold, workspace
 from threadloom.llm.tokenise import WordEncoder, default_tokenizer
 
 SF = "/root/testdata/sf0.001"
@@ -435,6 +436,56 @@ def test_near_copy_stage_finds_scattered_edits(spark):
     assert {r.doc_id for r in got.collect()} == set(root) and len(set(root)) < 25
 
 
+def stored_bytes(spark):
+    folder = workspace(spark).removeprefix("file://")
+    return sum(os.path.getsize(f"{d}/{x}") for d, _, names in os.walk(folder) for x in names)
+
+
+@pytest.mark.parametrize("stage", ["line_stage", "near_copy_stage"])
+def test_stages_leave_little_in_the_shared_folder(spark, stage):
+    import corpus_pipeline
+
+    rng = random.Random(31)
+    texts = ["\n".join(" ".join(f"{rng.getrandbits(40):x}" for _ in range(40)) for _ in range(10)) for _ in range(120)]
+    texts += [texts[0] + " end", texts[1]]
+    docs = frame(spark, texts).withColumn("n_chars", F.length("text").cast("long"))
+    before = stored_bytes(spark)
+    kept = getattr(corpus_pipeline, stage)(spark, docs, SF)
+    assert stored_bytes(spark) - before < 0.1 * sum(map(len, texts))
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == list(range(120))
+
+
+def test_filters_come_one_at_a_time(spark):
+    keys = spark.range(9000).select(F.xxhash64(F.col("id") % 6000).alias("key"))
+    seen, again = bitfilter.build(keys, 1 << 18)
+    stored = exact_dedup_cache(bitfilter.ranges(keys, 1 << 18))
+    assert (bitfilter.fetched(stored, 1 << 18, "seen") == seen).all() and (bitfilter.fetched(stored, 1 << 18, "again") == again).all()
+    folded = np.bitwise_or.reduce(again.reshape(bitfilter.HASHES, 4, -1), axis=1).ravel()
+    assert (bitfilter.fetched(stored, 1 << 18, "again", 1 << 16) == folded).all()
+
+
+def test_near_copies_in_small_groups_of_a_stage(spark):
+    rng = random.Random(32)
+    words = [f"w{i}" for i in range(3000)]
+    base, texts = [[rng.choice(words) for _ in range(60)] for _ in range(15)], []
+    for x in base:
+        for _ in range(5):
+            y = list(x)
+            for _ in range(rng.randint(0, 2)):
+                y[rng.randrange(60)] = rng.choice(words)
+            texts.append(" ".join(y))
+    texts += [texts[0].replace(" ", "\n"), texts[0].upper(), texts[5], "same words at the start of each text " + texts[9], None, ""]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in ((t or "").lower().split() for t in texts)]
+    fingers, root = [simhash.fingerprint(t) for t in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            near_ = sets[i] and sets[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+            if root[i] != root[j] and (near_ or (fingers[i] ^ fingers[j]).bit_count() <= 3):
+                root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
+    kept = simhash.one_of_near(frame(spark, texts + texts[3:5], [*range(len(texts)), 3, 4]))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root)) and kept.columns == frame(spark, []).columns
+
+
 # 9
 
 

@@ -23,9 +23,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, materialise, partitions_for, released
+from .bitfilter import bits_for, fetched, known, ranges
+from .common import forget, fresh, materialise, partitions_for, released, text_slices
 from .components import connected_components
-from .line_dedup import _bounds, _groups
+from .line_dedup import BITS_PER_KEY, MAX_BITS, _bounds, _groups, _mix
 
 RADIUS = 3
 SHINGLE = 3
@@ -217,22 +218,94 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def shingle_set(text: str | None, shingle: int) -> np.ndarray:
     """Distinct hashes of the text's word shingles, sorted; a shorter text is one shingle."""
     words = word_sequence(text)
-    hashes = {xxhash.xxh64_intdigest(b" ".join(words[i : i + shingle]), SEED) for i in range(max(1, len(words) - shingle + 1))} if words else set()
-    return np.sort(np.array(list(hashes), np.uint64).view(np.int64))
+    if not words:
+        return np.zeros(0, np.int64)
+    one = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    n, width = max(1, len(one) - shingle + 1), min(shingle, len(one))
+    out = np.zeros(n, np.uint64)
+    for j in range(width):
+        out = out * np.uint64(0xD6E8FEB86659FD93) + one[j : j + n]
+    return np.unique(_mix(out).view(np.int64))
+
+
+def _least(x: np.ndarray, similarity: float) -> np.ndarray:
+    """The least hashes of a set, one more than a set of this similarity may lack."""
+    return x[: len(x) - int(np.ceil(similarity * len(x) - 1e-9)) + 1] if len(x) else x
+
+
+def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float | None) -> DataFrame:
+    """(node, id, fp, same, size, least) per row: the text's hash and fingerprint, its shingle set's hash and size, and its least hashes."""
+
+    def run(batches):
+        for batch in batches:
+            for part in text_slices(batch, "text"):
+                texts = part.column("text").to_pylist()
+                prints = np.array([fingerprint(x) for x in texts], np.uint64)
+                found = [shingle_set(x, shingle) for x in texts] if similarity is not None else [np.zeros(0, np.int64)] * len(texts)
+                same = np.array([xxhash.xxh64_intdigest(x.tobytes()) for x in found], np.uint64).view(np.int64)
+                least = [_least(x, similarity) for x in found]
+                ends = np.cumsum([0, *map(len, least)]).astype(np.int32)
+                least = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *least])))
+                columns = [part.column("node"), part.column("id"), pa.array(prints.view(np.int64)), pa.array(same), pa.array([len(x) for x in found], pa.int32()), least]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "id", "fp", "same", "size", "least"])
+
+    narrow = docs.select(F.xxhash64(text_col).alias("node"), _id(id_col).alias("id"), F.col(text_col).alias("text"))
+    return narrow.mapInArrow(released(run), "node long, id long, fp long, same long, size int, least array<long>")
+
+
+def _meetings(batches):
+    """(grp, same) from sorted rows of (key, same): the sets that meet under a key, under a hash of them all."""
+    for key, same in _groups(batches, 2):
+        once = np.concatenate(([True], (key[1:] != key[:-1]) | (same[1:] != same[:-1])))
+        key, same = key[once], same[once]
+        edges = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        sizes = np.diff(np.append(edges, len(key)))
+        grp = np.repeat(np.add.reduceat(_mix(same.view(np.uint64)), edges), sizes).view(np.int64)
+        many = np.repeat(sizes > 1, sizes)
+        if many.any():
+            yield pa.RecordBatch.from_arrays([pa.array(grp[many]), pa.array(same[many])], ["grp", "same"])
 
 
-def _alike(batches, similarity: float):
-    """Links of each group of (grp, doc_id, shingles), as stars of parts that hang together."""
-    for grp, ident, shingles in _groups(batches, 3):
+def _hopeful(batches, similarity: float):
+    """(first, same) from rows of (grp, same, size, least): sets that may have a partner in their group, by what the least hashes leave to them."""
+    most = (1 - similarity) / (1 + similarity)  # of both sizes together, what similar sets may not share
+    for grp, same, size, least in _groups(batches, 4):
+        first, kept = [], []
+        for a, b in _bounds(grp):
+            good = np.zeros(b - a, bool)
+            for i in range(b - a - 1):
+                rest = np.arange(i + 1, b - a)
+                rest = rest[~good[rest]] if good[i] else rest
+                n, m = size[a + i].astype(np.int64), size[a + rest].astype(np.int64)
+                rest = rest[np.minimum(n, m) >= similarity * np.maximum(n, m) - 1e-6]
+                for j in rest.tolist():
+                    x, y = least[a + i], least[a + j]
+                    upto = min(x[-1], y[-1])
+                    x, y = x[: np.searchsorted(x, upto, side="right")], y[: np.searchsorted(y, upto, side="right")]
+                    apart = len(x) + len(y) - 2 * len(np.intersect1d(x, y, assume_unique=True))
+                    if apart <= most * (int(n) + int(size[a + j])) + 1e-6:
+                        good[i] = good[j] = True
+            if good.any():
+                some = same[a:b][good]
+                first.append(np.full(len(some), some[0]))
+                kept.append(some)
+        if kept:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(first)), pa.array(np.concatenate(kept))], ["first", "same"])
+
+
+def _alike(batches, shingle: int, similarity: float):
+    """Links of each group of (grp, node, text), as stars of parts that hang together."""
+    for grp, ident, text in _groups(batches, 3):
         out = []
         for a, b in _bounds(grp):
-            size, left = np.array([len(x) for x in shingles[a:b]]), np.arange(b - a)
+            sets = [shingle_set(x, shingle) for x in text[a:b]]
+            size, left = np.array([len(x) for x in sets]), np.arange(b - a)
             while len(left) > 1:
                 root, frontier, left = left[0], [left[0]], left[1:]
                 while frontier and len(left):
                     one = frontier.pop()
                     fits = np.minimum(size[left], size[one]) >= similarity * np.maximum(size[left], size[one])
-                    common = np.array([len(np.intersect1d(shingles[a + one], shingles[a + i], assume_unique=True)) for i in left[fits]], np.int64)
+                    common = np.array([len(np.intersect1d(sets[one], sets[i], assume_unique=True)) for i in left[fits]], np.int64)
                     fits[fits] = common >= similarity * (size[left[fits]] + size[one] - common)
                     out += [(ident[a + root], ident[a + i]) for i in left[fits]]
                     frontier += left[fits].tolist()
@@ -241,38 +314,47 @@ def _alike(batches, similarity: float):
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
 
 
-def jaccard_links(rows: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """Links (a, b) between the nodes of rows (node, text) that join all texts whose shingle sets have this Jaccard similarity.
+def _may_be(spark, hashes: DataFrame):
+    """A filter on hashes that lets all of ``hashes`` through, and few others."""
+    bits = bits_for(hashes.count(), 2 * BITS_PER_KEY, most=MAX_BITS)
+    stored = materialise(ranges(hashes, bits), "bits", "zstd")
+    some = spark.sparkContext.broadcast(fetched(stored, bits, "seen"))
+    forget(stored)
 
-    Of two such sets, the least hashes of each, one more than it may lack, have one in common:
-    no pair is missed. Equal sets are one node; hashes under which the same nodes meet are one group.
-    """
-    n = partitions_for(rows.sparkSession)
+    @F.pandas_udf("boolean")
+    def may_be(h):
+        import pandas as pd
 
-    def sets(batches):
-        for batch in batches:
-            found = [shingle_set(x.as_py(), shingle) for x in batch.column(1)]
-            same = np.array([xxhash.xxh64_intdigest(x.tobytes()) for x in found], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same), pa.array([x.tolist() for x in found], pa.list_(pa.int64()))], ["doc_id", "same", "shingles"])
+        return pd.Series(known(some.value, h.to_numpy(), bits))
 
-    narrow = rows.select(F.col("node").alias("doc_id"), "text")
-    made = materialise(narrow.mapInArrow(released(sets), "doc_id long, same long, shingles array<long>").filter("size(shingles) > 0"), "jaccard-sets")
-    reps = made.groupBy("same").agg(F.min("doc_id").alias("rep"))
-    equal = made.select("doc_id", "same").join(reps, "same").filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    nodes = made.join(reps.select("same", F.col("rep").alias("doc_id")), ["same", "doc_id"], "left_semi").dropDuplicates(["same"])
+    return may_be
 
-    def prefixes(batches):
-        for batch in batches:
-            for doc, x in zip(batch.column(0).to_pylist(), batch.column(1)):
-                x = x.as_py()
-                least = x[: len(x) - int(np.ceil(similarity * len(x) - 1e-9)) + 1]
-                yield pa.RecordBatch.from_arrays([pa.array(least, pa.int64()), pa.array([doc] * len(least), pa.int64())], ["key", "doc_id"])
-
-    keys = nodes.select("doc_id", "shingles").mapInArrow(released(prefixes), "key long, doc_id long")
-    groups = keys.groupBy("key").agg(F.array_sort(F.collect_set("doc_id")).alias("docs")).filter("size(docs) > 1").select("docs").distinct()
-    members = materialise(groups.select(F.xxhash64("docs").alias("grp"), F.explode("docs").alias("doc_id")), "jaccard-groups")
-    rows = members.join(nodes.select("doc_id", "shingles"), "doc_id").select("grp", "doc_id", "shingles")
-    found = rows.repartition(n, "grp").sortWithinPartitions("grp", "doc_id").mapInArrow(lambda batches: _alike(batches, similarity), "a long, b long")
+
+def jaccard_links(docs: DataFrame, made: DataFrame, text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """Links (a, b) between the nodes of ``sketches`` that join all texts whose shingle sets have this Jaccard similarity.
+
+    Of two such sets, the least hashes of each, one more than it may lack, have one in common:
+    no pair is missed. Equal sets are one; hashes under which the same sets meet are one group.
+    Sets that the least hashes rule out go; the texts of the others are compared, those of a
+    group's first set with all others that it meets anywhere.
+    """
+    spark, n = docs.sparkSession, partitions_for(docs.sparkSession)
+    sets = made.filter("size > 0")
+    reps = sets.groupBy("same").agg(F.min("node").alias("rep"))
+    equal = sets.select("node", "same").distinct().join(reps, "same").filter("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b"))
+    keys = sets.select(F.explode("least").alias("key"), "same").repartition(n, "key").sortWithinPartitions("key", "same")
+    members = materialise(keys.mapInArrow(released(_meetings), "grp long, same long").distinct(), "jaccard-groups")
+    met = sets.filter(_may_be(spark, members.select("same").distinct())("same")).select("same", "size", "least").dropDuplicates(["same"])
+    rows = members.join(met, "same").select("grp", "same", "size", "least").repartition(n, "grp").sortWithinPartitions("grp", "same")
+    hopeful = materialise(rows.mapInArrow(released(lambda batches: _hopeful(batches, similarity)), "first long, same long").distinct(), "jaccard-likely")
+    forget(members)
+    pairs = materialise(hopeful.join(reps, "same").select("first", F.col("rep").alias("node")), "jaccard-pairs")
+    forget(hopeful)
+    narrow = docs.select(F.xxhash64(text_col).alias("node"), F.col(text_col).alias("text"))
+    texts = narrow.filter(_may_be(spark, pairs.select("node").distinct())("node")).groupBy("node").agg(F.min("text").alias("text"))
+    rows = pairs.join(texts, "node").select("first", "node", "text").repartition(n, "first").sortWithinPartitions("first", "node")
+    found = materialise(rows.mapInArrow(released(lambda batches: _alike(batches, shingle, similarity)), "a long, b long"), "jaccard-links")
+    forget(pairs)
     return equal.unionByName(found).distinct()
 
 
@@ -286,20 +368,32 @@ def one_of_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Of what hangs together, the row with the least (doc_id, text hash) stays; of rows equal in both, one.
     """
-    name, node = fresh(docs.columns, "first"), fresh(docs.columns, "node")
-    texts = docs.select(F.xxhash64(text_col).alias("node"), F.col(text_col).alias("text"), _id(id_col).alias("id"))
-    nodes = materialise(texts.groupBy("node").agg(F.min("text").alias("text"), F.min("id").alias("id")), "near-nodes")
-    prints = fingerprints(nodes, "node", "text").withColumnRenamed("doc_id", "node")
-    prints = materialise(prints, "near-fp")
+    spark = docs.sparkSession
+    made = materialise(sketches(docs, id_col, text_col, shingle, similarity), "near-sketches")
+    prints = made.select("node", "fp").distinct()
     same = prints.groupBy("fp").agg(F.min("node").alias("rep"))
     equal = prints.join(same, "fp").filter("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b"))
     links = equal.unionByName(hamming_links(same))
     if similarity is not None:
-        links = links.unionByName(jaccard_links(nodes.select("node", "text"), shingle, similarity))
-    roots = connected_components(materialise(links, "near-links"), "near-cc")
-    known = nodes.select("node", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    stay = known.groupBy("root").agg(F.min(F.struct("id", "node")).alias("first")).select(F.col("first.node").alias(node), F.col("first.id").alias(name))
-    hashed = docs.withColumn(fresh([*docs.columns, name, node], "h"), F.xxhash64(text_col))
-    h = hashed.columns[-1]
-    kept = hashed.join(stay, (F.col(h) == F.col(node)) & (_id(id_col) == F.col(name)), "left_semi")
-    return kept.dropDuplicates([h, id_col]).drop(h)
+        links = links.unionByName(jaccard_links(docs, made, text_col, shingle, similarity))
+    links = materialise(links, "near-links")
+    roots = connected_components(links, "near-cc")
+    rows = made.groupBy("node", "id").agg(F.count(F.lit(1)).alias("n"))
+    known_ = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    known_ = known_.join(known_.groupBy("root").agg(F.min(F.struct("id", "node")).alias("first")), "root")
+    stays = (F.col("first.node") == F.col("node")) & (F.col("first.id") == F.col("id"))
+    # few rows go, or stay as one of several: only those that may be among them shuffle
+    doubtful = materialise(known_.withColumn("stays", stays).filter("not stays or n > 1").select("node", "id", "stays"), "near-doubtful")
+    forget(made)
+    forget(links)
+    forget(roots)
+    name, node = fresh(docs.columns, "id"), fresh(docs.columns, "node")
+    stay = doubtful.filter("stays").select(F.col("node").alias(node), F.col("id").alias(name))
+    row = F.xxhash64(F.xxhash64(text_col), _id(id_col))
+    may_go = _may_be(spark, doubtful.select(F.xxhash64("node", "id").alias("h")))(row)
+    h = fresh([*docs.columns, name, node], "h")
+    certain, rest = docs.filter(~may_go), docs.filter(may_go).withColumn(h, F.xxhash64(text_col))
+    here = doubtful.select(F.col("node").alias(node), F.col("id").alias(name))
+    match = (F.col(h) == F.col(node)) & (_id(id_col) == F.col(name))
+    kept = rest.join(stay, match, "left_semi").dropDuplicates([h, id_col]).unionByName(rest.join(here, match, "left_anti"))
+    return certain.unionByName(kept.drop(h))
