@@ -411,6 +411,49 @@ def test_line_stage_loses_no_pair_of_a_large_group(spark):
     assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == list(range(0, len(lines), 2))
 
 
+def full_collections(spark):
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    return sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+
+
+def test_line_rounds_give_the_drivers_heap_back(spark):
+    rng, before = random.Random(15), full_collections(spark)
+    lines = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(60)) for _ in range(20)]
+    rows = line_dedup._rows(frame(spark, lines + [x[:-1] + "#" for x in lines]), "doc_id", "text")
+    seen = line_dedup.occurrences(rows)
+    assert line_dedup.near_lines(rows, seen).count() == 40
+    assert full_collections(spark) > before
+
+
+def test_hubs_first_then_what_hangs_apart(spark):
+    rng = random.Random(16)
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(40)) for _ in range(4)]
+    lines = sorted({mutate(rng, rng.choice(base), rng.randint(0, 5), "xyz") for _ in range(90)})
+    groups = [sorted(rng.sample(range(len(lines)), rng.randint(2, 30))) for _ in range(25)]
+
+    def batches(rows, names, size):
+        columns = [pa.array(c) for c in zip(*rows)]
+        whole = pa.RecordBatch.from_arrays(columns, names)
+        return iter([whole.slice(k, size) for k in range(0, len(rows), size)])
+
+    def joined(links, root=()):
+        part = dict(root) or {i: i for i in range(len(lines))}
+        for a, b in links:
+            low, high = sorted((part[a], part[b]))
+            part = {i: low if r == high else r for i, r in part.items()}
+        return part
+
+    def links(out):
+        return [x for batch in out for x in zip(*(c.to_pylist() for c in batch.columns))]
+
+    hubs = sorted({(g[0], i) for g in groups for i in g})
+    roots = joined(links(line_dedup._stars(batches([(h, i, lines[i]) for h, i in hubs], ["least", "id", "line"], 7))))
+    rest = [(k, i, lines[i], roots[i]) for k, g in enumerate(groups) for i in g]
+    got = joined(links(line_dedup._verify(batches(rest, ["grp", "id", "line", "root"], 11), settled=True)), roots)
+    want = joined([(a, b) for g in groups for a in g for b in g if a < b and near(lines[a], lines[b])])
+    assert got == want and len(set(want.values())) < len(set(roots.values()))
+
+
 # 8, as the pipeline uses it
 
 
