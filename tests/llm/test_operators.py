@@ -14,7 +14,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from threadloom.llm import bitfilter, components, decontam, exact_dedup, huffman, langid, line_dedup, packing, queries, sharding, simhash, substring_dedup, toxicity
+from threadloom.llm import bitfilter, common, components, decontam, exact_dedup, huffman, langid, line_dedup, packing, queries, sharding, simhash, substring_dedup, toxicity
 from threadloom.llm.common import training_fold, workspace
 from threadloom.llm.tokenise import WordEncoder, default_tokenizer
 
@@ -425,6 +425,16 @@ def test_line_rounds_give_the_drivers_heap_back(spark):
     assert full_collections(spark) > before
 
 
+def test_give_back_reaches_the_executors(spark):
+    context = spark.sparkContext
+    context.setJobGroup("give back", "")
+    common.give_back(spark)
+    context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup("give back") for s in tracker.getJobInfo(job).stageIds]
+    assert sum(tracker.getStageInfo(s).numTasks for s in stages) >= context.defaultParallelism
+
+
 def test_hubs_first_then_what_hangs_apart(spark):
     rng = random.Random(16)
     base = ["".join(rng.choice("abcdefgh ") for _ in range(40)) for _ in range(4)]
