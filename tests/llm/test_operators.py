@@ -435,6 +435,20 @@ def test_give_back_reaches_the_executors(spark):
     assert sum(tracker.getStageInfo(s).numTasks for s in stages) >= context.defaultParallelism
 
 
+def test_groups_of_the_same_lines_go_on_once():
+    key, counts = np.repeat(np.arange(6), [2, 3, 2, 2, 3, 2]), np.zeros(14, np.int64)
+    ident = np.array([5, 9, -3, 5, 9, 5, 9, -3, 5, -3, 5, 9, 5, 9])
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in (key, ident, counts, np.full(14, 20, np.int32), np.arange(14) % 2 == 0)], ["key", "id", "counts", "length", "probe"])
+    rows = pa.Table.from_batches(line_dedup._prune(iter([batch])))
+    assert rows.num_rows < 6
+    twice = pa.concat_tables([rows, rows]).sort_by([("x", "ascending"), ("y", "ascending"), ("n", "ascending")])
+    got = collections.defaultdict(list)
+    for out in line_dedup._once(iter(twice.to_batches(max_chunksize=2))):
+        for grp, least, n, i in zip(*(c.to_pylist() for c in out.columns)):
+            got[grp, least, n].append(i)
+    assert sorted(x[1:] + (i,) for x, i in ((x, tuple(i)) for x, i in got.items())) == [(-3, 2, (-3, 5)), (-3, 3, (-3, 5, 9)), (5, 2, (5, 9))]
+
+
 def test_hubs_first_then_what_hangs_apart(spark):
     rng = random.Random(16)
     base = ["".join(rng.choice("abcdefgh ") for _ in range(40)) for _ in range(4)]
