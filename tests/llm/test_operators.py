@@ -449,6 +449,16 @@ def test_groups_of_the_same_lines_go_on_once():
     assert sorted(x[1:] + (i,) for x, i in ((x, tuple(i)) for x, i in got.items())) == [(-3, 2, (-3, 5)), (-3, 3, (-3, 5, 9)), (5, 2, (5, 9))]
 
 
+def test_long_lines_are_compared_in_bounded_slices(monkeypatch):
+    seen, whole = [], line_dedup.within_edits
+    monkeypatch.setattr(line_dedup, "within_edits", lambda a, b: seen.append(sum(map(len, [*a, *b]))) or whole(a, b))
+    links = line_dedup.Links()
+    for i in range(20):
+        links.add(2 * i, 2 * i + 1, "a" * 200_000, "a" * 199_999 + "b" if i % 3 else "b" * 200_000)
+    assert links.compare() == [(2 * i, 2 * i + 1) for i in range(20) if i % 3]
+    assert len(seen) > 1 and max(seen) <= 1 << 21
+
+
 def test_hubs_first_then_what_hangs_apart(spark):
     rng = random.Random(16)
     base = ["".join(rng.choice("abcdefgh ") for _ in range(40)) for _ in range(4)]
