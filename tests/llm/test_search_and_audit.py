@@ -200,7 +200,7 @@ def test_products_beyond_doubles(spark):
 
 
 def test_pruning_meets_few_vectors(spark, monkeypatch):
-    """Blocks come by descending length; most vectors are never multiplied whole."""
+    """Blocks come by descending length; beyond the first, which sets the scores to beat, hardly a vector is multiplied whole."""
     frame = spark.createDataFrame(vector_rows(2, 8000, 16, 1.0), "vec_id long, embedding array<float>")
     index = inner_product.build_index(frame)
     blocks = sorted((b.asDict() for b in index.blocks.collect()), key=lambda b: -b["top"])
@@ -212,4 +212,4 @@ def test_pruning_meets_few_vectors(spark, monkeypatch):
     best = inner_product._Best(queries)
     for b in blocks:
         inner_product._meet(best, queries, b | {"ids": pa.array(b["ids"])})
-    assert sum(met) < 0.1 * len(asked) * 8000
+    assert len(blocks) > 2 and sum(met) < 1.05 * len(asked) * len(blocks[0]["ids"])
