@@ -148,11 +148,6 @@ def right_wins(left: DataFrame, right: DataFrame, key: str = "key") -> DataFrame
     return left.join(right.select(key), key, "left_anti").unionByName(right)
 
 
-def placed(rows: DataFrame, *order: Column) -> DataFrame:
-    """``rows`` in a total order, with their place from 1; for results of a bounded size (one task numbers them)."""
-    return rows.withColumn("place", F.row_number().over(Window.orderBy(*order)))
-
-
 def merge_order() -> list[Column]:
     """Resolved ones by score, then name; unresolved ones after them by name."""
     unresolved = (F.coalesce("ol_key", F.lit("")) == "") & (F.coalesce("canonical_title", F.lit("")) == "")
@@ -163,5 +158,6 @@ def longest_and_shortest(rows: DataFrame, text: str, n: int = 20) -> DataFrame:
     """The ``n`` longest and the ``n`` shortest texts, each with its place."""
     size = F.length(text)
     ends = [("longest", [size.desc(), F.col(text)]), ("shortest", [size.asc(), F.col(text)])]
-    parts = [placed(rows.select(text).orderBy(*o).limit(n), *o).withColumn("which", F.lit(w)) for w, o in ends]
+    # n rows each: one task numbers them
+    parts = [rows.select(text).orderBy(*o).limit(n).withColumn("place", F.row_number().over(Window.orderBy(*o))).withColumn("which", F.lit(w)) for w, o in ends]
     return parts[0].unionByName(parts[1]).select("which", "place", text)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import catalog, labels, resolve, spans, stats
+from ..operators import catalog, labels, ranking, resolve, spans, stats
 from ..sources import files
 from ..streaming.incremental import once
 from . import adapters as ad
@@ -184,19 +184,26 @@ def right_wins(spark, d):
     SELECT surface, row_number() OVER (ORDER BY ol_key IS NULL, CASE WHEN ol_key IS NULL THEN 0 ELSE -score END, lower(surface), surface) AS place FROM r""")
 def merged_order(spark, d):
     rows = ad.table(spark, d, "part").selectExpr("concat(CASE WHEN p_partkey % 2 = 0 THEN upper(p_name) ELSE p_name END, p_partkey) AS surface", "CASE WHEN p_partkey % 3 > 0 THEN concat('k', p_partkey) END AS ol_key", "CAST(NULL AS STRING) AS canonical_title", "CAST((p_partkey % 17) / 20.0 AS DOUBLE) AS score")
-    return labels.placed(rows, *labels.merge_order()).select("surface", "place")
+    return ranking.placed(rows, *labels.merge_order(), distinct=True).select("surface", "place")
 
 
 @query("SELECT p_name, count(*) AS n, row_number() OVER (ORDER BY length(p_name), count(*) DESC, p_name) AS place FROM part GROUP BY p_name")
 def length_then_count_order(spark, d):
     counts = ad.table(spark, d, "part").groupBy("p_name").agg(F.count(F.lit(1)).alias("n"))
-    return labels.placed(counts, F.length("p_name").asc(), F.desc("n"), F.col("p_name"))
+    return ranking.placed(counts, F.length("p_name").asc(), F.desc("n"), distinct=True)
 
 
 @query("SELECT l_orderkey, count(DISTINCT l_partkey) AS n, row_number() OVER (ORDER BY count(DISTINCT l_partkey) DESC, l_orderkey) AS place FROM lineitem GROUP BY l_orderkey")
 def most_candidates_order(spark, d):
     counts = ad.table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.countDistinct("l_partkey").alias("n"))
-    return labels.placed(counts, F.desc("n"), F.col("l_orderkey"))
+    return ranking.placed(counts, F.desc("n"), distinct=True)
+
+
+@query("SELECT lower(text) AS text, source, row_number() OVER (ORDER BY length(text) DESC, source, lower(text)) AS place FROM (SELECT 'T' || (l_suppkey % 5) || repeat('x', (l_partkey % 4)::INTEGER) AS text, l_returnflag AS source FROM lineitem)")
+def copies_order(spark, d):
+    """Very many equal rows: each has a place of its own."""
+    rows = ad.table(spark, d, "lineitem").selectExpr("lower(concat('T', l_suppkey % 5, repeat('x', int(l_partkey % 4)))) AS text", "l_returnflag AS source")
+    return ranking.placed(rows, F.length("text").desc(), "source")
 
 
 @query("""WITH t AS (SELECT DISTINCT p_name FROM part), r AS (SELECT p_name, row_number() OVER (ORDER BY length(p_name) DESC, p_name) AS l, row_number() OVER (ORDER BY length(p_name), p_name) AS s FROM t)
