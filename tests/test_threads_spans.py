@@ -64,16 +64,6 @@ def test_noise_keeps_span_text(spark):
     assert [r.text[s.start : s.end] for s in r.spans] == ["Dune"]
 
 
-def test_title_matches_agree_with_brute_force(spark):
-    texts = ["The Trial, the trial of Dune!", "untrial dune", "x the castle", "DUNE", ""]
-    titles = [("k1", "The Trial"), ("k2", "Dune"), ("k3", "the castle"), ("k4", "trial")]
-    rows = spark.createDataFrame(list(enumerate(texts)), "task_id long, text string")
-    names = spark.createDataFrame(titles, "ol_key string, title string")
-    expected = sorted((i, k, m.start(), m.end()) for i, t in enumerate(texts) for k, n in titles for m in re.finditer(rf"(?<!\w){re.escape(n.lower())}(?!\w)", t.lower()))
-    for match in (spans.title_matches, spans.automaton_matches):
-        assert sorted(tuple(r) for r in match(rows, names).collect()) == expected
-
-
 def test_priority_merge_is_idempotent(spark):
     columns = "surface string, canonical_title string, ol_key string, author_name string, method string, score double, ambiguous boolean, notes string, source string, _pos long"
     a = spark.createDataFrame([("s", "T", "k1", None, "m", 0.5, False, "", "a", 1), ("r", None, None, None, "m", 0.9, False, "", "a", 2)], columns)

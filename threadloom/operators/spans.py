@@ -11,7 +11,6 @@ import re
 import unicodedata
 
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,8 +20,6 @@ from ..config import SETTINGS
 SPAN = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("pass", T.StringType())]))
 PLAIN_SPAN = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 APOSTROPHES = "'‘’`ʼʻ"
-#: Titles with their first token's postings at most this many characters are sent to every executor.
-AUTOMATON_CHARS = 32 << 20
 
 
 def _folded(text: str) -> tuple[str, list[int]]:
@@ -157,6 +154,7 @@ def snippet(text: Column, start: Column, end: Column, context: int = 40) -> Colu
     return F.concat(F.when(low > 0, "…").otherwise(""), F.substr(text, low + 1, high - low), F.when(high < F.length(text), "…").otherwise(""))
 
 
+#: Fixed value: what stands before a comment of a rendered document.
 NOISE = r"\[u/[^\]]+\]\s*\.?\s*"
 
 
@@ -178,73 +176,6 @@ def remove_noise(text: pd.Series, spans: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["text", "spans"])
 
 
-def _openings(widest: int):
-    """Each token's place in a text with the keys that a title there has, and the stretch that the widest title may fill."""
-    kind = T.ArrayType(T.StructType([T.StructField("keys", T.ArrayType(T.StringType())), T.StructField("at", T.IntegerType()), T.StructField("stretch", T.StringType())]))
-
-    @F.pandas_udf(kind)
-    def openings(text: pd.Series) -> pd.Series:
-        out = []
-        for t in text:
-            found = [(m.start(), m.group()) for m in re.finditer(r"\w+", t or "")]
-            after = [x for _, x in found[1:]] + [None]
-            out.append([{"keys": [x] if y is None else [x, f"{x} {y}"], "at": at, "stretch": t[at : at + widest + 1]} for (at, x), y in zip(found, after)])
-        return pd.Series(out)
-
-    return openings
-
-
-def title_matches(texts: DataFrame, titles: DataFrame, key: str = "task_id") -> DataFrame:
-    """(key, ol_key, start, end): every title in every lower-cased text at word boundaries.
-
-    A title meets the places of its first two tokens, or of its only one: so no common first word
-    gathers all titles that begin with it. Only the stretch that the widest title may fill travels.
-    """
-    begins = F.lower("title").rlike(r"^[\p{L}\p{N}_]")
-    known = titles.select("ol_key", F.lower("title").alias("t")).filter(F.col("t").rlike(r"^[\p{L}\p{N}_]")).dropDuplicates(["t"])
-    first = F.regexp_extract("t", r"^([\p{L}\p{N}_]+)(?:[^\p{L}\p{N}_]+([\p{L}\p{N}_]+))?", 1)
-    second = F.regexp_extract("t", r"^([\p{L}\p{N}_]+)(?:[^\p{L}\p{N}_]+([\p{L}\p{N}_]+))?", 2)
-    known = known.withColumn("opening", F.when(second == "", first).otherwise(F.concat_ws(" ", first, second))).withColumn("size", F.length("t"))
-    widest = known.agg(F.coalesce(F.max("size"), F.lit(0))).first()[0]
-    places = texts.select(key, F.explode(_openings(widest)(F.lower("text"))).alias("o")).select(key, F.col("o.at").alias("start"), F.col("o.stretch").alias("stretch"), F.explode("o.keys").alias("opening"))
-    fits = places.join(known, "opening").filter(F.startswith("stretch", "t") & ~F.substr("stretch", F.col("size") + 1, F.lit(1)).rlike(r"[\p{L}\p{N}_]"))
-    found = fits.select(key, "ol_key", "start", (F.col("start") + F.col("size")).alias("end"))
-    others = titles.filter(~begins & (F.length("title") > 0))  # these have no first token to meet under
-    return found if others.isEmpty() else found.unionByName(automaton_matches(texts, others, key))
-
-
-def automaton_matches(texts: DataFrame, titles: DataFrame, key: str = "task_id", boundary: bool = True) -> DataFrame:
-    """The same for any titles, by Aho-Corasick automata over batches of bounded size."""
-    known = titles.select("ol_key", F.lower("title").alias("t")).dropDuplicates(["t"])
-    chars = known.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]
-    parts, out = int(-(-chars // AUTOMATON_CHARS)) or 1, None
-    for p in range(parts):
-        batch = [(r["ol_key"], r["t"]) for r in known.filter(F.pmod(F.xxhash64("t"), F.lit(parts)) == p).collect()]
-
-        def run(batches, batch=batch):
-            import ahocorasick
-
-            automaton = ahocorasick.Automaton()
-            for ol_key, t in batch:
-                automaton.add_word(t, (ol_key, len(t)))
-            if batch:
-                automaton.make_automaton()
-            for rows in batches:
-                found = []
-                for k, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
-                    low = (text or "").lower()
-                    for last, (ol_key, n) in automaton.iter(low) if batch else ():
-                        a, b = last + 1 - n, last + 1
-                        if not boundary or not (re.match(r"\w", low[a - 1 : a]) or re.match(r"\w", low[b : b + 1])):
-                            found.append((k, ol_key, a, b))
-                if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), (rows.schema.field(0).type, pa.string(), pa.int32(), pa.int32()))], [key, "ol_key", "start", "end"])
-
-        found = texts.select(key, "text").mapInArrow(run, f"{key} {texts.schema[key].dataType.simpleString()}, ol_key string, start int, end int")
-        out = found if out is None else out.unionByName(found)
-    return out
-
-
 def length_buckets(n: Column) -> Column:
     bounds = (6, 10), (11, 20), (21, 30), (31, 50), (51, 100)
     out = F.when(n < 6, "0-5")

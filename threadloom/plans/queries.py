@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import similarity as sim
 from ..functions import text as tx
-from ..operators import catalog, labels, resolve, spans, stats, threads
+from ..operators import catalog, dictionary, labels, resolve, spans, stats, threads
 from ..streaming.incremental import unprocessed
 from . import adapters as ad
 
@@ -326,21 +326,23 @@ def _titles(spark: SparkSession, d: str) -> DataFrame:
     return ad.table(spark, d, "benchmark").selectExpr("concat('b', item_id) AS ol_key", r"array_join(slice(split(text, '[^\\p{L}]+'), 1, 3), ' ') AS title").filter("length(title) > 5")
 
 
-_DICT_SQL = r"""WITH t AS (SELECT lower(title) AS t, min(ol_key) AS ol_key FROM (SELECT 'b' || item_id AS ol_key, array_to_string(regexp_split_to_array(text, '[^\p{L}]+')[1:3], ' ') AS title FROM benchmark) WHERE length(title) > 5 GROUP BY 1),
-    d AS (SELECT doc_id, lower(text) AS low FROM documents)
-    SELECT DISTINCT doc_id AS task_id, t AS title FROM d JOIN t ON contains(low, t) WHERE regexp_matches(low, '(^|[^\p{L}\p{N}_])' || regexp_escape(t) || '($|[^\p{L}\p{N}_])')"""
+_DICT_SQL = r"""WITH RECURSIVE t AS (SELECT lower(title) AS t, min(ol_key) AS ol_key FROM (SELECT 'b' || item_id AS ol_key, array_to_string(regexp_split_to_array(text, '[^\p{L}]+')[1:3], ' ') AS title FROM benchmark) WHERE length(title) > 5 GROUP BY 1),
+    d AS (SELECT doc_id, lower(text) AS low FROM documents),
+    r AS (SELECT doc_id, ol_key, t, low, instr(low, t) AS pos FROM d JOIN t ON contains(low, t)
+          UNION ALL SELECT doc_id, ol_key, t, low, pos + instr(substr(low, pos + 1), t) FROM r WHERE instr(substr(low, pos + 1), t) > 0)
+    SELECT doc_id AS task_id, ol_key, t AS title, (pos - 1)::INTEGER AS start, (pos - 1 + length(t))::INTEGER AS "end" FROM r
+    WHERE (pos = 1 OR NOT regexp_matches(substr(low, pos - 1, 1), '[\p{L}\p{N}_]')) AND NOT regexp_matches(substr(low, pos + length(t), 1), '[\p{L}\p{N}_]')"""
 
 
 @query(_DICT_SQL)
 def dictionary_match(spark, d):
-    texts, titles = ad.table(spark, d, "documents").select(F.col("doc_id").alias("task_id"), "text"), _titles(spark, d)
-    return spans.title_matches(texts, titles).join(titles.select("ol_key", F.lower("title").alias("title")), "ol_key").select("task_id", "title").distinct()
+    return dictionary.matches(ad.table(spark, d, "documents").select(F.col("doc_id").alias("task_id"), "text"), _titles(spark, d))
 
 
 @query(_DICT_SQL)
 def dictionary_match_automaton(spark, d):
-    texts, titles = ad.table(spark, d, "documents").select(F.col("doc_id").alias("task_id"), "text"), _titles(spark, d)
-    return spans.automaton_matches(texts, titles).join(titles.select("ol_key", F.lower("title").alias("title")), "ol_key").select("task_id", "title").distinct()
+    """The same with so small shards that the dictionary has many."""
+    return dictionary.matches(ad.table(spark, d, "documents").select(F.col("doc_id").alias("task_id"), "text"), _titles(spark, d), shard_chars=200)
 
 
 @query("SELECT CASE WHEN n < 6 THEN '0-5' WHEN n <= 10 THEN '6-10' WHEN n <= 20 THEN '11-20' WHEN n <= 30 THEN '21-30' WHEN n <= 50 THEN '31-50' WHEN n <= 100 THEN '51-100' ELSE '101+' END AS bucket, count(*) AS n FROM (SELECT length(text) AS n FROM conversations) GROUP BY 1")
