@@ -11,7 +11,7 @@ def tables(spark, titles, surfaces):
 def test_canonical_stage_searches_what_is_left(spark):
     works, surfaces = tables(spark, ["It", "War and Peace", "Of the Cat"], ["War And Peace", "the cat", "qqqq"])
     pairs = catalog.token_candidates(surfaces, catalog.token_index(works)).join(surfaces, "surface").join(works, "ol_key")
-    index = catalog.postings(works, "ol_key", F.split("norm_title", " "))
+    index = catalog.title_index(works)
     got = {r.surface: (r.method, r.work_key) for r in resolve.canonical_stage(surfaces, pairs, index, works).collect()}
     assert got == {"War And Peace": ("exact", "/works/1"), "the cat": ("fts", "/works/2"), "qqqq": ("unresolved", "")}
 

@@ -21,6 +21,7 @@ class Settings:
     fuzzy_gap: float = 5.0
     fuzzy_ambiguous_below: float = 90.0
     postings_per_token: int = 300
+    fulltext_candidates: int = 200
     min_token_length: int = 4
     canonical_fuzzy: float = 72.0
     canonical_search: float = 60.0

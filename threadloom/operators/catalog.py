@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from ..config import SETTINGS
 from ..functions.text import author_keys, description_text, index_tokens, initials, norm_title, title_acronym
+from . import fulltext
+from .fulltext import FullTextIndex
 from .labels import last_wins
 
-#: BM25 constants of the full-text search.
-K1, B = 1.2, 0.75
-
 
 def works_table(dump: DataFrame) -> DataFrame:
     """Works of dump lines (key, payload, _pos): the last revision of each key."""
@@ -57,38 +56,9 @@ def normalised_lookup(surfaces: DataFrame, works: DataFrame) -> DataFrame:
     return surfaces.join(works, surfaces.norm == works.norm_title)
 
 
-def postings(rows: DataFrame, key: str, tokens: Column) -> DataFrame:
-    """(token, key, tf, doc_len): the inverted index of full-text search."""
-    counted = rows.select(key, tokens.alias("tokens")).withColumn("doc_len", F.size("tokens"))
-    return counted.select(key, "doc_len", F.explode("tokens").alias("token")).groupBy("token", key, "doc_len").agg(F.count(F.lit(1)).alias("tf"))
-
-
-def search_rows(rows: DataFrame, key: str, tokens: Column, queries: DataFrame, limit: int) -> DataFrame:
-    """``search`` over rows without an index: only the queries' terms become postings."""
-    held = rows.select(key, tokens.alias("tokens")).withColumn("doc_len", F.size("tokens"))
-    size = held.filter("doc_len > 0").agg(F.count(F.lit(1)).alias("n_docs"), F.avg("doc_len").alias("avg_len")).first()
-    terms = queries.select(F.explode("terms").alias("token")).distinct()
-    met = held.select(key, "doc_len", F.explode("tokens").alias("token")).join(terms, "token", "left_semi")
-    return search(met.groupBy("token", key, "doc_len").agg(F.count(F.lit(1)).alias("tf")), key, queries, limit, (size["n_docs"], size["avg_len"]))
-
-
-def search(index: DataFrame, key: str, queries: DataFrame, limit: int, totals: tuple[int, float] | None = None) -> DataFrame:
-    """(query, key, score, place): documents that hold all terms, best BM25 first.
-
-    ``queries`` has query and terms (distinct tokens); ``totals`` the documents and their mean length, if known.
-    """
-    if totals is None:
-        totals = index.select(key, "doc_len").distinct().agg(F.count(F.lit(1)), F.avg("doc_len")).first()
-    size = {"n_docs": totals[0], "avg_len": totals[1]}
-    wanted = queries.select("query", F.size("terms").alias("n_terms"), F.explode("terms").alias("token"))
-    df = index.join(wanted.select("token").distinct(), "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    n, mean = F.lit(float(size["n_docs"] or 0)), F.lit(float(size["avg_len"] or 1))
-    idf = F.log((n - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1)
-    part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("doc_len") / mean))
-    hits = wanted.join(df, "token").join(index, "token").groupBy("query", key, "n_terms").agg(F.sum(part).alias("score"), F.count(F.lit(1)).alias("found"))
-    hits = hits.filter("found = n_terms").withColumn("score", F.bround("score", 6))
-    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), key))
-    return hits.withColumn("place", place).filter(F.col("place") <= limit).select("query", key, "score", "place")
+def title_index(works: DataFrame, key: str = "ol_key", norm: str = "norm_title") -> FullTextIndex:
+    """The stored full-text index of normalised titles, or of authors' names."""
+    return fulltext.build(works, key, F.filter(F.split(norm, " "), lambda w: w != ""))
 
 
 def acronym_matches(acronyms: DataFrame, works: DataFrame, limit: int = 10) -> DataFrame:

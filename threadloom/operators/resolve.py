@@ -9,7 +9,8 @@ from ..config import ALIASES
 from ..config import SETTINGS as S
 from ..functions.similarity import canonical_score, dice, fuzzy_score
 from ..functions.text import is_scripture, norm_title, spell_numbers
-from .catalog import search, token_candidates, token_index
+from .catalog import token_candidates, token_index
+from .fulltext import FullTextIndex, search
 
 RESOLUTION = ["surface", "method", "ol_key", "canonical_title", "author_name", "confidence", "ambiguous", "notes"]
 
@@ -131,6 +132,14 @@ def fuzzy_candidates(surfaces: DataFrame, works: DataFrame) -> DataFrame:
     return pairs.join(spelled, "surface").join(works, "ol_key").select("surface", F.col("spelled").alias("norm"), "ol_key", "title", "norm_title")
 
 
+def fulltext_candidates(surfaces: DataFrame, index: FullTextIndex, works: DataFrame, limit: int = S.fulltext_candidates) -> DataFrame:
+    """The retriever with less memory: the ``limit`` best titles that hold all words of a surface."""
+    own = surfaces.select("surface", "norm").dropDuplicates(["surface"])
+    terms = F.array_distinct(F.filter(F.split("norm", " "), lambda w: w != ""))
+    hits = search(index, own.select(F.col("surface").alias("query"), terms.alias("terms")), limit).select(F.col("query").alias("surface"), "ol_key")
+    return hits.join(own, "surface").join(works, "ol_key").select("surface", "norm", "ol_key", "title", "norm_title")
+
+
 def alias_table(spark) -> DataFrame:
     rows = spark.createDataFrame(list(ALIASES.items()), "surface string, canonical string")
     return rows.groupBy(norm_title("surface").alias("norm")).agg(F.min("canonical").alias("canonical"))
@@ -160,15 +169,15 @@ def canonical_resolutions(candidates: DataFrame, threshold: float = S.canonical_
     return scored.withColumn("place", place).filter("place = 1").select("surface", F.col("title").alias("canonical_title"), F.col("ol_key").alias("work_key"), method.alias("method"), F.bround("score", 1).alias("score"))
 
 
-def canonical_stage(surfaces: DataFrame, candidates: DataFrame, index: DataFrame, works: DataFrame, limit: int = 20) -> DataFrame:
+def canonical_stage(surfaces: DataFrame, candidates: DataFrame, index: FullTextIndex, works: DataFrame, limit: int = 20) -> DataFrame:
     """Every surface once: exact, fuzzy, then the best of the full-text search's hits; otherwise unresolved with the hint.
 
-    ``surfaces`` has surface and norm, ``index`` the postings of the works' titles by ol_key.
+    ``surfaces`` has surface and norm, ``index`` the stored index of the works' titles.
     """
     first = surfaces.select("surface", "norm").dropDuplicates(["surface"]).join(canonical_resolutions(candidates), "surface", "left")
     terms = F.array_distinct(F.filter(F.split("norm", " "), lambda w: w != ""))
     open_ = first.filter("coalesce(method, 'unresolved') = 'unresolved'").select(F.col("surface").alias("query"), "norm", terms.alias("terms"))
-    hits = search(index, "ol_key", open_, limit).join(open_.select("query", "norm"), "query").join(works.select("ol_key", "title", "norm_title"), "ol_key")
+    hits = search(index, open_, limit).join(open_.select("query", "norm"), "query").join(works.select("ol_key", "title", "norm_title"), "ol_key")
     hits = hits.withColumn("found", canonical_score(F.col("norm"), F.col("norm_title"))).filter(F.col("found") >= S.canonical_search)
     hits = hits.groupBy(F.col("query").alias("surface")).agg(F.min_by(F.struct("title", "ol_key", "found"), F.struct(-F.col("found"), F.col("place"))).alias("fts"))
     fts, hit = F.col("fts").isNotNull(), F.col("fts")

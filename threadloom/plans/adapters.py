@@ -9,6 +9,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """A scan of fewer splits than the session has tasks (few row groups), dealt to all of them; any other scan as it is."""
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks) if 2 * rows.rdd.getNumPartitions() <= tasks else rows
+
+
 def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").filter("turn = 0").selectExpr(
         "concat('c', conv_id) AS id", "substr(text, 1, 40) AS title", "text AS selftext", "conv_id % 3 <> 0 AS is_self", "concat('u_', role) AS author", "conv_id % 7 AS score",

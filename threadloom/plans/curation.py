@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import catalog, labels, ranking, resolve, spans, stats
+from ..operators import catalog, fulltext, labels, ranking, resolve, spans, stats
 from ..sources import files
 from ..streaming.incremental import once
 from . import adapters as ad
@@ -43,8 +43,8 @@ def authors_by_exact_name(spark, d):
 @query(f"WITH {_AUTHORS}, t AS (SELECT author_key, list_filter(string_split({norm('name')}, ' '), lambda x: x <> '') AS tok FROM a) SELECT author_key FROM t WHERE list_contains(tok, 'supplier') AND list_contains(tok, '3') ORDER BY author_key LIMIT 20")
 def author_search(spark, d):
     authors = _authors(spark, d)
-    index = catalog.postings(authors, "author_key", F.filter(F.split("norm_name", " "), lambda w: w != ""))
-    return catalog.search(index, "author_key", spark.createDataFrame([("supplier 3", ["supplier", "3"])], "query string, terms array<string>"), 20).select("author_key")
+    index = catalog.title_index(authors, "author_key", "norm_name")
+    return fulltext.search(index, spark.createDataFrame([("supplier 3", ["supplier", "3"])], "query string, terms array<string>"), 20).select("author_key")
 
 
 @query(f"""WITH {_AUTHORS}, c AS (SELECT author_key, array_to_string(list_transform(list_filter(string_split(name, ' '), lambda x: x <> ''), lambda x: upper(x[1])), '') AS acronym FROM a),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import similarity as sim
 from ..functions import text as tx
-from ..operators import catalog, dictionary, labels, resolve, spans, stats, threads
+from ..operators import catalog, dictionary, fulltext, labels, resolve, spans, stats, threads
 from ..streaming.incremental import unprocessed
 from . import adapters as ad
 
@@ -342,7 +342,7 @@ def dictionary_match(spark, d):
 @query(_DICT_SQL)
 def dictionary_match_automaton(spark, d):
     """The same with so small shards that the dictionary has many."""
-    return dictionary.matches(ad.table(spark, d, "documents").select(F.col("doc_id").alias("task_id"), "text"), _titles(spark, d), shard_chars=200)
+    return dictionary.matches(ad.spread(ad.table(spark, d, "documents").select(F.col("doc_id").alias("task_id"), "text")), _titles(spark, d), shard_chars=200)
 
 
 @query("SELECT CASE WHEN n < 6 THEN '0-5' WHEN n <= 10 THEN '6-10' WHEN n <= 20 THEN '11-20' WHEN n <= 30 THEN '21-30' WHEN n <= 50 THEN '31-50' WHEN n <= 100 THEN '51-100' ELSE '101+' END AS bucket, count(*) AS n FROM (SELECT length(text) AS n FROM conversations) GROUP BY 1")
@@ -400,7 +400,8 @@ def normalized_lookup(spark, d):
 def fts_search(spark, d):
     tokens = F.filter(F.split(tx.search_terms(F.lower("text")), " "), lambda w: w != "")
     queries = spark.createDataFrame([(q, q.split()) for q in ("the and", "der die", "the idiot")], "query string, terms array<string>")
-    return catalog.search_rows(ad.table(spark, d, "documents").select("doc_id", "text"), "doc_id", tokens, queries, 20).select("query", "doc_id", F.round("score", 4).alias("score"))
+    index = fulltext.build(ad.spread(ad.table(spark, d, "documents").select("doc_id", "text")), "doc_id", tokens)
+    return fulltext.search(index, queries, 20).select("query", "doc_id", F.round("score", 4).alias("score"))
 
 
 @query("""WITH a AS (SELECT p_partkey, p_name, array_to_string(list_transform(list_filter(string_split(p_name, ' '), lambda x: lower(x) NOT IN ('a','an','the','of','in','on','at','and','or','but','for','with','to','by')), lambda x: upper(x[1])), '') AS acronym FROM part),
@@ -535,11 +536,18 @@ def fuzzy_resolution(spark, d):
     return resolve.fuzzy_stage(surfaces, resolve.fuzzy_candidates(surfaces, works), resolve.alias_table(spark), works)
 
 
+@query()
+def fuzzy_resolution_fulltext(spark, d):
+    """The same with candidates from the stored full-text index."""
+    works, surfaces = ad.works(spark, d).withColumn("norm_title", tx.norm_title("title")), ad.surfaces(spark, d).withColumn("norm", tx.norm_title("surface"))
+    candidates = resolve.fulltext_candidates(surfaces, catalog.title_index(works), works)
+    return resolve.fuzzy_stage(surfaces, candidates, resolve.alias_table(spark), works)
+
+
 @query()
 def canonical_resolution(spark, d):
     works, surfaces = ad.works(spark, d).withColumn("norm_title", tx.norm_title("title")), ad.surfaces(spark, d).withColumn("norm", tx.norm_title("surface"))
-    index = catalog.postings(works, "ol_key", F.filter(F.split("norm_title", " "), lambda w: w != ""))
-    return resolve.canonical_stage(surfaces, _fuzzy_candidates(spark, d), index, works)
+    return resolve.canonical_stage(surfaces, _fuzzy_candidates(spark, d), catalog.title_index(works), works)
 
 
 @query("""WITH a AS (SELECT p_name AS surface, p_brand AS title, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE '/works/' || p_partkey END AS ol_key, (p_partkey % 17) / 20.0 AS score, p_partkey % 3 AS prio, p_partkey AS pos FROM part),
