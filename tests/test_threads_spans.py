@@ -86,7 +86,7 @@ def test_zstd_sources_and_sinks(spark, tmp_path):
     body = b'{"id":"1","subreddit":"books","created_utc":1700000000}\n\nbroken\n{"id":"2","subreddit":"books","created_utc":1700000001}'
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "RC_2023-11.zst").write_bytes(zstandard.ZstdCompressor(compression_params=zstandard.ZstdCompressionParameters(window_log=27, enable_ldm=True)).compress(body))
-    long = files.long_window_lines(spark, str(tmp_path / "in"))
+    long = files.lines(spark, str(tmp_path / "in"), by_frames=True)
     short = files.lines(spark, str(tmp_path / "in"), "2023-01", "2023-12")
     assert sorted(r.value for r in long.collect()) == sorted(r.value for r in short.collect()) and short.count() == 4
     assert [r.id for r in files.entities(short, "id string").orderBy("id").collect()] == ["1", "2"]

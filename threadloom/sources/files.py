@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.labels import last_wins
+from . import frames
+from .stored import stored
 
-LONG_WINDOW = 1 << 31
-CHUNK = 32 << 20
 #: The widest zstd window that Spark's own reader takes.
 PLAIN_WINDOW = 1 << 27
 
@@ -30,69 +31,31 @@ def dump_files(spark: SparkSession, path: str, first: str | None = None, last: s
     return [p for ym, p in dated if (first is None or ym >= first) and (last is None or ("" < ym <= last))]
 
 
-def lines(spark: SparkSession, path: str, first: str | None = None, last: str | None = None, pattern: str = "*.zst", long_window: bool | None = None) -> DataFrame:
-    """(value, ym, file) of compressed NDJSON; only the wanted months' files are listed, a task for each.
+def lines(
+    spark: SparkSession, path: str, first: str | None = None, last: str | None = None, pattern: str = "*.zst", probes: tuple[str, ...] = (), by_frames: bool | None = None
+) -> DataFrame:
+    """(value, ym, file) of compressed NDJSON; only the wanted months' files are listed. With ``probes`` only lines that hold one of them, in any case.
 
-    Files whose frames need a window beyond Spark's reader go through ``long_window_lines``:
-    those that say so in their header, or all or none of them if ``long_window`` is given.
+    Files of several frames, and those whose frames need a window beyond Spark's reader, are read by frames, the others
+    by Spark; ``by_frames`` says so for all. All frames are looked up first: a file that ends inside one raises an error.
     """
     files = dump_files(spark, path, first, last, pattern)
-    wide = [p for p in files if (window_size(p) > PLAIN_WINDOW if long_window is None else long_window)]
-    plain = [p for p in files if p not in set(wide)]
     rows = spark.createDataFrame([], "value string, file string")
-    if plain:
-        rows = rows.unionByName(spark.read.text(plain).select("value", F.col("_metadata.file_path").alias("file")))
-    if wide:
-        rows = rows.unionByName(long_window_lines(spark, wide).select("value", "file"))
+    found = stored(frames.frames(spark, files), "frames") if files and by_frames is not False else None
+    framed = set()
+    if found is not None:
+        wide = found.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.max("window").alias("window"))
+        framed = {r["file"] for r in (wide if by_frames else wide.filter((F.col("n") > 1) | (F.col("window") > PLAIN_WINDOW))).collect()}  # a row for each listed file
+    if plain := [p for p in files if p not in framed and by_frames is not True]:
+        text = spark.read.text(plain).select("value", F.col("_metadata.file_path").alias("file"))
+        low = F.lower("value")
+        rows = rows.unionByName(text.filter(reduce(lambda a, p: a | F.contains(low, F.lit(p.lower())), probes, F.lit(False))) if probes else text)
+    if framed:
+        kept = found.join(F.broadcast(spark.createDataFrame([(p,) for p in sorted(framed)], "file string")), "file", "left_semi").select("file", "start", "end", "window")
+        rows = rows.unionByName(frames.frame_lines(spark, kept, tuple(probes)).select("value", "file"))
     return rows.withColumn("ym", months(F.col("file"))).select("value", "ym", "file")
 
 
-def _open(path: str):
-    """A file of any file system that Arrow knows, as a stream."""
-    from pyarrow import fs
-
-    system, name = fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if re.match(r"file:/[^/]", path) else path)
-    return system.open_input_stream(name, compression=None)
-
-
-def window_size(path: str) -> int:
-    """The window that a zstd file's first frame asks for; 0 for other files."""
-    import zstandard
-
-    with _open(path) as stream:
-        head = stream.read(18)
-    try:
-        return zstandard.get_frame_parameters(head).window_size
-    except zstandard.ZstdError:
-        return 0
-
-
-def long_window_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """(file, value) of zstd files, or of all in a folder, with windows up to 2 GB: a task reads a file of any size as a stream.
-
-    A last line without an end counts; memory is the window and some chunks.
-    """
-    paths = dump_files(spark, paths) if isinstance(paths, str) else paths
-    files = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, len(paths)))
-
-    def run(batches):
-        import pandas as pd
-        import zstandard
-
-        for pdf in batches:
-            for name in pdf["path"]:
-                with _open(name) as source, zstandard.ZstdDecompressor(max_window_size=LONG_WINDOW).stream_reader(source, read_across_frames=True) as reader:
-                    rest = b""
-                    while chunk := reader.read(CHUNK):
-                        *whole, rest = (rest + chunk).split(b"\n")
-                        if whole:
-                            yield pd.DataFrame({"file": name, "value": [x.decode("utf-8", "replace") for x in whole]})
-                    if rest:
-                        yield pd.DataFrame({"file": [name], "value": [rest.decode("utf-8", "replace")]})
-
-    return files.mapInPandas(run, "file string, value string")
-
-
 def entities(rows: DataFrame, schema: StructType | str, value: str = "value", key: str = "id") -> DataFrame:
     """Parsed NDJSON records with a key (``id``, or ``thread_id`` of threads); blank, malformed and keyless lines go."""
     parsed = rows.filter(F.trim(value) != "").withColumn("r", F.from_json(value, schema))
