@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import catalog, fulltext, labels, ranking, resolve, spans, stats
+from ..operators import catalog, fulltext, labels, ranking, resolve, spans, stats, store
 from ..sources import files
 from ..streaming.incremental import once
 from . import adapters as ad
@@ -244,3 +244,39 @@ def find_spans_verbatim(spark, d):
     """The first place of a text's own second word with the space before it."""
     rows = ad.table(spark, d, "documents").filter(F.col("text").rlike("^[a-z]+ [a-z]+ ")).withColumn("entity", F.concat(F.lit(" "), F.split("text", " ")[1]))
     return rows.select("doc_id", F.get(spans.entity_spans("entity", "text"), F.lit(0)).alias("s")).selectExpr("doc_id", "s.pass", "s.start + 1 AS start")
+
+
+# The stored catalog
+
+
+def _imported(spark, d) -> store.Catalog:
+    """Two imports, the second with newer revisions of keys of the first."""
+    part, held = ad.table(spark, d, "part"), store.Catalog(spark)
+    for half in (0, 1):
+        held.add(
+            part.filter(f"(p_partkey DIV 500) % 2 = {half}").selectExpr(
+                "concat('/works/OL', p_partkey % 700, 'W') AS key", "p_partkey AS _pos", "concat('{\"title\":\"', p_name, ' ', p_partkey % 9, '\",\"authors\":[{\"author\":{\"key\":\"', p_brand, '\"}}]}') AS payload"
+            )
+        )
+    return held
+
+
+_IMPORTED_SQL = """p AS (SELECT '/works/OL' || (p_partkey % 700) || 'W' AS ol_key, p_partkey, p_name || ' ' || (p_partkey % 9) AS title, p_brand, (p_partkey // 500) % 2 AS half FROM part),
+    w AS (SELECT ol_key, arg_max(title, half * 1000000000 + p_partkey) AS title FROM p GROUP BY ol_key)"""
+
+
+@query(f"WITH {_IMPORTED_SQL} SELECT ol_key, title, {norm('title')} AS norm_title FROM w")
+def stored_works(spark, d):
+    """Works after a second import: keys that come again are replaced, the others stay."""
+    return _imported(spark, d).table("works").select("ol_key", "title", "norm_title")
+
+
+@query(f"WITH {_IMPORTED_SQL} SELECT DISTINCT ol_key AS work_key, p_brand AS author_key FROM p")
+def stored_pairs(spark, d):
+    return _imported(spark, d).table("pairs")
+
+
+@query(f"WITH {_IMPORTED_SQL}, s AS (SELECT DISTINCT upper(p_name) || '! ' || (p_partkey % 9) AS surface FROM part) SELECT surface, ol_key, title FROM s JOIN w ON {norm('surface')} = {norm('title')}")
+def stored_lookup(spark, d):
+    surfaces = ad.table(spark, d, "part").selectExpr("concat(upper(p_name), '! ', p_partkey % 9) AS surface").distinct().withColumn("norm", tx.norm_title("surface"))
+    return _imported(spark, d).by_normalised_title(surfaces).select("surface", "ol_key", "title")
