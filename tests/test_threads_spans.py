@@ -1,9 +1,10 @@
+import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from threadloom.operators import labels, resolve, spans, threads
+from threadloom.operators import labels, resolve, spans, threads, trees
 from threadloom.sources import files, sinks
 
 COMMENTS = "thread_id string, id string, parent_id string, created_utc long, _pos long"
@@ -19,7 +20,7 @@ def tree(spark):
 
 def test_comment_order(spark):
     expected = [("t", "a", 1, 0), ("t", "d", 2, 1), ("t", "c", 2, 2), ("t", "b", 1, 3), ("t", "e", 1, 4), ("t", "f", 2, 5), ("u", "only", 1, 0)]
-    for order in (threads.comment_order, threads.comment_order_sql):
+    for order in (threads.comment_order, threads.comment_order_sql, trees.ranked_order):
         assert sorted(tuple(r) for r in order(tree(spark)).select("thread_id", "id", "depth", "place").collect()) == sorted(expected)
 
 
@@ -28,6 +29,36 @@ def test_deep_thread(spark):
     assert threads.comment_order(spark.createDataFrame(rows, COMMENTS)).agg(F.max("depth")).first()[0] == 1500
 
 
+def test_ranked_order_of_any_tree(spark):
+    """Ties, nulls, orphans with replies, cycles and wide parents: what the walk gives."""
+    rng, rows = random.Random(6), []
+    for t in range(4):
+        ids = [f"c{i}" for i in range(60)]
+        for i, own in enumerate(ids):
+            above = rng.choice([f"t3_t{t}", "t1_c0", f"t1_{rng.choice(ids)}", "t1_gone", None, f"t1_{ids[max(0, i - 1)]}"])
+            rows.append((f"t{t}", own, above, rng.choice([None, 1, 2, 3]), len(rows)))
+    frame = spark.createDataFrame(rows, COMMENTS).repartition(3)
+    ranked = trees.ranked_order(frame)
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "Pandas" not in plan and "Window" not in plan
+    columns = ["thread_id", "id", "depth", "place"]
+    assert sorted(map(tuple, ranked.select(columns).collect())) == sorted(map(tuple, threads.comment_order(frame).select(columns).collect()))
+    assert trees.ranked_order(frame.limit(0)).count() == 0
+
+
+def test_large_threads_are_ranked(spark, monkeypatch):
+    monkeypatch.setattr(threads, "GROUP_COMMENTS", 5)
+    assert sorted(map(tuple, threads.comment_order(tree(spark)).collect())) == sorted([("t", "a", 1, 0), ("t", "d", 2, 1), ("t", "c", 2, 2), ("t", "b", 1, 3), ("t", "e", 1, 4), ("t", "f", 2, 5), ("u", "only", 1, 0)])
+
+
+def test_a_chain_of_a_hundred_thousand(spark):
+    chain = spark.range(100_000).select(
+        F.lit("t").alias("thread_id"), F.concat(F.lit("c"), "id").alias("id"), F.when(F.col("id") == 0, "t3_t").otherwise(F.concat(F.lit("t1_c"), F.col("id") - 1)).alias("parent_id"), F.col("id").alias("created_utc"), F.col("id").alias("_pos")
+    )
+    got = trees.ranked_order(chain)
+    assert got.agg(F.count(F.lit(1)), F.max("depth"), F.count_if(F.col("depth") == F.col("place") + 1), F.count_if(F.concat(F.lit("c"), "place") == F.col("id"))).first()[:] == (100_000,) * 4
+
+
 def test_fast_accept(spark):
     values = [
         '{"subreddit":"Books","created_utc":"1700000000"}', '{"subreddit":"books","created_utc":1700000000}', '{"subreddit":"other","body":"books","created_utc":1}',

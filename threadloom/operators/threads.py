@@ -8,7 +8,12 @@ from pyspark.sql import functions as F
 
 from ..config import SETTINGS
 from ..functions.text import bare_id, clean_text, epoch_date, is_removed
+from ..sources.stored import stored
+from .trees import ranked_order
 
+#: A thread of more comments is no single task.
+GROUP_COMMENTS = 1 << 20
+#: The fields that pruning keeps.
 SUBMISSION_FIELDS = (
     "id", "name", "permalink", "url", "title", "selftext", "is_self", "domain", "author", "distinguished", "stickied",
     "removed_by_category", "score", "upvote_ratio", "num_comments", "created_utc", "link_flair_text",
@@ -54,8 +59,17 @@ def comment_order(comments: DataFrame) -> DataFrame:
 
     ``comments`` has thread_id, id, parent_id, created_utc and _pos. Replies follow their parent
     by (created_utc, _pos); orphans come after all rooted trees, at depth 1, with their replies;
-    cycles are not reachable and go. One thread is one group, walked without recursion.
+    cycles are not reachable and go. A thread is one group, walked without recursion, unless it has more
+    than ``GROUP_COMMENTS``: those are ranked by joins, whatever their size.
     """
+    large = comments.groupBy("thread_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > GROUP_COMMENTS).select("thread_id")
+    if large.isEmpty():
+        return _walked(comments)
+    large = stored(large, "large-threads")  # at most one for each GROUP_COMMENTS rows
+    return _walked(comments.join(large, "thread_id", "left_anti")).unionByName(ranked_order(comments.join(large, "thread_id", "left_semi")))
+
+
+def _walked(comments: DataFrame) -> DataFrame:
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["created_utc", "_pos"], kind="stable", na_position="first")

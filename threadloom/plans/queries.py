@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import similarity as sim
 from ..functions import text as tx
-from ..operators import catalog, dictionary, fulltext, labels, resolve, spans, stats, threads
+from ..operators import catalog, dictionary, fulltext, labels, resolve, spans, stats, threads, trees
 from ..streaming.incremental import unprocessed
 from . import adapters as ad
 
@@ -49,6 +49,12 @@ def comment_tree_recursive(spark, d):
     return threads.comment_order_sql(ad.comments(spark, d))
 
 
+@query(f"WITH RECURSIVE {ad.THREADS_SQL} SELECT 'c' || conv_id AS thread_id, 'c' || conv_id || 't' || turn AS id, depth, place FROM placed")
+def comment_tree_ranked(spark, d):
+    """The order that threads of any size take: Euler tours ranked by joins."""
+    return trees.ranked_order(ad.comments(spark, d))
+
+
 @query(f"""WITH RECURSIVE {ad.THREADS_SQL}, f AS (SELECT thread_id, count(*) AS n, max(depth) AS deep, max(created_utc) AS last FROM seg WHERE type = 'comment' GROUP BY thread_id)
     SELECT sub.id AS thread_id, trim(regexp_replace(title, '\\s+', ' ', 'g')) AS title, author, score, strftime(make_timestamp(created_utc * 1000000), '%Y-%m-%d') AS date,
            coalesce(n, 0) AS num_comments_found, coalesce(deep, 0) AS depth_max, strftime(make_timestamp(last * 1000000), '%Y-%m-%d') AS date_last_comment

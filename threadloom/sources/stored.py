@@ -24,3 +24,11 @@ def stored(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Dat
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes what ``stored`` wrote for ``df``, once nothing reads it any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
