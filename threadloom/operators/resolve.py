@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from ..config import ALIASES
 from ..config import SETTINGS as S
-from ..functions.similarity import canonical_score, dice, fuzzy_score
+from ..functions.similarity import canonical_score, dice
 from ..functions.text import is_scripture, norm_title, spell_numbers
+from ..sources.stored import stored
+from .bestmatch import CanonicalScorer, FuzzyScorer, best_two
 from .catalog import token_candidates, token_index
 from .fulltext import FullTextIndex, search
 
@@ -108,22 +110,21 @@ def entity_links(mentions: DataFrame, resolutions: DataFrame) -> DataFrame:
     return mentions.join(resolutions.withColumnRenamed("surface", "text"), "text", "left")
 
 
-def fuzzy_resolutions(candidates: DataFrame, threshold: float = S.fuzzy_threshold) -> DataFrame:
-    """Best candidate by the fuzzy score; ``candidates`` has surface, norm, ol_key, title, norm_title."""
-    scored = candidates.dropDuplicates(["surface", "ol_key"]).withColumn("score", fuzzy_score(F.col("norm"), F.col("norm_title")))
-    best = Window.partitionBy("surface").orderBy(F.desc("score"), "ol_key")
-    top = (
-        scored.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("surface"))).withColumn("second", F.lead("score", 1, 0.0).over(best))
-        .withColumn("place", F.row_number().over(best)).filter("place = 1")
-    )
+def fuzzy_decision(best: DataFrame, threshold: float = S.fuzzy_threshold) -> DataFrame:
+    """What the fuzzy stage makes of each surface's best candidate (ol_key, title, score), its runner-up's score (second) and the number of candidates (n)."""
     ok = F.col("score") >= threshold
-    return top.select(
+    return best.select(
         "surface", F.when(ok, "fuzzy").otherwise("failed").alias("method"), F.when(ok, F.col("ol_key")).alias("ol_key"), F.when(ok, F.col("title")).alias("canonical_title"),
         F.bround("score", 1).alias("fuzzy_score"), (ok & (F.col("score") - F.col("second") < S.fuzzy_gap) & (F.col("score") < S.fuzzy_ambiguous_below)).alias("ambiguous"),
-        F.when(ok, F.format_string("score=%.1f;n_cands=%d", F.col("score"), F.col("n"))).otherwise(f"below_threshold({threshold})").alias("notes"),
+        F.when(ok, F.format_string("score=%.1f;n_cands=%d", F.bround("score", 1), F.col("n"))).otherwise(f"below_threshold({threshold})").alias("notes"),
     )
 
 
+def fuzzy_resolutions(candidates: DataFrame, threshold: float = S.fuzzy_threshold) -> DataFrame:
+    """Best candidate by the fuzzy score; ``candidates`` has surface, norm, ol_key, title, norm_title."""
+    return fuzzy_decision(best_two(candidates.dropDuplicates(["surface", "ol_key"]), FuzzyScorer()), threshold)
+
+
 def fuzzy_candidates(surfaces: DataFrame, works: DataFrame) -> DataFrame:
     """Candidates of each surface as written and with its numbers spelled; the latter is what gets scored."""
     spelled = surfaces.select("surface", "norm", norm_title(spell_numbers(F.col("surface"))).alias("spelled"))
@@ -161,12 +162,17 @@ def fuzzy_stage(surfaces: DataFrame, candidates: DataFrame, aliases: DataFrame,
     return rest.unionByName(known).unionByName(failed)
 
 
+def canonical_decision(best: DataFrame, threshold: float = S.canonical_fuzzy) -> DataFrame:
+    """What the canonical stage makes of each surface's best candidate; equal normalised titles count 100."""
+    same = F.col("norm") == F.col("norm_title")
+    score = F.when(same, 100.0).otherwise(F.col("score"))
+    method = F.when(same, "exact").when(score >= threshold, "fuzzy").otherwise("unresolved")
+    return best.select("surface", F.col("title").alias("canonical_title"), F.col("ol_key").alias("work_key"), method.alias("method"), F.bround(score, 1).alias("score"))
+
+
 def canonical_resolutions(candidates: DataFrame, threshold: float = S.canonical_fuzzy) -> DataFrame:
     """Exact title first, then the best canonical score; otherwise unresolved with the best hint."""
-    scored = candidates.withColumn("score", F.when(F.col("norm") == F.col("norm_title"), 100.0).otherwise(canonical_score(F.col("norm"), F.col("norm_title"))))
-    place = F.row_number().over(Window.partitionBy("surface").orderBy((F.col("norm") != F.col("norm_title")), F.desc("score"), "ol_key"))
-    method = F.when(F.col("norm") == F.col("norm_title"), "exact").when(F.col("score") >= threshold, "fuzzy").otherwise("unresolved")
-    return scored.withColumn("place", place).filter("place = 1").select("surface", F.col("title").alias("canonical_title"), F.col("ol_key").alias("work_key"), method.alias("method"), F.bround("score", 1).alias("score"))
+    return canonical_decision(best_two(candidates.dropDuplicates(["surface", "ol_key"]), CanonicalScorer()), threshold)
 
 
 def canonical_stage(surfaces: DataFrame, candidates: DataFrame, index: FullTextIndex, works: DataFrame, limit: int = 20) -> DataFrame:
@@ -174,7 +180,7 @@ def canonical_stage(surfaces: DataFrame, candidates: DataFrame, index: FullTextI
 
     ``surfaces`` has surface and norm, ``index`` the stored index of the works' titles.
     """
-    first = surfaces.select("surface", "norm").dropDuplicates(["surface"]).join(canonical_resolutions(candidates), "surface", "left")
+    first = stored(surfaces.select("surface", "norm").dropDuplicates(["surface"]).join(canonical_resolutions(candidates), "surface", "left"), "canonical")
     terms = F.array_distinct(F.filter(F.split("norm", " "), lambda w: w != ""))
     open_ = first.filter("coalesce(method, 'unresolved') = 'unresolved'").select(F.col("surface").alias("query"), "norm", terms.alias("terms"))
     hits = search(index, open_, limit).join(open_.select("query", "norm"), "query").join(works.select("ol_key", "title", "norm_title"), "ol_key")

@@ -542,6 +542,19 @@ def fuzzy_resolution(spark, d):
     return resolve.fuzzy_stage(surfaces, resolve.fuzzy_candidates(surfaces, works), resolve.alias_table(spark), works)
 
 
+@query("""SELECT 'l' || l_orderkey || '-' || l_linenumber AS surface, CASE WHEN score >= 85 THEN 'fuzzy' ELSE 'failed' END AS method, CASE WHEN score >= 85 THEN 'k' || l_partkey END AS ol_key,
+    CASE WHEN score >= 85 THEN 't' || l_suppkey END AS canonical_title, round_even(score, 1) AS fuzzy_score, score >= 85 AND score - second < 5 AND score < 90 AS ambiguous,
+    CASE WHEN score >= 85 THEN 'score=' || printf('%.1f', score) || ';n_cands=' || l_linenumber ELSE 'below_threshold(85.0)' END AS notes
+    FROM (SELECT *, (80 + l_partkey % 20 + l_suppkey % 2 * 0.25)::DOUBLE AS score, (78 + l_partkey % 20 - l_suppkey % 7)::DOUBLE AS second FROM lineitem)""")
+def fuzzy_decision(spark, d):
+    """What the fuzzy stage decides over given scores."""
+    rows = ad.table(spark, d, "lineitem").selectExpr(
+        "concat('l', l_orderkey, '-', l_linenumber) AS surface", "concat('k', l_partkey) AS ol_key", "concat('t', l_suppkey) AS title", "CAST(80 + l_partkey % 20 + l_suppkey % 2 * 0.25 AS DOUBLE) AS score",
+        "CAST(78 + l_partkey % 20 - l_suppkey % 7 AS DOUBLE) AS second", "l_linenumber AS n",
+    )
+    return resolve.fuzzy_decision(rows)
+
+
 @query()
 def fuzzy_resolution_fulltext(spark, d):
     """The same with candidates from the stored full-text index."""
