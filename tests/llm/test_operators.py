@@ -842,3 +842,11 @@ def test_best_fit_and_fullest_out():
             closed[at] = slow.pop(at)
         assert {w for _, w in windows.room} == set(slow) and all(100 - room == slow[w] for room, w in windows.room)
         assert out is None or out in {x[5] for x in got}
+
+
+def test_line_stage_keeps_columns_named_like_its_counts(spark):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(1, "a line of its own\nshared line of some length", 99, "x", 5), (2, None, 98, "y", 0)], "doc_id long, text string, _n_lines int, _n_removed string, n_chars long")
+    kept = {r.doc_id: r for r in corpus_pipeline.line_stage(spark, docs, SF).collect()}
+    assert [(kept[i]["_n_lines"], kept[i]["_n_removed"]) for i in (1, 2)] == [(99, "x"), (98, "y")] and kept[2].n_chars is None
