@@ -4,7 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from threadloom.operators import labels, resolve, spans, threads, trees
+from threadloom.operators import labels, resolve, selection, spans, threads, trees
 from threadloom.sources import files, sinks
 
 COMMENTS = "thread_id string, id string, parent_id string, created_utc long, _pos long"
@@ -82,7 +82,7 @@ def test_find_spans(entity, text, expected):
 
 def test_span_selection(spark):
     row = spark.sql("SELECT from_json('[{\"start\":0,\"end\":4},{\"start\":3,\"end\":9},{\"start\":9,\"end\":12},{\"start\":0,\"end\":3}]', 'array<struct<start:int,end:int>>') AS s")
-    longest, left = row.select(spans.longest_first(F.col("s")), spans.leftmost_longest(F.col("s"))).first()
+    longest, left = row.select(selection.longest_first(F.col("s")), selection.leftmost_longest(F.col("s"))).first()
     assert [(s.start, s.end) for s in longest] == [(3, 9), (0, 3), (9, 12)]
     assert [(s.start, s.end) for s in left] == [(0, 4), (9, 12)]
 

@@ -100,35 +100,6 @@ def span_results(entities: DataFrame, texts: DataFrame, key: str = "thread_id")
     )
 
 
-def _fold_spans(spans: Column, order) -> Column:
-    """Take spans in the given order unless they overlap one taken before."""
-    kind = "array<struct<start:int,end:int>>"
-    plain = F.transform(spans, lambda s: F.struct(s["start"].cast("int").alias("start"), s["end"].cast("int").alias("end")))
-    return F.aggregate(
-        F.array_sort(plain, order), F.array().cast(kind),
-        lambda kept, s: F.when(F.exists(kept, lambda k: (s["start"] < k["end"]) & (k["start"] < s["end"])), kept).otherwise(F.concat(kept, F.array(s))),
-    )
-
-
-def longest_first(spans: Column) -> Column:
-    """Longest spans first, earlier ones on ties; touching spans both stay."""
-
-    def order(a, b):
-        longer = (b["end"] - b["start"]) - (a["end"] - a["start"])
-        return F.when(longer != 0, longer).otherwise(a["start"] - b["start"])
-
-    return _fold_spans(spans, order)
-
-
-def leftmost_longest(spans: Column) -> Column:
-    """Leftmost spans first, the longest of those that start together."""
-
-    def order(a, b):
-        return F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(b["end"] - a["end"])
-
-    return _fold_spans(spans, order)
-
-
 def overlap(a: Column, b: Column) -> Column:
     return F.greatest(F.lit(0), F.least(a["end"], b["end"]) - F.greatest(a["start"], b["start"]))
 

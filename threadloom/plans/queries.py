@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import similarity as sim
 from ..functions import text as tx
-from ..operators import catalog, dictionary, fulltext, labels, resolve, spans, stats, threads, trees
+from ..operators import catalog, dictionary, fulltext, labels, resolve, selection, spans, stats, threads, trees
 from ..streaming.incremental import unprocessed
 from . import adapters as ad
 
@@ -287,12 +287,29 @@ _SPANS_SQL = """sp AS (SELECT DISTINCT l_orderkey, l_partkey % 60 AS s, l_partke
 
 @query("WITH RECURSIVE " + _SPANS_SQL.format("e - s DESC, s"))
 def overlap_longest(spark, d):
-    return _line_spans(spark, d).select("l_orderkey", F.explode(spans.longest_first(F.col("spans"))).alias("s")).select("l_orderkey", "s.start", "s.end")
+    return _line_spans(spark, d).select("l_orderkey", F.explode(selection.longest_first(F.col("spans"))).alias("s")).select("l_orderkey", "s.start", "s.end")
 
 
 @query("WITH RECURSIVE " + _SPANS_SQL.format("s, e DESC"))
 def leftmost_longest(spark, d):
-    return _line_spans(spark, d).select("l_orderkey", F.explode(spans.leftmost_longest(F.col("spans"))).alias("s")).select("l_orderkey", "s.start", "s.end")
+    return _line_spans(spark, d).select("l_orderkey", F.explode(selection.leftmost_longest(F.col("spans"))).alias("s")).select("l_orderkey", "s.start", "s.end")
+
+
+_LABELLED_SQL = """sp AS (SELECT l_suppkey AS k, l_returnflag AS label, l_partkey % 900 AS s, l_partkey % 900 + l_quantity::BIGINT % 25 AS e, min((l_orderkey, l_linenumber)) AS seen FROM lineitem GROUP BY ALL),
+    o AS (SELECT *, row_number() OVER (PARTITION BY k, label ORDER BY e - s DESC, seen) AS n FROM sp),
+    r AS (SELECT k, label, n, [struct_pack(s := s, e := e)] AS kept FROM o WHERE n = 1
+          UNION ALL SELECT o.k, o.label, o.n, CASE WHEN len(list_filter(r.kept, lambda x: o.s < x.e AND x.s < o.e)) > 0 THEN r.kept ELSE list_append(r.kept, struct_pack(s := o.s, e := o.e)) END
+          FROM r JOIN o ON o.k = r.k AND o.label = r.label AND o.n = r.n + 1),
+    f AS (SELECT k, label, unnest(arg_max(kept, n)) AS x FROM r GROUP BY k, label)"""
+
+
+@query(f'WITH RECURSIVE {_LABELLED_SQL} SELECT k AS l_suppkey, label, x.s AS start, x.e AS "end" FROM f')
+def overlap_by_label(spark, d):
+    """Suppliers as texts with all their items as spans of three labels, empty ones too; ties go to what comes first in the array."""
+    rows = ad.table(spark, d, "lineitem").selectExpr("l_suppkey", "l_returnflag AS label", "CAST(l_partkey % 900 AS INT) AS start", "CAST(l_partkey % 900 + CAST(l_quantity AS BIGINT) % 25 AS INT) AS end", "struct(l_orderkey, l_linenumber) AS seen")
+    rows = rows.groupBy("l_suppkey", "label", "start", "end").agg(F.min("seen").alias("seen"))
+    rows = rows.groupBy("l_suppkey").agg(F.array_sort(F.collect_list(F.struct("seen", "start", "end", "label"))).alias("spans"))
+    return rows.select("l_suppkey", F.explode(selection.longest_first_by_label(F.col("spans"))).alias("s")).select("l_suppkey", "s.label", "s.start", "s.end")
 
 
 @query("""WITH sp AS (SELECT DISTINCT l_orderkey, l_partkey % 60 AS s, l_partkey % 60 + 1 + l_suppkey % 25 AS e FROM lineitem), hit AS (SELECT l_orderkey, min(s) + 5 AS hs, min(s) + 15 AS he FROM sp GROUP BY l_orderkey)
