@@ -18,7 +18,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LABELLED = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("label", T.StringType())]))
+_ENDS = [T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]
+PLAIN, LABELLED = T.ArrayType(T.StructType(_ENDS)), T.ArrayType(T.StructType([*_ENDS, T.StructField("label", T.StringType())]))
 
 
 def _by_length(order: np.ndarray, start: np.ndarray, end: np.ndarray, group: np.ndarray) -> list[int]:
@@ -60,35 +61,32 @@ def _by_start(order: np.ndarray, start: np.ndarray, end: np.ndarray, group: np.n
 
 
 def choose(spans: pa.Array, longest: bool, first_seen: bool = False) -> pa.Array:
-    """Spans (start, end, label) that stay in each row, for each label by itself, in the order in which they are taken.
+    """Spans (start, end) or (start, end, label) that stay in each row, for each label by itself, in the order in which they are taken.
 
     With ``longest`` long spans come first, of equally long ones the leftmost or the ``first_seen``; else the leftmost
     come first and of those that start together the longest. Labels of a row come in the order of their names, null last.
     """
     flat = spans.flatten()
     row = np.repeat(np.arange(len(spans)), pc.fill_null(pc.list_value_length(spans), 0).to_numpy(zero_copy_only=False))
-    fields = [pc.struct_field(flat, i) for i in range(3)]
-    good = pc.fill_null(pc.less_equal(fields[0], fields[1]), False)
-    row = row[good.to_numpy(zero_copy_only=False)]
-    start, end = (f.filter(good).cast(pa.int64()).to_numpy(zero_copy_only=False) for f in fields[:2])
-    label = fields[2].filter(good).cast(pa.string())
-    names = pc.unique(label)
-    name_order = pc.sort_indices(names, null_placement="at_end").to_numpy(zero_copy_only=False)
-    rank = np.empty(len(names), dtype=np.int64)
-    rank[name_order] = np.arange(len(names))
-    code = pc.index_in(label, value_set=names).to_numpy(zero_copy_only=False).astype(np.int64)
-    group = row * (len(names) + 1) + rank[code] if len(row) else row
+    good = pc.fill_null(pc.less_equal(pc.struct_field(flat, 0), pc.struct_field(flat, 1)), False)
+    flat, row = flat.filter(good), row[good.to_numpy(zero_copy_only=False)]
+    start, end = (pc.struct_field(flat, i).cast(pa.int64()).to_numpy(zero_copy_only=False) for i in (0, 1))
+    group = row
+    if flat.type.num_fields == 3:
+        label = pc.struct_field(flat, 2).cast(pa.string())
+        names = pc.unique(label)
+        rank = np.empty(len(names), dtype=np.int64)
+        rank[pc.sort_indices(names, null_placement="at_end").to_numpy(zero_copy_only=False)] = np.arange(len(names))
+        group = row * len(names) + rank[pc.index_in(label, value_set=names).to_numpy(zero_copy_only=False)]
     ties = () if first_seen else (start,)
     order = np.lexsort((*ties, start - end, group) if longest else (start - end, start, group))
     kept = np.array((_by_length if longest else _by_start)(order, start, end, group), dtype=np.int64)
-    counts = np.bincount(row[kept], minlength=len(spans)) if len(kept) else np.zeros(len(spans), dtype=np.int64)
+    counts = np.bincount(row[kept], minlength=len(spans))
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-    values = pa.StructArray.from_arrays([pa.array(start[kept], pa.int32()), pa.array(end[kept], pa.int32()), label.take(pa.array(kept))], ["start", "end", "label"])
-    empty = pc.is_null(spans) if spans.null_count else None
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values, mask=empty)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat.take(pa.array(kept)), mask=pc.is_null(spans) if spans.null_count else None)
 
 
-@F.arrow_udf(LABELLED)
+@F.arrow_udf(PLAIN)
 def _longest(spans: pa.Array) -> pa.Array:
     return choose(spans, True)
 
@@ -98,29 +96,25 @@ def _longest_first_seen(spans: pa.Array) -> pa.Array:
     return choose(spans, True, True)
 
 
-@F.arrow_udf(LABELLED)
+@F.arrow_udf(PLAIN)
 def _leftmost(spans: pa.Array) -> pa.Array:
     return choose(spans, False)
 
 
-def _labelled(spans: Column, label) -> Column:
-    return F.transform(spans, lambda s: F.struct(s["start"].cast("int").alias("start"), s["end"].cast("int").alias("end"), label(s).cast("string").alias("label")))
-
-
-def _plain(spans: Column) -> Column:
-    return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+def _ends(s: Column) -> tuple[Column, Column]:
+    return s["start"].cast("int").alias("start"), s["end"].cast("int").alias("end")
 
 
 def longest_first(spans: Column) -> Column:
     """Longest spans first, earlier ones on ties; touching spans both stay."""
-    return _plain(_longest(_labelled(spans, lambda s: F.lit(None))))
+    return _longest(F.transform(spans, lambda s: F.struct(*_ends(s))))
 
 
 def leftmost_longest(spans: Column) -> Column:
     """Leftmost spans first, the longest of those that start together."""
-    return _plain(_leftmost(_labelled(spans, lambda s: F.lit(None))))
+    return _leftmost(F.transform(spans, lambda s: F.struct(*_ends(s))))
 
 
 def longest_first_by_label(spans: Column) -> Column:
     """Spans (start, end, label), those of each label chosen by themselves: longest first, the first of the array on ties."""
-    return _longest_first_seen(_labelled(spans, lambda s: s["label"]))
+    return _longest_first_seen(F.transform(spans, lambda s: F.struct(*_ends(s), s["label"].cast("string").alias("label"))))
