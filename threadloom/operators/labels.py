@@ -20,6 +20,13 @@ def chosen_result(annotations: Column, fallback: Column, name: str = "prediction
     return F.when(first.isNotNull(), "annotation").when(second.isNotNull(), name).otherwise("none"), F.coalesce(first, second)
 
 
+def source_counts(tasks: DataFrame) -> DataFrame:
+    """How many tasks take their result from an annotation, a prediction or nowhere, and how many were reviewed: one row."""
+    source, _ = chosen_result(F.col("annotations"), F.col("predictions"))
+    kinds = [F.count_if(source == s).alias(s) for s in ("annotation", "prediction", "none")]
+    return tasks.agg(F.count(F.lit(1)).alias("tasks"), *kinds, F.count_if(is_reviewed(F.col("annotations"))).alias("reviewed"))
+
+
 def mentions(tasks: DataFrame, label_set: tuple[str, ...] = ("BOOK", "WRITER")) -> DataFrame:
     """Spans by their first label, from a valid annotation or else a draft."""
     _, result = chosen_result(F.col("annotations"), F.col("drafts"), "draft")

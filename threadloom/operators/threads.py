@@ -36,6 +36,12 @@ def prune(rows: DataFrame, fields: tuple[str, ...], text: str) -> DataFrame:
     return rows.select(*(c for c in fields if c in rows.columns), is_removed(F.col(text)).alias("_removed"))
 
 
+def prune_totals(rows: DataFrame, *by: str) -> DataFrame:
+    """Totals of pruned rows: all, kept, removed (and their percentage) and bad ones, whose flag is null."""
+    gone, bad, n = F.count_if("_removed"), F.count_if(F.col("_removed").isNull()), F.count(F.lit(1))
+    return rows.groupBy(*by).agg(n.alias("total"), (n - gone - bad).alias("kept"), gone.alias("removed"), F.bround(F.try_divide(100.0 * gone, n), 2).alias("removed_pct"), bad.alias("bad"))
+
+
 def fast_accept(lines: DataFrame, communities: list[str], value: str = "value") -> DataFrame:
     """Raw lines with status accepted, rejected or bad, and their month.
 

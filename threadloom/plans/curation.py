@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..operators import catalog, fulltext, labels, ranking, resolve, spans, stats, store
 from ..sources import files
+from ..sources.stored import scratch
 from ..streaming.incremental import once
+from ..streaming.upserts import Upserts
 from . import adapters as ad
 from .queries import norm, query
 
@@ -220,6 +222,47 @@ def distinct_counts(spark, d):
 # Text and ingest
 
 
+_STATUS_SQL = "CASE WHEN page_id % 7 = 0 THEN 'short' WHEN page_id % 3 = 1 THEN 'other' WHEN page_id % 11 = 0 THEN 'bad' ELSE 'kept' END"
+
+
+@query(f"SELECT count(*) AS lines, count(*) FILTER (s = 'kept') AS kept, count(*) FILTER (s = 'short') AS short, count(*) FILTER (s = 'other') AS other, count(*) FILTER (s = 'bad') AS bad FROM (SELECT {_STATUS_SQL} AS s FROM pages)")
+def import_counters(spark, d):
+    """Pages as dump lines, some short, of another type or broken: what the import's own scan has counted."""
+    lines = ad.table(spark, d, "pages").selectExpr(
+        "CASE WHEN page_id % 7 = 0 THEN concat('/type/work\t/works/', page_id) ELSE concat_ws('\t', CASE WHEN page_id % 3 = 1 THEN '/type/edition' ELSE '/type/work' END, concat('/works/', page_id), '1', 'x', "
+        "CASE WHEN page_id % 11 = 0 THEN '{' ELSE to_json(struct(url AS title)) END) END AS value"
+    )
+    counts = files.import_dump(lines, scratch(spark, "import"), "/type/work")
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{n} bigint" for n in counts))
+
+
+@query("""WITH s AS (SELECT CASE WHEN d.doc_id % 3 = 0 THEN 'annotation' WHEN quality = 1 THEN 'prediction' ELSE 'none' END AS source, d.doc_id % 3 < 2 AS reviewed FROM documents d LEFT JOIN labels l USING (doc_id))
+    SELECT count(*) AS tasks, count(*) FILTER (source = 'annotation') AS annotation, count(*) FILTER (source = 'prediction') AS prediction, count(*) FILTER (source = 'none') AS none, count(*) FILTER (reviewed) AS reviewed FROM s""")
+def result_source_counts(spark, d):
+    """Documents as tasks: a third with a valid annotation, a third with one that has no result, a third with a cancelled one."""
+    rows = ad.table(spark, d, "documents").select("doc_id").join(ad.table(spark, d, "labels"), "doc_id", "left")
+    span = "array(named_struct('text', 'x'))"
+    rows = rows.withColumn("annotations", F.expr(f"array(named_struct('was_cancelled', doc_id % 3 = 2, 'result', CASE WHEN doc_id % 3 <> 1 THEN {span} END))"))
+    rows = rows.withColumn("predictions", F.expr(f"CASE WHEN quality = 1 THEN array(named_struct('score', 0.8, 'result', {span})) ELSE array() END"))
+    return labels.source_counts(rows)
+
+
+@query("""WITH e AS (SELECT *, CASE WHEN (event_id // 100) % 3 = 2 THEN 2 ELSE 1 END AS drop FROM events), l AS (SELECT user_id, event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY drop DESC, event_id DESC) AS k FROM e)
+    SELECT user_id, event_id, event_type FROM l WHERE k = 1""")
+def stream_upserts(spark, d):
+    """Events come in two drops; the stream stops after the first, what it holds is made one, and a new run takes in the second."""
+    events = ad.table(spark, d, "events").select("user_id", "event_id", "event_type", F.expr("(event_id DIV 100) % 3 = 2").alias("late"))
+    folder = scratch(spark, "upserts")
+    wanted = events.drop("late").schema
+    for late in (False, True):
+        events.filter(F.col("late") == late).drop("late").write.mode("append").parquet(f"{folder}/in")
+        held = Upserts(spark, f"{folder}/table", wanted, "user_id", "event_id")
+        held.start(spark.readStream.schema(wanted).option("maxFilesPerTrigger", 64).parquet(f"{folder}/in"), f"{folder}/progress").awaitTermination()
+        if not late:
+            held.compact()
+    return held.current()
+
+
 @query("SELECT p_partkey, replace(p_name, ' ', '%20') AS q, printf('%.4f', p_size / 7.0) AS score FROM part")
 def query_text(spark, d):
     return ad.table(spark, d, "part").select("p_partkey", tx.query_text(F.concat(F.lit(' "'), "p_name", F.lit("\" "))).alias("q"), tx.four_places(F.col("p_size") / 7.0).alias("score"))

@@ -102,8 +102,8 @@ def prune_removed_flag(spark, d):
 
 @query("SELECT role, count(*) AS total, count(*) FILTER (conv_id % 5 = 0) AS removed, round_even(CAST(100.0 * count(*) FILTER (conv_id % 5 = 0) / count(*) AS DOUBLE), 2) AS removed_pct FROM conversations GROUP BY role")
 def prune_counts(spark, d):
-    gone = F.count_if(F.col("conv_id") % 5 == 0)
-    return ad.table(spark, d, "conversations").groupBy("role").agg(F.count(F.lit(1)).alias("total"), gone.alias("removed"), F.bround(100.0 * gone / F.count(F.lit(1)), 2).alias("removed_pct"))
+    rows = ad.table(spark, d, "conversations").select("role", tx.is_removed(F.expr("CASE WHEN conv_id % 5 = 0 THEN '[deleted]' ELSE text END")).alias("_removed"))
+    return threads.prune_totals(rows, "role").select("role", "total", "removed", "removed_pct")
 
 
 @query("""SELECT event_id, CASE WHEN event_type NOT IN ('purchase', 'view') THEN 'rejected' WHEN event_id % 10 = 0 THEN 'bad' WHEN event_type = 'view' THEN 'rejected' ELSE 'accepted' END AS status FROM events""")

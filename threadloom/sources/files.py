@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.labels import last_wins
 from . import frames
+from .counters import write_counted
 from .stored import stored
 
 #: The widest zstd window that Spark's own reader takes.
@@ -73,14 +74,30 @@ def editions(rows: DataFrame, value: str = "value") -> DataFrame:
     return dump(rows.filter(F.contains(F.col(value), F.lit("\t/books/"))), "/type/edition", value)
 
 
+def _dump_parts(rows: DataFrame, value: str) -> DataFrame:
+    part = F.split(value, "\t", 5)
+    return rows.withColumn("_parts", F.size(part)).select(*[c for c in rows.columns if c != value], "_parts", *(F.get(part, F.lit(i)).alias(n) for i, n in enumerate(("type", "key", "revision", "last_modified", "payload"))))
+
+
 def dump(rows: DataFrame, wanted: str | None = None, value: str = "value") -> DataFrame:
     """(type, key, revision, last_modified, payload) of 5-column dump lines; short lines go."""
-    part = F.split(value, "\t", 5)
-    named = rows.filter(F.size(part) == 5).select(*[c for c in rows.columns if c != value], *(part[i].alias(n) for i, n in enumerate(("type", "key", "revision", "last_modified", "payload"))))
+    named = _dump_parts(rows, value).filter("_parts = 5").drop("_parts")
     named = named if wanted is None else named.filter(F.col("type") == wanted)
     return named.filter(F.try_parse_json("payload").isNotNull())
 
 
+def import_dump(rows: DataFrame, path: str, wanted: str | None = None, value: str = "value") -> dict[str, int]:
+    """Writes what ``dump`` gives and returns how many lines there were, and were kept, short, of another type or not JSON (``bad``), from one scan.
+
+    A null line is short. Every line counts once, for the first of these that it is.
+    """
+    status = F.when(F.coalesce(F.col("_parts"), F.lit(0)) != 5, "short")
+    status = status if wanted is None else status.when(F.col("type") != wanted, "other")
+    judged = _dump_parts(rows, value).withColumn("_status", status.when(F.try_parse_json("payload").isNull(), "bad").otherwise("kept"))
+    counts = {"lines": F.count(F.lit(1))} | {s: F.count_if(F.col("_status") == s) for s in ("kept", "short", "other", "bad")}
+    return write_counted(judged, path, F.col("_status") == "kept", counts, ("_status", "_parts"))
+
+
 def csv(spark: SparkSession, path: str, schema: str, required: tuple[str, ...] = ()) -> DataFrame:
     """A CSV with a header; raises if a required column is missing."""
     found = spark.read.option("header", True).csv(path).columns

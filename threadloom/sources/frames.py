@@ -23,11 +23,16 @@ MAGIC, SKIPPABLE = 0xFD2FB528, 0x184D2A50
 FRAME = "file string, start bigint, end bigint, window bigint"
 
 
+def uri(path: str) -> str:
+    """A path as Hadoop names it, in the form that Arrow takes."""
+    return re.sub(r"^file:/(?=[^/])", "file:///", path)
+
+
 def open_file(path: str) -> pa.NativeFile:
     """A file of any file system that Arrow knows, to be read from any place."""
     from pyarrow import fs
 
-    system, name = fs.FileSystem.from_uri(re.sub(r"^file:/(?=[^/])", "file:///", path))
+    system, name = fs.FileSystem.from_uri(uri(path))
     return system.open_input_file(name)
 
 
@@ -92,7 +97,7 @@ def splits(found: DataFrame) -> DataFrame:
     return found.groupBy("file", slot.alias("slot")).agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("slot")
 
 
-def _chunks(name: str, start: int, end: int | None) -> Iterator[bytes]:
+def chunks(name: str, start: int, end: int | None) -> Iterator[bytes]:
     """Decompressed bytes of the frames from ``start`` to ``end``, or to the file's."""
     import zstandard
 
@@ -119,7 +124,7 @@ def _chunks(name: str, start: int, end: int | None) -> Iterator[bytes]:
 def split_lines(name: str, start: int, end: int) -> Iterator[list[bytes]]:
     """Lines that begin in a split, a list for each chunk: the first one belongs to the split before unless the file begins here."""
     rest, begun = b"", start == 0
-    for chunk in _chunks(name, start, end):
+    for chunk in chunks(name, start, end):
         *whole, rest = (rest + chunk).split(b"\n")
         if not begun and whole:
             begun, whole = True, whole[1:]
@@ -127,7 +132,7 @@ def split_lines(name: str, start: int, end: int) -> Iterator[list[bytes]]:
             yield whole
     if not begun:  # inside one line all the way: a split before has it
         return
-    for chunk in _chunks(name, end, None):
+    for chunk in chunks(name, end, None):
         head, found, _ = chunk.partition(b"\n")
         rest += head
         if found:

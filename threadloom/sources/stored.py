@@ -19,9 +19,14 @@ def shared_folder(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new name in the shared folder."""
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """``df`` written once and read back: its lineage ends here, and what it holds stays the same however often it is read."""
-    path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, label)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)
 
