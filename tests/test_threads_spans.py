@@ -165,3 +165,27 @@ def test_csv_needs_its_columns(spark, tmp_path):
     assert files.csv(spark, str(tmp_path / "a.csv"), "surface string, notes string", ("surface",)).first().surface == 'x "y"\nz'
     with pytest.raises(ValueError):
         files.csv(spark, str(tmp_path / "a.csv"), "surface string", ("ol_key",))
+
+
+def test_thread_documents_are_whole(spark):
+    """Inputs with the least columns, an unreachable thread's comment, a post without comments, and names that clash with a document's."""
+    posts = spark.createDataFrame(
+        [("p", " A  b ", " x\ny ", True, "me", 3, 1700000000, True, 7), ("q", None, None, None, None, None, None, False, 8)],
+        "id string, title string, selftext string, is_self boolean, author string, score long, created_utc long, _removed boolean, date long",
+    )
+    replies = spark.createDataFrame(
+        [("p", "c1", "t3_p", 0, 1, "one", "u", 1, False, None, False), ("p", "c2", "t1_c1", 5, 2, None, None, None, None, "moderator", True), ("gone", "c3", "t3_gone", 5, 1, "x", "u", 1, False, None, False)],
+        "thread_id string, id string, parent_id string, created_utc long, _pos long, body string, author string, score long, is_submitter boolean, distinguished string, _removed boolean",
+    )
+    segs = threads.document_segments(posts, replies)
+    docs = {r.thread_id: r for r in sinks.thread_documents(segs, threads.document_metadata(posts, segs)).collect()}
+    assert set(docs) == {"p", "q"}
+    kinds = [(s.id, s.type, s.depth, s.is_removed, s.is_submitter, s.edited, s.stickied, s.parent_id, s.text) for s in docs["p"].segments]
+    assert kinds == [
+        ("p_title", "title", 0, True, True, "false", False, None, "A b"), ("p_body", "body", 0, True, True, "false", False, None, "x y"),
+        ("c1", "comment", 1, False, False, "false", False, "t3_p", "one"), ("c2", "comment", 2, True, False, "false", False, "t1_c1", ""),
+    ]
+    meta = docs["p"].metadata.asDict()
+    assert len(meta) == 20 and meta["title"] == " A  b " and (meta["num_comments_found"], meta["depth_max"], meta["date_last_comment"], meta["date"]) == (2, 2, "1970-01-01", "2023-11-14")
+    assert [s.id for s in docs["q"].segments] == ["q_title"] and docs["q"].metadata.title == "" and docs["q"].metadata.num_comments_found == 0 and docs["q"].metadata.is_self is False
+    assert threads.document_segments(posts.limit(0), replies).count() == 0

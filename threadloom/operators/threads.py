@@ -154,6 +154,55 @@ def thread_metadata(submissions: DataFrame, segs: DataFrame) -> DataFrame:
     )
 
 
+def _field(rows: DataFrame, name: str, kind: str, default=None) -> Column:
+    """A field of the rows as a type, with a default for null and for rows that lack the column."""
+    found = F.col(name).cast(kind) if name in rows.columns else F.lit(None).cast(kind)
+    return found if default is None else F.coalesce(found, F.lit(default))
+
+
+#: The fields of a thread document's segments and metadata, with their types and defaults.
+SEGMENT = (
+    ("id", "string", None), ("type", "string", None), ("author", "string", ""), ("depth", "int", None), ("score", "bigint", None), ("created_utc", "bigint", None), ("edited", "string", "false"),
+    ("is_removed", "boolean", False), ("is_submitter", "boolean", False), ("distinguished", "string", None), ("stickied", "boolean", False), ("parent_id", "string", None), ("text", "string", ""),
+)
+METADATA = (
+    ("title", "string", ""), ("author", "string", ""), ("date", "string", None), ("created_utc", "bigint", None), ("edited", "string", "false"), ("score", "bigint", None), ("upvote_ratio", "double", None),
+    ("flair", "string", None), ("url", "string", ""), ("permalink", "string", ""), ("domain", "string", ""), ("is_self", "boolean", False), ("distinguished", "string", None), ("stickied", "boolean", False),
+    ("removed_by_category", "string", None), ("is_removed", "boolean", False), ("num_comments_reported", "bigint", 0), ("num_comments_found", "bigint", 0), ("depth_max", "int", 0), ("date_last_comment", "string", None),
+)
+
+
+def document_segments(submissions: DataFrame, comments: DataFrame) -> DataFrame:
+    """thread_id, seg_no and the thirteen fields of each segment: title, body of text posts, comments in reading order.
+
+    Inputs as for ``segments``; edited, stickied and a submission's distinguished may be absent. ``edited`` is "false" or
+    when it was, as text. A title and a body have ids of their own and share the submission's flags.
+    """
+    post = submissions.withColumnsRenamed({"id": "thread_id", "_removed": "is_removed"}).withColumns({"is_submitter": F.lit(True), "depth": F.lit(0), "parent_id": F.lit(None).cast("string")})
+    own = F.col("thread_id")
+    title = post.withColumns({"seg_no": F.lit(0), "id": F.concat(own, F.lit("_title")), "type": F.lit("title"), "text": clean_text(F.col("title"))})
+    body = post.filter("is_self").withColumns({"seg_no": F.lit(1), "id": F.concat(own, F.lit("_body")), "type": F.lit("body"), "text": clean_text(F.col("selftext"))})
+    heads = submissions.select(F.col("id").alias("thread_id"), F.when(F.coalesce("is_self", F.lit(False)), 2).otherwise(1).alias("_first"))
+    placed = comments.join(comment_order(comments), ["thread_id", "id"]).join(heads, "thread_id").withColumnRenamed("_removed", "is_removed")
+    rest = placed.withColumns({"seg_no": F.col("place") + F.col("_first"), "type": F.lit("comment"), "text": clean_text(F.col("body"))})
+    parts = [p.select("thread_id", F.col("seg_no").cast("int").alias("seg_no"), *(_field(p, *f).alias(f[0]) for f in SEGMENT)) for p in (title, body, rest)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def document_metadata(submissions: DataFrame, segs: DataFrame) -> DataFrame:
+    """thread_id and the twenty fields of a thread document: the submission's own, and what its segments add up to.
+
+    The title is as posted. A comment without a time, or of time 0, does not count for the last comment's date.
+    """
+    found = segs.filter("type = 'comment'").groupBy("thread_id").agg(
+        F.count(F.lit(1)).alias("num_comments_found"), F.max("depth").alias("depth_max"), F.max(F.when(F.col("created_utc") != 0, F.col("created_utc"))).alias("_last"),
+    )
+    named = submissions.withColumnsRenamed({"id": "thread_id", "_removed": "is_removed", "link_flair_text": "flair", "num_comments": "num_comments_reported"})
+    named = named.drop("num_comments_found", "depth_max", "date", "date_last_comment").join(found, "thread_id", "left")
+    named = named.withColumns({"date": epoch_date(F.col("created_utc")), "date_last_comment": epoch_date(F.col("_last"))})
+    return named.select("thread_id", *(_field(named, *f).alias(f[0]) for f in METADATA))
+
+
 def render(segs: DataFrame, meta: DataFrame, indent: int = 2, max_depth: int = SETTINGS.render_depth) -> DataFrame:
     """Readable threads: header, body, indented comments, footer."""
     pad = F.repeat(F.lit(" "), F.least("depth", F.lit(max_depth)) * indent)

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import catalog, fulltext, labels, ranking, resolve, spans, stats, store
-from ..sources import files
-from ..sources.stored import scratch
+from ..operators import catalog, fulltext, labels, ranking, resolve, spans, stats, store, threads
+from ..sources import files, sinks
+from ..sources.stored import scratch, stored
 from ..streaming.incremental import once
 from ..streaming.upserts import Upserts
 from . import adapters as ad
@@ -179,6 +179,40 @@ def right_wins(spark, d):
     return labels.right_wins(part.withColumn("value", F.lit("left")), part.filter("key % 2 = 0").withColumn("value", F.lit("right")))
 
 
+# Thread documents
+
+
+def _documents(spark, d):
+    """Posts and comments with the fields that the conversations lack, and their nested documents."""
+    posts = ad.submissions(spark, d).selectExpr(
+        "*", "CASE WHEN score = 4 THEN '1700000009' END AS edited", "score = 3 AS stickied", "CASE WHEN score = 2 THEN 'moderator' END AS distinguished", "score / 7D AS upvote_ratio", "concat('https://x/', id) AS url",
+        "CASE WHEN score > 0 THEN concat('/r/', id) END AS permalink", "'self' AS domain", "CASE WHEN _removed THEN 'author' END AS removed_by_category", "_pos AS num_comments",
+    )
+    replies = ad.comments(spark, d).selectExpr("*", "CASE WHEN _pos = 4 THEN '1700000009' ELSE 'false' END AS edited", "_pos = 5 AS stickied")
+    segs = stored(threads.document_segments(posts, replies), "segments")  # metadata and nesting read them: the trees are built once
+    return sinks.thread_documents(segs, threads.document_metadata(posts, segs))
+
+
+_EDITED, _CLEAN = "CASE WHEN {0} = 4 THEN '1700000009' ELSE 'false' END AS edited", "trim(regexp_replace({0}, '\\s+', ' ', 'g')) AS text"
+_POST_SQL = f"author, 0 AS depth, score, created_utc, {_EDITED.format('score')}, removed AS is_removed, true AS is_submitter, CASE WHEN score = 2 THEN 'moderator' END AS distinguished, score = 3 AS stickied, CAST(NULL AS VARCHAR) AS parent_id"
+
+
+@query(f"""WITH RECURSIVE {ad.THREADS_SQL} SELECT id AS thread_id, 0 AS seg_no, id || '_title' AS id, 'title' AS type, {_POST_SQL}, {_CLEAN.format('title')} FROM sub
+    UNION ALL SELECT id, 1, id || '_body', 'body', {_POST_SQL}, {_CLEAN.format('selftext')} FROM sub WHERE is_self
+    UNION ALL SELECT s.id, p.place + CASE WHEN s.is_self THEN 2 ELSE 1 END, s.id || 't' || c.turn, 'comment', c.author, p.depth, c.turn, c.created, {_EDITED.format('c.turn')}, false, c.is_submitter, c.distinguished, c.turn = 5,
+        CASE WHEN c.turn <= 2 THEN 't3_' || s.id ELSE 't1_' || s.id || 't' || ((c.turn - 1) // 2) END, {_CLEAN.format('c.body')} FROM placed p JOIN com c USING (conv_id, turn) JOIN sub s USING (conv_id)""")
+def thread_document_segments(spark, d):
+    return _documents(spark, d).select("thread_id", F.explode("segments").alias("s")).select("thread_id", "s.*")
+
+
+@query(f"""WITH RECURSIVE {ad.THREADS_SQL}, f AS (SELECT conv_id, count(*) AS n, max(depth) AS deep, max(nullif(created, 0)) AS last FROM placed JOIN com USING (conv_id, turn) GROUP BY conv_id)
+    SELECT id AS thread_id, title, author, strftime(make_timestamp(created_utc * 1000000), '%Y-%m-%d') AS date, created_utc, {_EDITED.format('score')}, score, score / 7.0 AS upvote_ratio, CAST(NULL AS VARCHAR) AS flair, 'https://x/' || id AS url,
+        CASE WHEN score > 0 THEN '/r/' || id ELSE '' END AS permalink, 'self' AS domain, is_self, CASE WHEN score = 2 THEN 'moderator' END AS distinguished, score = 3 AS stickied, CASE WHEN removed THEN 'author' END AS removed_by_category,
+        removed AS is_removed, conv_id AS num_comments_reported, coalesce(n, 0) AS num_comments_found, coalesce(deep, 0) AS depth_max, strftime(make_timestamp(last * 1000000), '%Y-%m-%d') AS date_last_comment FROM sub LEFT JOIN f USING (conv_id)""")
+def thread_document_metadata(spark, d):
+    return _documents(spark, d).select("thread_id", "metadata.*")
+
+
 # Orders and limits
 
 
@@ -268,10 +302,10 @@ def query_text(spark, d):
     return ad.table(spark, d, "part").select("p_partkey", tx.query_text(F.concat(F.lit(' "'), "p_name", F.lit("\" "))).alias("q"), tx.four_places(F.col("p_size") / 7.0).alias("score"))
 
 
-@query("SELECT user_id, min(event_id) AS event_id FROM events GROUP BY user_id")
+@query("SELECT DISTINCT user_id FROM events")
 def once_per_key(spark, d):
-    rows = ad.table(spark, d, "events").select("user_id", "event_id")
-    return once(rows.join(rows.groupBy("user_id").agg(F.min("event_id").alias("event_id")), ["user_id", "event_id"]).unionByName(rows.groupBy("user_id").agg(F.min("event_id").alias("event_id"))), "user_id")
+    """Of a user's equal rows one stays."""
+    return once(ad.table(spark, d, "events").select("user_id"), "user_id")
 
 
 @query("WITH r AS (SELECT conv_id, arg_max(turn, turn) AS turn FROM conversations GROUP BY conv_id) SELECT 'c' || conv_id AS thread_id, turn FROM r")

@@ -11,6 +11,7 @@ from ..functions import similarity as sim
 from ..functions import text as tx
 from ..operators import catalog, dictionary, fulltext, labels, resolve, selection, spans, stats, threads, trees
 from ..streaming.incremental import unprocessed
+from ..streaming.incremental import windowed_counts as event_counts
 from . import adapters as ad
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -692,4 +693,4 @@ def first_wins_ignore(spark, d):
 def windowed_counts(spark, d):
     """Beyond the resolution model: event-time windows, as the incremental mode counts them."""
     rows = ad.table(spark, d, "events").select("ts", "event_type")
-    return rows.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), "event_type", "n")
+    return event_counts(rows, "1 hour", "1 day", "event_type").select(F.col("window.start").alias("start"), "event_type", "n")
