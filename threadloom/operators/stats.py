@@ -19,9 +19,14 @@ def replace_values(rows: DataFrame, column: str, mapping: DataFrame) -> DataFram
 
 
 def by_title(links: DataFrame) -> DataFrame:
-    """Per (title, author), null authors kept: mentions, threads, confidence, first key, share of ambiguous ones."""
+    """Per (title, author), null authors kept: mentions, threads, confidence, first key, share of ambiguous ones.
+
+    Confidences are added up as decimals (12 places): sums of doubles depend on the order of rows, and where the average lies
+    halfway between two results, so would its last digit.
+    """
+    confidence = F.avg(F.col("confidence").cast("decimal(28,12)"))
     return links.groupBy("canonical_title", "author_name").agg(
-        F.count("text").alias("mentions"), F.countDistinct("thread_id").alias("threads"), F.bround(F.avg("confidence"), 9).alias("avg_confidence"),
+        F.count("text").alias("mentions"), F.countDistinct("thread_id").alias("threads"), F.bround(confidence, 9).cast("double").alias("avg_confidence"),
         F.min_by("ol_key", F.when(F.coalesce("ol_key", F.lit("")) != "", F.col("_pos"))).alias("ol_key"), F.bround(100 * F.avg(F.col("ambiguous").cast("double")), 1).alias("ambiguous_pct"),
     )
 
