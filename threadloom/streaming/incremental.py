@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.labels import first_wins
 from ..operators.threads import fast_accept
 
 
@@ -13,8 +14,13 @@ def new_lines(spark: SparkSession, path: str, files_per_batch: int = 8) -> DataF
     return spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path)
 
 
-def once(rows: DataFrame, key: str, time: str | None = None, late: str = "7 days") -> DataFrame:
-    """Each key once: within the watermark if rows have a time, else over the whole stream."""
+def once(rows: DataFrame, key: str, time: str | None = None, late: str = "7 days", first: str | None = None) -> DataFrame:
+    """Each key once: within the watermark if rows have a time, else over the whole stream.
+
+    A batch has no order of arrival: there ``first`` names the column whose least value says which row of a key stays.
+    """
+    if first is not None:
+        return first_wins(rows, [key], first)
     return rows.dropDuplicates([key]) if time is None else rows.withWatermark(time, late).dropDuplicatesWithinWatermark([key])
 
 
