@@ -60,3 +60,15 @@ def test_columns(spark):
     assert [tuple(s) for s in longest] == [(3, 9), (2, 3)]
     assert [tuple(s) for s in left] == [(0, 4)]
     assert none is None
+
+
+def test_spans_are_chosen_by_bounded_slices_of_rows(monkeypatch):
+    rng, held, whole = random.Random(3), [], selection.choose
+    texts = [None if i % 9 == 4 else [(a := rng.randrange(50), a + rng.randrange(9), rng.choice("xyz")) for _ in range(rng.randrange(40))] for i in range(200)]
+    spans = pa.array([t and [dict(zip(("start", "end", "label"), s)) for s in t] for t in texts], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("label", pa.string())])))
+    monkeypatch.setattr(selection, "choose", lambda part, *how: held.append(len(part.flatten())) or whole(part, *how))
+    for longest, first_seen in ((True, False), (True, True), (False, False)):
+        held.clear()
+        assert selection.choose_by_slices(spans, longest, first_seen, 100).to_pylist() == whole(spans, longest, first_seen).to_pylist()
+        assert max(held) <= 100 and sum(held) == len(spans.flatten())
+    assert selection.row_slices(pa.array([1, 500, 2, 3]).to_numpy(), 5) == [(0, 1), (1, 1), (2, 2)]

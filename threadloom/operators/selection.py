@@ -1,6 +1,7 @@
 """Which of the overlapping spans of a text stay: one sweep over sorted ends, in n log n.
 
-A text's spans are an array, as everywhere. Whole Arrow batches are sorted at once and walked once.
+A text's spans are an array, as everywhere. Rows of an Arrow batch are sorted together, as many as hold about
+``SPANS_AT_ONCE`` spans, and walked once.
 Longest first needs no search among the kept spans: a kept span is never shorter than one that
 comes after it, so if the two overlap it covers the first or the last stretch between neighbouring ends
 of the later one. Those two stretches are looked up, and a stretch is taken at most once.
@@ -20,6 +21,8 @@ from pyspark.sql import types as T
 
 _ENDS = [T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]
 PLAIN, LABELLED = T.ArrayType(T.StructType(_ENDS)), T.ArrayType(T.StructType([*_ENDS, T.StructField("label", T.StringType())]))
+#: Spans that a worker sorts and walks at once (a row's spans stay together); bounds its memory whatever the rows of a batch hold.
+SPANS_AT_ONCE = 1 << 17
 
 
 def _by_length(order: np.ndarray, start: np.ndarray, end: np.ndarray, group: np.ndarray) -> list[int]:
@@ -86,19 +89,37 @@ def choose(spans: pa.Array, longest: bool, first_seen: bool = False) -> pa.Array
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat.take(pa.array(kept)), mask=pc.is_null(spans) if spans.null_count else None)
 
 
+def row_slices(sizes: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """(first row, rows) of stretches of rows whose sizes add up to ``most``, or of one larger row."""
+    ends, out, at = np.cumsum(sizes), [], 0
+    while at < len(ends):
+        before = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
+        out.append((at, stop - at))
+        at = stop
+    return out
+
+
+def choose_by_slices(spans: pa.Array, longest: bool, first_seen: bool = False, most: int | None = None) -> pa.Array:
+    """``choose``, for some rows at a time."""
+    sizes = pc.fill_null(pc.list_value_length(spans), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    parts = [choose(spans.slice(at, n), longest, first_seen) for at, n in row_slices(sizes, most or SPANS_AT_ONCE)]
+    return pa.concat_arrays(parts) if parts else choose(spans, longest, first_seen)
+
+
 @F.arrow_udf(PLAIN)
 def _longest(spans: pa.Array) -> pa.Array:
-    return choose(spans, True)
+    return choose_by_slices(spans, True)
 
 
 @F.arrow_udf(LABELLED)
 def _longest_first_seen(spans: pa.Array) -> pa.Array:
-    return choose(spans, True, True)
+    return choose_by_slices(spans, True, True)
 
 
 @F.arrow_udf(PLAIN)
 def _leftmost(spans: pa.Array) -> pa.Array:
-    return choose(spans, False)
+    return choose_by_slices(spans, False)
 
 
 def _ends(s: Column) -> tuple[Column, Column]:
