@@ -6,16 +6,19 @@ Offsets count characters from 0, ends are exclusive. Span arrays are columns of
 
 from __future__ import annotations
 
-import bisect
 import re
 import unicodedata
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import SETTINGS
+from .selection import row_slices
 
 SPAN = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("pass", T.StringType())]))
 PLAIN_SPAN = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
@@ -129,22 +132,41 @@ def snippet(text: Column, start: Column, end: Column, context: int = 40) -> Colu
 NOISE = r"\[u/[^\]]+\]\s*\.?\s*"
 
 
-@F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("spans", PLAIN_SPAN)]))
-def remove_noise(text: pd.Series, spans: pd.Series) -> pd.DataFrame:
-    """Text without noise, spans moved along; spans that touch removed characters go."""
-    rows = []
-    for t, own in zip(text, spans):
-        cuts = [m.span() for m in re.finditer(NOISE, t)]
-        ends, lost = [b for _, b in cuts], [0]
-        for a, b in cuts:
-            lost.append(lost[-1] + b - a)
-        kept = []
-        for s in own if own is not None else []:
-            if not any(a < s["end"] and s["start"] < b for a, b in cuts):
-                shift = lost[bisect.bisect_right(ends, s["start"])]
-                kept.append({"start": s["start"] - shift, "end": s["end"] - shift})
-        rows.append((re.sub(NOISE, "", t), kept))
-    return pd.DataFrame(rows, columns=["text", "spans"])
+#: Characters (bytes of UTF-8) of text that a worker cleans at once; a text stays whole.
+NOISE_BYTES_AT_ONCE = 1 << 22
+
+
+def _without_noise(text: pa.Array, spans: pa.Array) -> pa.Array:
+    texts, flat = text.to_pylist(), spans.flatten()
+    sizes = pc.fill_null(pc.list_value_length(spans), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    start, end = (pc.fill_null(pc.struct_field(flat, i), -1).to_numpy(zero_copy_only=False).copy() for i in (0, 1))
+    stays, ends = (start >= 0) & (end >= 0), np.append(0, np.cumsum(sizes))
+    for row, t in enumerate(texts):
+        cuts = np.array([m.span() for m in re.finditer(NOISE, t)] if t else [], dtype=np.int64).reshape(-1, 2)
+        if not len(cuts):
+            continue
+        texts[row] = re.sub(NOISE, "", t)
+        a, b = start[ends[row] : ends[row + 1]], end[ends[row] : ends[row + 1]]
+        after = np.searchsorted(cuts[:, 1], a, side="right")  # the first cut that ends behind the start
+        stays[ends[row] : ends[row + 1]] &= np.append(cuts[:, 0], np.iinfo(np.int64).max)[after] >= b
+        shift = np.append(0, np.cumsum(cuts[:, 1] - cuts[:, 0]))[after].astype(a.dtype)
+        a -= shift
+        b -= shift
+    kept = np.append(0, np.cumsum(stays))[ends].astype(np.int32)
+    moved = pa.StructArray.from_arrays([pa.array(x[stays], pa.int32()) for x in (start, end)], ["start", "end"])
+    return pa.StructArray.from_arrays([pa.array(texts, pa.string()), pa.ListArray.from_arrays(pa.array(kept), moved)], ["text", "spans"])
+
+
+@F.arrow_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("spans", PLAIN_SPAN)]))
+def _noise_removed(text: pa.Array, spans: pa.Array) -> pa.Array:
+    sizes = pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    parts = [_without_noise(text.slice(at, n), spans.slice(at, n)) for at, n in row_slices(sizes, NOISE_BYTES_AT_ONCE)]
+    return pa.concat_arrays(parts) if parts else _without_noise(text, spans)
+
+
+def remove_noise(text: Column | str, spans: Column) -> Column:
+    """(text, spans): the text without noise, spans moved along; spans that touch removed characters go, as do those without both ends."""
+    return _noise_removed(text, F.transform(spans, lambda s: F.struct(s["start"].cast("int").alias("start"), s["end"].cast("int").alias("end"))))
 
 
 def length_buckets(n: Column) -> Column:
