@@ -102,9 +102,10 @@ def surface_tasks(rows: DataFrame) -> DataFrame:
     return rows.groupBy("surface").agg(F.sort_array(F.collect_set("task_id")).alias("task_ids"))
 
 
-def candidate_tasks(candidates: DataFrame) -> DataFrame:
-    """How many tasks each candidate (with task_ids) and how many candidates each task has."""
-    each = candidates.select("candidate", F.explode("task_ids").alias("task_id")).distinct()
+def candidate_tasks(candidates: DataFrame, parts: int | None = None) -> DataFrame:
+    """How many of the candidates (with task_ids) each task has; ``parts`` partitions bound what a task holds of them."""
+    each = candidates.select("candidate", F.explode("task_ids").alias("task_id"))
+    each = (each if parts is None else each.repartition(parts, "task_id")).distinct()
     return each.groupBy("task_id").agg(F.count(F.lit(1)).alias("n_candidates"))
 
 
