@@ -20,3 +20,10 @@ def test_candidates_are_combined_by_score(spark):
     }
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate [surface" in plan.split("Window")[-1]
+
+
+def test_tasks_are_dealt_once_and_meet_in_their_partitions(spark):
+    rows = [(i, label, text) for i in range(9) for label, text in (("BOOK", f"b{i % 2}"), ("WRITER", f"w{i % 3}"))]
+    mentions = spark.createDataFrame(rows, "task_id int, label string, text string")
+    plain, dealt = resolve.context_writers(mentions, None), resolve.context_writers(mentions, None, 5)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, dealt.collect())) == [("b0", ["w0", "w1", "w2"]), ("b1", ["w0", "w1", "w2"])]
