@@ -850,3 +850,14 @@ def test_line_stage_keeps_columns_named_like_its_counts(spark):
     docs = spark.createDataFrame([(1, "a line of its own\nshared line of some length", 99, "x", 5), (2, None, 98, "y", 0)], "doc_id long, text string, _n_lines int, _n_removed string, n_chars long")
     kept = {r.doc_id: r for r in corpus_pipeline.line_stage(spark, docs, SF).collect()}
     assert [(kept[i]["_n_lines"], kept[i]["_n_removed"]) for i in (1, 2)] == [(99, "x"), (98, "y")] and kept[2].n_chars is None
+
+
+def test_language_stage_starts_and_scores_from_collected_heaps(spark, monkeypatch):
+    import corpus_pipeline
+
+    told, fit = [], langid.fit
+    monkeypatch.setattr(corpus_pipeline, "give_back", lambda spark: told.append("heaps"))
+    monkeypatch.setattr(langid, "fit", lambda spans: told.append("fit") or fit(spans))
+    docs = spark.createDataFrame([(i, "the cat sat on the mat", "en") for i in range(6)], "doc_id long, text string, lang string")
+    assert corpus_pipeline.language_stage(spark, docs, SF).count() == 6
+    assert told == ["heaps", "fit", "heaps"]
