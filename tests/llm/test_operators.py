@@ -861,3 +861,42 @@ def test_language_stage_starts_and_scores_from_collected_heaps(spark, monkeypatc
     docs = spark.createDataFrame([(i, "the cat sat on the mat", "en") for i in range(6)], "doc_id long, text string, lang string")
     assert corpus_pipeline.language_stage(spark, docs, SF).count() == 6
     assert told == ["heaps", "fit", "heaps"]
+
+
+def signed_rows(lines):
+    made, ident = line_dedup.LineKeys(lines), np.arange(len(lines))
+    key, owner, after, tests = made.own_rows()
+    own = line_dedup._signed_rows(ident, lines, key, owner, after, tests, False)
+    key, owner, after = (np.concatenate(x) for x in zip(*made.probe_rows()))
+    probes = line_dedup._signed_rows(ident, lines, key, owner, after, np.ones(len(key), bool), True)
+    return pa.Table.from_batches([own, probes]).sort_by([("key", "ascending"), ("id", "ascending")])
+
+
+def candidates(rows):
+    return sum(x.num_rows for x in line_dedup._prune(iter(rows.combine_chunks().to_batches())))
+
+
+def test_letters_after_a_window_lose_no_pair():
+    rng, pairs = random.Random(19), 0
+    for _ in range(300):
+        n = rng.choice([30, 60, 100, 140, 200, 400])
+        short = "".join(rng.choice("abcdefghijklmnop    ") for _ in range(n))
+        long = list(short)
+        for at in sorted(rng.sample(range(n), n // 10) if rng.random() < 0.5 else [k * 10 + rng.randrange(3) for k in range(n // 10)], reverse=True):
+            long[at : at + 1] = rng.choice([["#"], [], [long[at], "#"]])
+        lines = [short, "".join(long)]
+        if line_dedup.within_edits(lines[:1], lines[1:])[0]:
+            pairs += 1
+            assert candidates(signed_rows(lines if rng.random() < 0.5 else lines[::-1]))
+    assert pairs > 150
+
+
+def test_lines_that_share_a_window_by_chance_are_told_apart():
+    rng = random.Random(20)
+    shared, found, before = "".join(rng.choice("abcdefghij") for _ in range(25)), 0, 0
+    for _ in range(20):  # the same letters in another order, so that whole lines tell nothing
+        rest = [rng.choice("abcdefghijklmnopqrst") for _ in range(275)]
+        lines = [shared + "".join(sorted(rest)), shared + "".join(sorted(rest, reverse=True))]
+        rows = signed_rows(lines)
+        found, before = found + candidates(rows), before + candidates(rows.select(["key", "id", "counts", "length", "probe"]))
+    assert before >= 20 and found <= before // 4
