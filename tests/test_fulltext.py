@@ -68,3 +68,18 @@ def test_fuzzy_candidates_from_the_index(spark):
     surfaces = spark.createDataFrame([("Dune!", "dune"), ("Trial", "trial"), ("Emma", "emma"), ("?", "")], "surface string, norm string")
     found = resolve.fulltext_candidates(surfaces, catalog.title_index(works), works, 2)
     assert sorted((r.surface, r.ol_key) for r in found.collect()) == [("Dune!", "/works/0"), ("Dune!", "/works/1"), ("Trial", "/works/3")]
+
+
+def test_blocks_are_made_from_whole_documents(spark, index, monkeypatch):
+    plan = index.blocks.agg(F.sum("n")).first()[0], index.tokens.agg(F.sum("df")).first()[0]
+    assert plan[0] == plan[1]
+    seen, made = [], fulltext._blocks
+    monkeypatch.setattr(fulltext, "_blocks", lambda ranged, mean: seen.append(ranged.columns) or made(ranged, mean))
+    docs = spark.createDataFrame([(i, " ".join(f"w{i * 7 + j}" for j in range(50))) for i in range(60)], "doc_id long, text string")
+    was, fulltext.RANGE_TOKENS = fulltext.RANGE_TOKENS, 500
+    try:
+        long = fulltext.build(docs, "doc_id", F.split("text", " "))
+    finally:
+        fulltext.RANGE_TOKENS = was
+    assert seen == [["range", "key", "doc_len", "terms", "tfs"]]  # a row for each document is shuffled, none for each of its tokens
+    assert long.blocks.select("range").distinct().count() > 1 and long.blocks.agg(F.sum("n")).first()[0] == 60 * 50

@@ -1,7 +1,8 @@
 """A stored full-text index: postings in blocks with their greatest score, top-k by block-max pruning.
 
 Documents are dealt into ranges of about ``RANGE_DOCS`` of similar length, chosen by length class and
-hash, so building needs no global order. A block holds a token's postings in one range, with
+hash, so building needs no global order; whole documents are shuffled by range, and a worker turns a
+range's lists of tokens into its blocks. A block holds a token's postings in one range, with
 the greatest BM25 part that any of them has; blocks are written once, in folders by a hash of
 their token, sorted by token. A search reads the tokens, ranges and greatest parts alone: ranges that have
 all its terms, by the sum of the greatest parts. The blocks of the most promising ranges give
@@ -24,10 +25,14 @@ from ..sources.stored import stored
 #: BM25 constants of the full-text search.
 K1, B = 1.2, 0.75
 RANGE_DOCS = 1024
+#: Tokens of a range's documents together, about: long documents get ranges of fewer, since a worker holds one.
+RANGE_TOKENS = 1 << 20
 #: Folders of the blocks.
 BUCKETS = 16
 #: Documents that a worker counts at once.
 DOCS_AT_ONCE = 512
+#: Blocks that a worker passes on at once.
+BLOCKS_AT_ONCE = 1 << 15
 #: Ranges that a query reads before it knows a score to beat.
 FIRST_RANGES = 2
 #: Scores are rounded to so many places; a range may not be left out for less.
@@ -79,6 +84,42 @@ def _forward(rows: DataFrame, key: str, tokens: Column) -> DataFrame:
     return rows.select(F.col(key).alias("key"), tokens.alias("tokens")).mapInArrow(count, f"key {kind}, doc_len int, terms array<string>, tfs array<int>").filter("doc_len > 0")
 
 
+def _blocks(ranged: DataFrame, mean: float) -> DataFrame:
+    """(token, range, n, top, postings) from rows of (range, key, doc_len, terms, tfs) in which those of a range follow each other."""
+    kind = ranged.schema["key"].dataType.simpleString()
+
+    def made(parts):
+        part = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+        coded = part.column("terms").flatten().dictionary_encode()
+        codes = coded.indices.to_numpy().astype(np.int64)
+        doc = np.repeat(np.arange(part.num_rows), pc.list_value_length(part.column("terms")).to_numpy(zero_copy_only=False).astype(np.int64))
+        order = np.argsort(codes, kind="stable")
+        codes, doc, tf = codes[order], doc[order], part.column("tfs").flatten().to_numpy()[order]
+        begin = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
+        ends, length = np.append(begin[1:], len(codes)), part.column("doc_len").to_numpy()[doc]
+        top = np.maximum.reduceat(tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / (mean or 1.0))), begin)
+        postings = pa.StructArray.from_arrays([part.column("key").take(pa.array(doc)), pa.array(length), pa.array(tf)], ["key", "doc_len", "tf"])
+        lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), postings)
+        columns = [coded.dictionary.take(pa.array(codes[begin])), pa.array(np.full(len(begin), part.column("range")[0].as_py(), np.int64)), pa.array(ends - begin), pa.array(top), lists]
+        yield from pa.Table.from_arrays(columns, ["token", "range", "n", "top", "postings"]).to_batches(max_chunksize=BLOCKS_AT_ONCE)
+
+    def run(batches):
+        held, current = [], None
+        for batch in batches:
+            of = batch.column("range").to_numpy()
+            cuts = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1]))) if len(of) else []
+            for a, b in zip(cuts, np.append(cuts[1:], len(of))):
+                if held and of[a] != current:
+                    yield from made(held)
+                    held = []
+                current = of[a]
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield from made(held)
+
+    return ranged.mapInArrow(run, f"token string, range long, n long, top double, postings array<struct<key:{kind},doc_len:int,tf:int>>")
+
+
 def build(rows: DataFrame, key: str, tokens: Column) -> FullTextIndex:
     """The index of ``rows``; documents without tokens are not in it, neither as hits nor in the statistics. Keys are unique."""
     spark = rows.sparkSession
@@ -86,12 +127,10 @@ def build(rows: DataFrame, key: str, tokens: Column) -> FullTextIndex:
     sizes = held.groupBy("class").agg(F.count(F.lit(1)).alias("n"), F.sum("doc_len").alias("length")).collect()  # two for each doubling of the length
     n_docs, total = sum(r["n"] for r in sizes), sum(r["length"] for r in sizes)
     mean = total / n_docs if n_docs else 0.0
-    parts = F.create_map(*(F.lit(x) for r in sizes for x in (r["class"], -(-r["n"] // RANGE_DOCS))))[F.col("class")] if sizes else F.lit(1)
-    ranged = held.withColumn("range", F.col("class").cast("long") * F.lit(1 << 40) + F.pmod(F.xxhash64("key"), parts))
-    pairs = ranged.select("key", "doc_len", "range", F.explode(F.arrays_zip("terms", "tfs")).alias("t")).select("key", "doc_len", "range", F.col("t.terms").alias("token"), F.col("t.tfs").alias("tf"))
-    blocks = pairs.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "token", "range").groupBy("token", "range").agg(
-        F.count(F.lit(1)).alias("n"), F.max(term_part(F.col("tf"), F.col("doc_len"), mean)).alias("top"), F.collect_list(F.struct("key", "doc_len", "tf")).alias("postings")
-    )
+    parts = F.create_map(*(F.lit(x) for r in sizes for x in (r["class"], max(-(-r["n"] // RANGE_DOCS), -(-r["length"] // RANGE_TOKENS)))))[F.col("class")] if sizes else F.lit(1)
+    ranged = held.select((F.col("class").cast("long") * F.lit(1 << 40) + F.pmod(F.xxhash64("key"), parts)).alias("range"), "key", "doc_len", "terms", "tfs")
+    dealt = ranged.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "range").sortWithinPartitions("range")
+    blocks = _blocks(dealt, mean)
     blocks = blocks.select(_bucket(F.col("token")).alias("bucket"), "*").sortWithinPartitions("bucket", "token", "range")
     kept = stored(blocks, "postings", ("bucket",))
     return FullTextIndex(key, kept, stored(kept.groupBy("token").agg(F.sum("n").alias("df")), "tokens"), n_docs, mean)
