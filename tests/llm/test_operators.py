@@ -900,3 +900,19 @@ def test_lines_that_share_a_window_by_chance_are_told_apart():
         rows = signed_rows(lines)
         found, before = found + candidates(rows), before + candidates(rows.select(["key", "id", "counts", "length", "probe"]))
     assert before >= 20 and found <= before // 4
+
+
+# a round of line dedup reads and runs no more than it needs
+
+
+def test_filters_take_hashes_that_a_task_makes(spark):
+    rows = spark.range(3000).select((F.col("id") % 2000).alias("x"))
+
+    def made(batch):
+        yield batch.column(0).to_numpy() * 7
+        yield batch.column(0).to_numpy()[:0]
+
+    def bits(table):
+        return sorted((r.seg, bytes(r.seen), bytes(r.again)) for r in table.collect())
+
+    assert bits(bitfilter.ranges(rows, 1 << 16, made)) == bits(bitfilter.ranges(rows.select(F.col("x") * 7), 1 << 16))
