@@ -905,6 +905,22 @@ def test_lines_that_share_a_window_by_chance_are_told_apart():
 # a round of line dedup reads and runs no more than it needs
 
 
+def test_lines_are_stored_by_length(spark, monkeypatch):
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(line_dedup, "GROUP_BYTES", 1 << 14)
+    rng = random.Random(21)
+    texts = ["\n".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(12, 400))) for _ in range(20)) for _ in range(60)]
+    texts += texts[:20]
+    rows = line_dedup._rows(frame(spark, texts), "doc_id", "text")
+    lines = line_dedup.comparable_lines(rows, line_dedup.occurrences(rows))
+    assert sorted((r.line, r.n) for r in lines.collect()) == sorted((x, len(x)) for x in {x for t in texts for x in t.split("\n")})
+    files = [pq.ParquetFile(x.removeprefix("file://").removeprefix("file:")).metadata for x in lines.inputFiles()]
+    groups = [m.row_group(g).column(m.schema.names.index("n")).statistics for m in files for g in range(m.num_row_groups)]
+    assert len(groups) > 2 * len(files)
+    assert sum(g.min < 40 for g in groups) < len(groups) / 2
+
+
 def test_filters_take_hashes_that_a_task_makes(spark):
     rows = spark.range(3000).select((F.col("id") % 2000).alias("x"))
 
@@ -916,3 +932,14 @@ def test_filters_take_hashes_that_a_task_makes(spark):
         return sorted((r.seg, bytes(r.seen), bytes(r.again)) for r in table.collect())
 
     assert bits(bitfilter.ranges(rows, 1 << 16, made)) == bits(bitfilter.ranges(rows.select(F.col("x") * 7), 1 << 16))
+
+
+def test_tasks_collect_without_walking_what_is_loaded(spark):
+    def run(batches):
+        import gc
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([gc.get_freeze_count()] * batch.num_rows, pa.int64())], ["n"])
+
+    counts = [spark.range(0, 8, 1, 8).coalesce(1).mapInArrow(common.released(run), "n long").collect()[0].n for _ in range(6)]
+    assert max(counts) > 1000
