@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def round_even(x: Column, places: int) -> Column:
+    """As SQL's ``round_even`` of doubles: scaled, rounded to even as a double, scaled back.
+
+    ``bround`` rounds the shortest decimal that a double prints as, which lies elsewhere near a half.
+    """
+    return F.rint(x * float(10**places)) / float(10**places)
+
+
 def resolved_only(links: DataFrame) -> DataFrame:
     """Links with a key or a title, and not failed."""
     named = (F.coalesce("ol_key", F.lit("")) != "") | (F.coalesce("canonical_title", F.lit("")) != "")
@@ -18,16 +26,19 @@ def replace_values(rows: DataFrame, column: str, mapping: DataFrame) -> DataFram
     return rows.join(m, F.col(column) == F.col("_old"), "left").withColumn(column, F.coalesce("_new", column)).drop("_old", "_new")
 
 
-def by_title(links: DataFrame) -> DataFrame:
+def by_title(links: DataFrame, *ties: str) -> DataFrame:
     """Per (title, author), null authors kept: mentions, threads, confidence, first key, share of ambiguous ones.
 
+    Of keys at the same position the first by ``ties`` counts, then the least.
+
     Confidences are added up as decimals (12 places): sums of doubles depend on the order of rows, and where the average lies
     halfway between two results, so would its last digit.
     """
     confidence = F.avg(F.col("confidence").cast("decimal(28,12)"))
+    first = F.min(F.when(F.coalesce("ol_key", F.lit("")) != "", F.struct("_pos", *ties, "ol_key")))
     return links.groupBy("canonical_title", "author_name").agg(
         F.count("text").alias("mentions"), F.countDistinct("thread_id").alias("threads"), F.bround(confidence, 9).cast("double").alias("avg_confidence"),
-        F.min_by("ol_key", F.when(F.coalesce("ol_key", F.lit("")) != "", F.col("_pos"))).alias("ol_key"), F.bround(100 * F.avg(F.col("ambiguous").cast("double")), 1).alias("ambiguous_pct"),
+        first["ol_key"].alias("ol_key"), round_even(100 * F.avg(F.col("ambiguous").cast("double")), 1).alias("ambiguous_pct"),
     )
 
 
@@ -57,7 +68,7 @@ def rank_shift(counts: DataFrame, top: int = 100) -> DataFrame:
 
 def hubness(counts: DataFrame, least_threads: int = 5) -> DataFrame:
     """Mentions per thread of titles in enough threads."""
-    return counts.filter(F.col("threads") >= least_threads).withColumn("ratio", F.bround(F.col("mentions") / F.col("threads"), 2))
+    return counts.filter(F.col("threads") >= least_threads).withColumn("ratio", round_even(F.col("mentions") / F.col("threads"), 2))
 
 
 def exact_titles(counts: DataFrame, norm: str = "norm") -> DataFrame:
@@ -75,7 +86,7 @@ def density(rows: DataFrame, count: str, length: str) -> DataFrame:
 def shares(rows: DataFrame, by: str) -> DataFrame:
     """Counts and percentages of the values of a column."""
     counts = rows.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("pct", F.bround(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy()), 1))  # a row for each value
+    return counts.withColumn("pct", round_even(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy()), 1))  # a row for each value
 
 
 def distinct_counts(links: DataFrame, approximate: bool = False) -> DataFrame:

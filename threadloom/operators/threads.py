@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..config import SETTINGS
 from ..functions.text import bare_id, clean_text, epoch_date, is_removed
 from ..sources.stored import stored
+from .stats import round_even
 from .trees import ranked_order
 
 #: A thread of more comments is no single task.
@@ -39,7 +40,7 @@ def prune(rows: DataFrame, fields: tuple[str, ...], text: str) -> DataFrame:
 def prune_totals(rows: DataFrame, *by: str) -> DataFrame:
     """Totals of pruned rows: all, kept, removed (and their percentage) and bad ones, whose flag is null."""
     gone, bad, n = F.count_if("_removed"), F.count_if(F.col("_removed").isNull()), F.count(F.lit(1))
-    return rows.groupBy(*by).agg(n.alias("total"), (n - gone - bad).alias("kept"), gone.alias("removed"), F.bround(F.try_divide(100.0 * gone, n), 2).alias("removed_pct"), bad.alias("bad"))
+    return rows.groupBy(*by).agg(n.alias("total"), (n - gone - bad).alias("kept"), gone.alias("removed"), round_even(F.try_divide(100.0 * gone, n), 2).alias("removed_pct"), bad.alias("bad"))
 
 
 def fast_accept(lines: DataFrame, communities: list[str], value: str = "value") -> DataFrame:
