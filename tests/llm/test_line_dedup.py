@@ -1,0 +1,67 @@
+import random
+
+import pyarrow as pa
+import pytest
+
+from threadloom.llm import line_dedup
+
+NAMES = ["least", "part", "grp", "id", "root", "line"]
+TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+
+
+def altered(rng, line, edits):
+    for _ in range(edits):
+        at = rng.randrange(len(line))
+        line = line[:at] + rng.choice("xyz") + line[at + rng.randint(0, 1) :]
+    return line
+
+
+def made(seed):
+    """Lines, groups of them, and the groups' rows with each text once for all groups with the same least line and part."""
+    rng = random.Random(seed)
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(40)) for _ in range(4)]
+    lines = sorted({altered(rng, rng.choice(base), rng.randint(0, 5)) for _ in range(90)})
+    groups = [sorted(rng.sample(range(len(lines)), rng.randint(3, 30))) for _ in range(25)]
+    rows = [(g[0], k % 2, k, i, None, None) for k, g in enumerate(groups) for i in g]
+    rows += [(least, part, None, i, i, lines[i]) for least, part, i in {(r[0], r[1], r[3]) for r in rows}]
+    rows.sort(key=lambda r: (*r[:2], -1 if r[2] is None else r[2], r[3]))
+    return lines, groups, rows
+
+
+def batches(rows, size):
+    whole = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), TYPES)], NAMES)
+    return iter([whole.slice(k, size) for k in range(0, len(rows), size)])
+
+
+@pytest.mark.parametrize("size", [1, 7, 100, 10000])
+@pytest.mark.parametrize("slice_bytes", [100, 1 << 20])
+def test_groups_get_the_texts_that_came_once(monkeypatch, size, slice_bytes):
+    monkeypatch.setattr(line_dedup, "SLICE_BYTES", slice_bytes)
+    lines, groups, rows = made(3)
+    got = [x for out in line_dedup._with_texts(batches(rows, size)) for x in zip(*(c.to_pylist() for c in out.columns))]
+    assert sorted(got) == sorted((k, i, lines[i], i) for k, g in enumerate(groups) for i in g)
+    assert sum(r[5] is not None for r in rows) < len(got)
+    gone = min(g[0] for g in groups)  # nothing was brought for it: its groups hang together
+    some = [r for r in rows if not (r[0] == gone and r[2] is None)]
+    got = [x for out in line_dedup._with_texts(batches(some, size)) for x in zip(*(c.to_pylist() for c in out.columns))]
+    assert sorted(got) == sorted((k, i, lines[i], i) for k, g in enumerate(groups) for i in g if g[0] != gone)
+
+
+@pytest.mark.parametrize("shared", [4, 1 << 13])
+def test_near_lines_whatever_the_texts_are_shared_by(spark, monkeypatch, shared):
+    monkeypatch.setattr(line_dedup, "SHARED", shared)  # 4: texts of one least line are brought in parts
+    rng = random.Random(5)
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(45)).strip() for _ in range(3)]
+    lines = sorted({altered(rng, rng.choice(base), rng.randint(0, 6)).strip() for _ in range(70)})
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    rows = line_dedup._rows(docs, "doc_id", "text")
+    roots = {r.node: r.root for r in line_dedup.near_lines(rows, line_dedup.occurrences(rows)).collect()}
+    name = {x: line_dedup._signed([line_dedup._hash(x) & 0xFFFFFFFFFFFFFFFF]).tolist()[0] for x in lines}
+    want = {x: name[x] for x in lines}
+    pairs = [(a, b) for i, a in enumerate(lines) for b in lines[i + 1 :]]
+    for (a, b), near in zip(pairs, line_dedup.within_edits(*zip(*pairs))):
+        if near and want[a] != want[b]:
+            low, high = sorted((want[a], want[b]))
+            want = {x: low if r == high else r for x, r in want.items()}
+    linked = {r for r in want.values() if sum(x == r for x in want.values()) > 1}
+    assert roots == {name[x]: r for x, r in want.items() if r in linked} and linked
